@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from muster.functions import hms, local_time, rate_hundredths
+from muster.functions import hms, local_time, rate_hundredths, whole_div
 
 BATCH = ("file_name", "chunk_no", "batch_no")
 SECOND_US = 1_000_000
@@ -90,7 +90,7 @@ def run_span(outcomes: DataFrame, by: str = "file_name", ts: str = "ts") -> Data
         local_time(F.col("start_ts")).alias("started"),
         local_time(F.col("end_ts")).alias("ended"),
         "duration_us",
-        hms(F.floor(F.col("duration_us") / SECOND_US)).alias("duration"),
+        hms(whole_div(F.col("duration_us"), SECOND_US)).alias("duration"),
     )
 
 

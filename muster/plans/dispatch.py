@@ -25,6 +25,8 @@ PORTS = (6016, 6017, 6018)
 CALL_BATCH = 50
 CALLS_PER_SECOND = 20
 
+CHUNKS_PER_BLOCK = 10_000
+
 
 def plan_batches(
     numbered: DataFrame, chunk: int = CHUNK, batch: int = BATCH, ports: Sequence[int] = PORTS
@@ -47,11 +49,23 @@ def flag_final_chunks(plan: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def chunk_sizes(file_counts: DataFrame, rows: str = "valid", chunk: int = CHUNK) -> DataFrame:
-    """Chunks of each file with their sizes, from the number of valid rows alone; no row is numbered."""
+    """Chunks of each file with their sizes, from the number of valid rows alone; no row is numbered.
+
+    The chunks of a file are laid out in blocks, so that neither one array nor
+    one task has to hold all chunks of a very large file.
+    """
     total = F.col(rows)
-    chunks = whole_div(total + (chunk - 1), chunk)
-    numbered = file_counts.filter(total > 0).withColumn("chunk_no", F.explode(F.sequence(F.lit(1).cast("long"), chunks)))
-    size = F.least(F.lit(chunk).cast("long"), total - (F.col("chunk_no") - 1) * chunk)
+    blocks = F.sequence(F.lit(0).cast("long"), whole_div(total - 1, chunk * CHUNKS_PER_BLOCK))
+    tasks = int(file_counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = (
+        file_counts.filter(total > 0)
+        .select("file_name", total.alias("_total"), F.explode(blocks).alias("_block"))
+        .repartition(tasks, "file_name", "_block")
+    )
+    first = F.col("_block") * CHUNKS_PER_BLOCK + 1
+    last = F.least(first + (CHUNKS_PER_BLOCK - 1), whole_div(F.col("_total") - 1, chunk) + 1)
+    numbered = laid_out.withColumn("chunk_no", F.explode(F.sequence(first, last)))
+    size = F.least(F.lit(chunk).cast("long"), F.col("_total") - (F.col("chunk_no") - 1) * chunk)
     return numbered.select("file_name", "chunk_no", size.alias("chunk_rows"))
 
 
