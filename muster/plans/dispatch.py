@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.functions import file_type, sms_query, voice_query, whole_div
 from muster.functions.encoding import DLR_MASK
-from muster.operators.lookup import bind_messages
+from muster.operators.lookup import bind_messages, known_types
 from muster.operators.position import number_by_split
-from muster.operators.validate import valid_rows
+from muster.operators.validate import segment_message, valid_rows
+from muster.sources.headers import file_list
 from muster.sources.lists import discover_files, scan_lists
 
 # Sizes of a message campaign, its ports, and those of a call campaign.
@@ -104,27 +105,68 @@ def voice_outbox(plan: DataFrame, account: int | str) -> DataFrame:
     )
 
 
-def plan_lists(spark: SparkSession, paths: Sequence[str], files: DataFrame | None = None, **sizes) -> DataFrame:
+def plan_lists(
+    spark: SparkSession, paths: Sequence[str], files: DataFrame | None = None, message: Column | None = None, **sizes
+) -> DataFrame:
     """Plan the valid rows of list files, each file numbered by itself in list order.
 
     ``files`` may replace the table of read files with one that has more columns
-    (see ``number_by_split``).
+    (see ``number_by_split``); ``message`` is an expression over the row cells
+    ``msisdn_raw`` and ``age_raw``.
     """
     scan = scan_lists(spark, paths)
     valid = valid_rows(scan.rows)
+    if message is not None:
+        valid = valid.withColumn("message", message)
     return plan_batches(number_by_split(valid, scan.files if files is None else files), **sizes)
 
 
+def plan_campaign(spark: SparkSession, paths: Sequence[str], message: str, sender: str, **sizes) -> DataFrame:
+    """Outbox of one message to all valid numbers of the given lists."""
+    plan = plan_lists(spark, paths, **sizes)
+    return sms_outbox(plan.withColumn("message", F.lit(message)).withColumn("sender", F.lit(sender)))
+
+
+def plan_segmented(
+    spark: SparkSession, paths: Sequence[str], older: str, younger: str, sender: str, **sizes
+) -> DataFrame:
+    """Outbox of one of two messages by age. A list without an age column gets the younger one."""
+    message = segment_message(F.col("age_raw"), older, younger)
+    plan = plan_lists(spark, paths, message=message, **sizes)
+    return sms_outbox(plan.withColumn("sender", F.lit(sender)))
+
+
 def plan_folder(spark: SparkSession, folder: str, messages: Mapping[str, str], sender: str, **sizes) -> DataFrame:
     """Discover the typed lists of a folder, bind their messages and plan them as an outbox."""
-    found = discover_files(spark, folder, list(messages))
-    return plan_typed_files(spark, found, messages, sender, **sizes)
+    return plan_typed_files(spark, discover_files(spark, folder, list(messages)), messages, sender, **sizes)
+
+
+def plan_typed_paths(
+    spark: SparkSession, paths: Sequence[str], messages: Mapping[str, str], sender: str, **sizes
+) -> DataFrame:
+    """As ``plan_folder`` for named files of any extension; names of unknown type are left out."""
+    listed = file_list(spark, paths)
+    typed = known_types(listed.withColumn("file_type", file_type(F.col("file_path"))), messages)
+    return plan_typed_files(spark, typed, messages, sender, **sizes)
 
 
 def plan_typed_files(
     spark: SparkSession, found: DataFrame, messages: Mapping[str, str], sender: str, **sizes
 ) -> DataFrame:
-    files = bind_messages(found.withColumn("file_type", file_type(F.col("file_path"))), messages)
-    files = files.withColumn("sender", F.lit(sender))
+    """Plan the files of a listing that has ``file_ordinal``, ``file_path`` and ``file_type``."""
+    files = bind_messages(found, messages).withColumn("sender", F.lit(sender))
     paths = [row.file_path for row in found.orderBy("file_ordinal").select("file_path").collect()]
     return sms_outbox(plan_lists(spark, paths, files, **sizes))
+
+
+def plan_call_list(
+    spark: SparkSession,
+    paths: Sequence[str],
+    account: int | str,
+    batch: int = CALL_BATCH,
+    per_second: int = CALLS_PER_SECOND,
+) -> DataFrame:
+    """Outbox of voice calls to all valid numbers of the given lists."""
+    scan = scan_lists(spark, paths, optional=())
+    numbered = number_by_split(valid_rows(scan.rows), scan.files)
+    return voice_outbox(plan_calls(numbered, batch, per_second), account)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from muster.functions import file_type, has_csv_extension, plain_path
 from muster.functions.names import TYPE_MARKERS
 from muster.session import pin_split_size
 from muster.sources.headers import AGE_COLUMN, KEY_COLUMN, OK, UNSUPPORTED, file_list, probe_files
-from muster.sources.remote import as_literal, decode_listed
+from muster.sources.remote import as_literal, decode_listed, default_filesystem, is_directly_in, qualify
 
 CSV_GLOB = "*.[cC][sS][vV]"
 SPLIT_COLUMNS = ("split_path", "split_start", "split_length")
@@ -43,10 +44,23 @@ def csv_reader(spark: SparkSession, multi_line: bool = False):
 def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
     """Full paths of the CSV files in a folder, in byte order, empty files included.
 
-    Names only: no file is opened. Spark lists the folder itself and does not descend.
+    Names only: no file is opened. Subfolders are left alone, and a folder that
+    does not exist has no files.
     """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB).load(folder).inputFiles()
-    return sorted((decode_listed(uri) for uri in found), key=str.encode)
+    home = qualify(folder, default_filesystem(spark)).rstrip("/")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        found = reader.load(csv_glob(home)).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    paths = (decode_listed(uri) for uri in found)
+    return sorted((path for path in paths if is_directly_in(path, home)), key=str.encode)
+
+
+def csv_glob(folder: str) -> str:
+    return f"{as_literal(folder.rstrip('/'))}/{CSV_GLOB}"
 
 
 def discover_files(spark: SparkSession, folder: str, types: Sequence[str] = KNOWN_TYPES) -> DataFrame:

@@ -29,6 +29,15 @@ def decode_listed(uri: str) -> str:
     return re.sub(r"^file:/+", "file:/", unquote(uri))
 
 
+def is_directly_in(path: str, folder: str) -> bool:
+    """Whether a full path lies in a folder itself and not in one of its subfolders."""
+
+    def inner(full):
+        return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", full).rstrip("/")
+
+    return inner(path.rsplit("/", 1)[0]) == inner(folder)
+
+
 def as_literal(path: str) -> str:
     """Escape the glob characters, so that a reader takes the path as it is."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)

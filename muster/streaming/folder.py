@@ -16,7 +16,8 @@ from muster.functions import file_type
 from muster.plans.dispatch import plan_typed_files
 from muster.sinks.writers import write_outbox
 from muster.sources.headers import file_list
-from muster.sources.lists import CSV_GLOB, file_status
+from muster.sources.lists import csv_glob, file_status
+from muster.sources.remote import default_filesystem, is_directly_in, qualify
 
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
@@ -38,14 +39,17 @@ def plan_arrivals(
     replayed after a failure, so a replay leaves no second copy.
     """
 
+    home = qualify(folder, default_filesystem(spark))
+
     def plan_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         typed = batch.filter(file_type(F.col("path")).isin(list(messages)))
         # Names of at most files_per_batch files; their rows stay on the executors.
-        paths = sorted((row.path for row in typed.select("path").collect()), key=str.encode)
+        arrived = (row.path for row in typed.select("path").collect())
+        paths = sorted((path for path in arrived if is_directly_in(path, home)), key=str.encode)
         if not paths:
             return
-        found = file_list(session, paths)
+        found = file_list(session, paths).withColumn("file_type", file_type(F.col("file_path")))
         plan = plan_typed_files(session, found, messages, sender, **sizes)
         write_outbox(plan, f"{outbox}/plan/batch_id={batch_id}")
         file_status(session, paths).write.mode("overwrite").parquet(f"{outbox}/status/batch_id={batch_id}")
@@ -53,9 +57,9 @@ def plan_arrivals(
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(LISTING)
-        .option("pathGlobFilter", CSV_GLOB)
+        .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
-        .load(folder)
+        .load(csv_glob(home))
         .select("path")
     )
     return (

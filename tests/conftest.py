@@ -1,0 +1,43 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from muster.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4"}
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    return session
+
+
+@pytest.fixture
+def put(tmp_path):
+    """Write a file of raw bytes and return its path."""
+
+    def write(name, content):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(content.encode() if isinstance(content, str) else content)
+        return str(path)
+
+    return write
+
+
+@pytest.fixture
+def split_size(spark):
+    """Set the split size for one test."""
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+
+    def change(size):
+        spark.conf.set(setting, str(size))
+
+    yield change
+    spark.conf.set(setting, before)

@@ -1,0 +1,136 @@
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from muster.operators.position import number_by_key
+from muster.operators.validate import rejected_rows, valid_rows, validity_counts
+from muster.plans import dispatch
+from tests import reference_loop
+
+PORTS = (6016, 6017, 6018)
+
+
+def numbered(spark, counts):
+    """``pos`` 0..n-1 for each named file."""
+    frames = [
+        spark.range(n).select(F.lit(name).alias("file_name"), F.col("id").alias("pos"), F.lit(n).cast("long").alias("file_rows"))
+        for name, n in counts.items()
+    ]
+    rows = frames[0]
+    for frame in frames[1:]:
+        rows = rows.unionByName(frame)
+    return rows
+
+
+@pytest.mark.parametrize("rows", [0, 1, 11, 12, 4_999, 5_000, 5_001, 10_000])
+def test_default_sizes_match_filling_chunks_in_turn(spark, rows):
+    got = dispatch.plan_batches(numbered(spark, {"f": rows})).orderBy("pos").collect()
+    expected = reference_loop.plan([f"255{i:09d}" for i in range(rows)], 5_000, 11, PORTS)
+    assert [(r.pos, r.chunk_no, r.chunk_pos, r.batch_no, r.port) for r in got] == [e[1:] for e in expected]
+
+
+@pytest.mark.parametrize("rows", [1, 4_999, 5_000, 5_001, 10_000])
+def test_final_chunk_is_the_partial_one(spark, rows):
+    plan = dispatch.flag_final_chunks(dispatch.plan_batches(numbered(spark, {"f": rows})))
+    flagged = plan.filter("in_final_chunk").count()
+    assert flagged == rows % 5_000
+
+
+def test_chunk_sizes_equal_counting_the_plan(spark):
+    counts = {"a": 1, "b": 70, "c": 71, "d": 139, "e": 140, "f": 1_000}
+    plan = dispatch.plan_batches(numbered(spark, counts), 70, 11)
+    counted = {(r.file_name, r.chunk_no): r["count"] for r in plan.groupBy("file_name", "chunk_no").count().collect()}
+    frame = spark.createDataFrame([*counts.items(), ("none", 0)], "file_name string, valid long")
+    sizes = dispatch.chunk_sizes(frame, chunk=70).collect()
+    assert {(r.file_name, r.chunk_no): r.chunk_rows for r in sizes} == counted
+    assert len(sizes) == len(counted)
+
+
+def test_chunk_sizes_of_a_very_large_file(spark):
+    rows = 5_000 * dispatch.CHUNKS_PER_BLOCK * 3 + 7
+    sizes = dispatch.chunk_sizes(spark.createDataFrame([("f", rows)], "file_name string, valid long"))
+    got = sizes.agg(F.count("*"), F.max("chunk_no"), F.count_distinct("chunk_no"), F.sum("chunk_rows")).first()
+    chunks = 3 * dispatch.CHUNKS_PER_BLOCK + 1
+    assert tuple(got) == (chunks, chunks, chunks, rows)
+
+
+def test_batches_never_span_chunks(spark):
+    plan = dispatch.plan_batches(numbered(spark, {"a": 523, "b": 70}), 70, 11)
+    batches = plan.groupBy("file_name", "chunk_no", "batch_no").count()
+    assert batches.agg(F.max("count")).first()[0] == 11
+    per_chunk = batches.groupBy("file_name", "chunk_no").agg(F.sum("count").alias("n")).agg(F.max("n")).first()[0]
+    assert per_chunk == 70
+
+
+def test_call_schedule_pauses_after_every_full_batch(spark):
+    got = dispatch.plan_calls(numbered(spark, {"f": 151})).orderBy("pos").collect()
+    assert [(r.batch_no, r.earliest_start_s) for r in got] == [(p // 50, p // 50 * 3) for p in range(151)]
+
+
+cells = st.lists(
+    st.one_of(
+        st.from_regex(r"255[0-9]{9}", fullmatch=True),
+        st.sampled_from(["", " ", "bad", "255", "+255712345678", " 255712345678\r", "255712345678\u0085"]),
+        st.none(),
+    ),
+    max_size=60,
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(cells, st.integers(1, 20), st.integers(1, 9), st.integers(1, 4))
+def test_plan_of_any_list(spark, values, chunk, batch, ports):
+    rows = spark.createDataFrame([("f", i, v) for i, v in enumerate(values)], "file_name string, row_key long, msisdn_raw string")
+    plan = dispatch.plan_batches(number_by_key(valid_rows(rows), stripe_keys=13), chunk, batch, range(ports))
+    got = plan.orderBy("pos").select("msisdn", "pos", "chunk_no", "chunk_pos", "batch_no", "port").collect()
+    assert [tuple(r) for r in got] == reference_loop.plan(values, chunk, batch, range(ports))
+    counts = validity_counts(rows).collect()
+    assert [(c.read, c.valid, c.rejected) for c in counts] == ([(len(values), len(got), len(values) - len(got))] if values else [])
+    assert rejected_rows(rows).count() == len(values) - len(got)
+
+
+def test_campaign_over_files(spark, put):
+    numbers = [f"255{i:09d}" for i in range(30)]
+    first = put("a.csv", "MSISDN,AGE\n" + "".join(f"{n},{20 + i}\n" for i, n in enumerate(numbers)))
+    second = put("b.csv", "N,MSISDN\n" + "".join(f"x,{n}\nx,bad\n" for n in numbers))
+    got = dispatch.plan_campaign(spark, [first, "/no/such.csv", second], "Hi & bye", "S", chunk=12, batch=5)
+    expected = reference_loop.plan(numbers, 12, 5, PORTS)
+    for name in ("a.csv", "b.csv"):
+        rows = got.filter(F.col("file_name") == name).orderBy("pos").collect()
+        assert [(r.msisdn, r.pos, r.chunk_no, r.chunk_pos, r.batch_no, r.port) for r in rows] == expected
+        assert rows[0].request_query == f"from=S&to={numbers[0]}&text=Hi+%26+bye&dlr-mask=31"
+    assert got.count() == 60
+
+
+def test_segmented_campaign(spark, put):
+    path = put("a.csv", "MSISDN,AGE\n255000000001,35\n255000000002,34\nbad,90\n255000000003,40d\n")
+    bare = put("b.csv", "MSISDN\n255000000099\n")
+    got = dispatch.plan_segmented(spark, [path, bare], "old", "young", "S").orderBy("file_name", "pos").collect()
+    assert [(r.msisdn[-2:], r.pos, r.message) for r in got] == [
+        ("01", 0, "old"),
+        ("02", 1, "young"),
+        ("03", 2, "young"),
+        ("99", 0, "young"),
+    ]
+
+
+def test_folder_campaign_and_named_paths(spark, put, tmp_path):
+    put("in/b_sms.csv", "MSISDN\n255000000001\n")
+    put("in/a_IVR.csv", "MSISDN\n255000000002\n")
+    put("in/plain.csv", "MSISDN\n255000000003\n")
+    put("in/nokey_sms.csv", "X\n255000000004\n")
+    text = put("in/c_p02.txt", "MSISDN\n255000000005\n")
+    messages = {"sms": "S", "ivr": "I", "p02": "P"}
+    got = dispatch.plan_folder(spark, str(tmp_path / "in"), messages, "from").collect()
+    assert {(r.file_name, r.msisdn[-1], r.message) for r in got} == {("b_sms.csv", "1", "S"), ("a_IVR.csv", "2", "I")}
+    named = [text, str(tmp_path / "in/plain.csv"), str(tmp_path / "gone_sms.csv")]
+    got = dispatch.plan_typed_paths(spark, named, messages, "from").collect()
+    assert [(r.file_name, r.msisdn[-1], r.message) for r in got] == [("c_p02.txt", "5", "P")]
+
+
+def test_call_list(spark, put):
+    path = put("calls.csv", "MSISDN\n" + "".join(f"255{i:09d}\n" for i in range(5)))
+    got = dispatch.plan_call_list(spark, [path], 7, batch=2, per_second=1).orderBy("pos").collect()
+    assert [(r.batch_no, r.earliest_start_s) for r in got] == [(0, 0), (0, 0), (1, 2), (1, 2), (2, 4)]
+    assert got[0].request_query == "msisdn=255000000000&account=7&MaxRetries=3&RetryTime=1&WaitTime=1"
