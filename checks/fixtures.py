@@ -10,7 +10,6 @@ from muster.sinks.writers import write_csv
 from muster.sources.lists import list_csv_files
 from muster.sources.remote import default_filesystem, qualify, task_filesystem
 
-ROWS_PER_LIST = 100
 ROWS_PER_PART = 1_000_000
 
 MESSAGES = {
@@ -51,9 +50,11 @@ TRAFFIC = {
     "ts": "ts",
 }
 
-# Small list files, ROWS_PER_LIST customers each: name, and what is wrong with some of them.
+# List files of 100 customers, more where the table is large, so that there are about a
+# thousand of them and none has over a million rows: name, and what is wrong with some.
 LISTS = {
-    "list_no": f"cast(floor(c_custkey / {ROWS_PER_LIST}) as bigint)",
+    "list_rows": "least(1000000, greatest(100, cast(floor(count(*) / 1000) as bigint)))",
+    "list_no": "cast(floor(c_custkey / {list_rows}) as bigint)",
     "marker": """case list_no % 6 when 0 then 'SMS' when 1 then 'Ivr' when 2 then 'p02'
         when 3 then '921465_sms' when 4 then 'other' else 'sms_ivr' end""",
     "ext": "case list_no % 5 when 2 then 'CSV' when 4 then 'txt' else 'csv' end",
@@ -79,31 +80,31 @@ def traffic(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
     return table(spark, sf_dir, "events").select(name.alias("file_name"), *columns)
 
 
-def list_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per small list: ``list_no``, ``list_name``, ``list_state``."""
-    numbered = table(spark, sf_dir, "customer").select(F.expr(LISTS["list_no"]).alias("list_no")).distinct()
+def with_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with the list they are in: ``list_no``, ``list_name``, ``list_state``."""
+    customers = table(spark, sf_dir, "customer")
+    list_rows = customers.select(F.expr(LISTS["list_rows"])).first()[0]
+    rows = customers.withColumn("list_no", F.expr(LISTS["list_no"].format(list_rows=list_rows)))
     for name in ("marker", "ext", "list_name", "list_state"):
-        numbered = numbered.withColumn(name, F.expr(LISTS[name]))
-    return numbered.drop("marker", "ext")
+        rows = rows.withColumn(name, F.expr(LISTS[name]))
+    return rows
+
+
+def list_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_list(spark, sf_dir).select("list_no", "list_name", "list_state").distinct()
 
 
 _written: dict[tuple, object] = {}
 
 
 def list_folder(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
-    """A folder with the small lists as files, and the paths of all lists, also those never written."""
+    """A folder with the lists as files, and the paths of all lists, also those never written."""
     key = (spark.sparkContext.applicationId, sf_dir, "lists")
     if key not in _written:
         folder = qualify(scratch_path(spark, "lists"), default_filesystem(spark))
-        rows = table(spark, sf_dir, "customer").select(
-            F.expr(LISTS["list_no"]).alias("list_no"),
-            F.expr(SUBSCRIBERS["row_key"]).alias("row_key"),
-            F.expr(SUBSCRIBERS["msisdn_raw"]).alias("msisdn_raw"),
-            F.expr(SUBSCRIBERS["age_raw"]).alias("age_raw"),
-        )
-        for name in ("marker", "ext", "list_name", "list_state"):
-            rows = rows.withColumn(name, F.expr(LISTS[name]))
-        # A list has ROWS_PER_LIST rows, so its group is small whatever the table holds.
+        cells = [F.expr(SUBSCRIBERS[name]).alias(name) for name in ("row_key", "msisdn_raw", "age_raw")]
+        rows = with_list(spark, sf_dir).select("list_no", "list_name", "list_state", *cells)
+        # A file is one run of bytes, so one task writes it; list_rows bounds its size.
         names = rows.groupBy("list_no").applyInPandas(_list_writer(folder), "list_no long, list_name string")
         _written[key] = (folder, [f"{folder}/{r.list_name}" for r in names.orderBy("list_no").collect()])
     return _written[key]
@@ -118,14 +119,16 @@ def _list_writer(folder):
 
         first = rows.iloc[0]
         state = first["list_state"]
-        header = {"no_key_column": ("msisdn", "AGE"), "swapped": ("AGE", "MSISDN")}.get(state, ("MSISDN", "AGE"))
+        header = ("msisdn" if state == "no_key_column" else "MSISDN", "AGE")
+        columns = ("msisdn_raw", "age_raw")
+        if state == "swapped":
+            header, columns = header[::-1], columns[::-1]
         text = io.StringIO()
         if state != "empty":
             out = csv.writer(text, lineterminator="\n")
             out.writerow(header)
-            for _, row in rows.sort_values("row_key").iterrows():
-                cells = (row["msisdn_raw"], row["age_raw"])
-                out.writerow(reversed(cells) if state == "swapped" else cells)
+            ordered = rows.sort_values("row_key")
+            out.writerows(zip(*(ordered[name] for name in columns)))
         if state != "missing":
             filesystem, inner = locate(f"{folder}/{first['list_name']}")
             filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)

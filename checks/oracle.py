@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.fixtures import CAMPAIGNS, LISTS, MESSAGES, ROWS_PER_LIST, SENDER, SUBSCRIBERS, TRAFFIC
+from checks.fixtures import CAMPAIGNS, LISTS, MESSAGES, SENDER, SUBSCRIBERS, TRAFFIC
 from checks.queries import BATCH, CHUNK, RUN_TIME, SLICE_LIMIT, SLICE_START
 
 
@@ -85,7 +85,8 @@ SPAN = """span AS (
     SELECT file_name, min(ts) AS start_ts, max(ts) AS end_ts, epoch_us(max(ts)) - epoch_us(min(ts)) AS duration_us
     FROM traffic GROUP BY file_name)"""
 
-LIST_ROWS = f"""numbers AS (SELECT DISTINCT {LISTS["list_no"]} AS list_no FROM customer),
+LIST_ROWS = f"""size AS (SELECT {LISTS["list_rows"]} AS list_rows FROM customer),
+numbers AS (SELECT DISTINCT {LISTS["list_no"].format(list_rows="list_rows")} AS list_no FROM customer, size),
 parts AS (SELECT list_no, {LISTS["marker"]} AS marker, {LISTS["ext"]} AS ext, {LISTS["list_state"]} AS list_state FROM numbers),
 lists AS (
     SELECT list_no, {LISTS["list_name"]} AS file_name, ext, list_state, {_type(LISTS["list_name"])} AS file_type,
@@ -93,7 +94,8 @@ lists AS (
 list_rows AS (
     SELECT l.file_ordinal, l.file_name, l.ext, l.file_type, s.row_key, s.msisdn_raw, coalesce(s.age_raw, '') AS age_raw,
         CAST(row_number() OVER (PARTITION BY l.file_name ORDER BY s.row_key) - 1 AS BIGINT) AS row_pos
-    FROM lists l JOIN subs s ON CAST(floor(s.row_key / {ROWS_PER_LIST}) AS BIGINT) = l.list_no
+    FROM lists l JOIN (SELECT subs.*, CAST(floor(row_key / list_rows) AS BIGINT) AS list_no FROM subs, size) s
+        ON s.list_no = l.list_no
     WHERE l.list_state IN ('plain', 'swapped'))"""
 
 LIST_TABLES = f"{SUBS}, {LIST_ROWS}"

@@ -55,7 +55,7 @@ def count_splits(rows: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     pin_split_size(spark)
-    sizes = _tag(rows).groupBy(*SPLIT_COLUMNS, "_task").agg(F.min("_id").alias("_first"), F.count("*").alias("_size"))
+    sizes = _tag(rows).groupBy("_split", *SPLIT_COLUMNS).agg(F.min("_id").alias("_first"), F.count("*").alias("_size"))
     path = scratch_path(spark, "splits")
     sizes.write.parquet(path)
     return spark.read.schema(sizes.schema).parquet(path)
@@ -85,12 +85,16 @@ def number_by_split(
     than number rows wrongly.
     """
     splits = count_splits(rows) if splits is None else splits
+    split_count, tags = splits.agg(F.count("*"), F.count_distinct("_split")).first()
+    if tags != split_count:
+        raise ValueError("two splits have the same tag")
     in_file = Window.partitionBy("split_path")
     earlier = in_file.orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        splits.withColumn("_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .withColumn("file_path", plain_path(F.col("split_path")))
-        .drop("_size")
+    starts = splits.select(
+        "_split",
+        "_first",
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
+        plain_path(F.col("split_path")).alias("file_path"),
     )
     totals = splits.groupBy(plain_path(F.col("split_path")).alias("file_path")).agg(F.sum("_size").alias("file_rows"))
     # One row per file in one task: the driver's own listing holds as many.
@@ -99,19 +103,21 @@ def number_by_split(
         "_file_start", F.coalesce(F.sum("file_rows").over(before), F.lit(0))
     )
     starts = starts.join(totals, "file_path", "left")
-    if splits.count() <= broadcast_splits:
+    if split_count <= broadcast_splits:
         starts = F.broadcast(starts)
 
-    placed = _tag(rows).join(starts, [*SPLIT_COLUMNS, "_task"], "left")
+    placed = _tag(rows).drop(*SPLIT_COLUMNS).join(starts, "_split", "left")
     changed = F.raise_error(F.lit("a split changed between two passes over the lists")).cast("boolean")
     placed = placed.filter(F.when(F.col("_first").isNull(), changed).otherwise(F.col("file_ordinal").isNotNull()))
     place = F.col("_start") + F.col("_id") - F.col("_first")
     return (
         placed.withColumn("pos", place)
         .withColumn("list_pos", F.col("_file_start") + place)
-        .drop(*SPLIT_COLUMNS, "_task", "_id", "_first", "_start", "_file_start")
+        .drop("_split", "_id", "_first", "_start", "_file_start")
     )
 
 
 def _tag(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("_task", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id())
+    """Add the row id, and one number that stands for the split and the task it is read by."""
+    tag = F.xxhash64(*SPLIT_COLUMNS, F.spark_partition_id())
+    return rows.withColumn("_split", tag).withColumn("_id", F.monotonically_increasing_id())

@@ -8,31 +8,33 @@ from pyspark.sql import functions as F
 from muster.functions import strip_quotes
 
 
-def write_csv(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header in every part, doubled quotes, and cells neither trimmed nor filled in."""
-    (
-        rows.write.mode(mode)
-        .option("header", True)
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("lineSep", "\n")
-        .csv(path)
-    )
+def write_csv(rows: DataFrame, path: str, mode: str = "errorifexists") -> int:
+    """CSV with a header in every part, doubled quotes, and cells neither trimmed nor filled in.
+
+    Returns the rows written, counted on the way, as do the other writers.
+    """
+    options = {
+        "header": True,
+        "escape": '"',
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+        "lineSep": "\n",
+    }
+    return _counted(rows, lambda counted: counted.write.mode(mode).options(**options).csv(path))
 
 
-def write_text(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    lines.write.mode(mode).option("lineSep", "\n").text(path)
+def write_text(lines: DataFrame, path: str, mode: str = "errorifexists") -> int:
+    return _counted(lines, lambda counted: counted.write.mode(mode).option("lineSep", "\n").text(path))
 
 
-def write_without_quotes(lines: DataFrame, path: str) -> None:
+def write_without_quotes(lines: DataFrame, path: str) -> int:
     """Text with every double quote removed. Quoted commas become cell borders, as asked for."""
-    write_text(lines.select(strip_quotes(F.col("line")).alias("line")), path)
+    return write_text(lines.select(strip_quotes(F.col("line")).alias("line")), path)
 
 
 def append_table(rows: DataFrame, path: str) -> int:
-    """Append to a parquet table and return the rows written, counted on the way."""
+    """Append to a parquet table."""
     return _counted(rows, lambda counted: counted.write.mode("append").parquet(path))
 
 

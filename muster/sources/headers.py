@@ -73,6 +73,8 @@ def _head_reader():
 
     def head_of(path):
         import csv
+        import io
+        import sys
 
         from pyarrow import fs
 
@@ -86,30 +88,23 @@ def _head_reader():
                 return None, unopenable, None, None
             if info.size == 0:
                 return 0, empty, None, None
-            line = b""
             with filesystem.open_input_stream(inner, compression=None) as stream:
-                while b"\n" not in line:
-                    piece = stream.read(65536)
-                    if not piece:
-                        break
-                    line += piece
+                line = io.BufferedReader(stream, 65536).readline()
         except OSError:
             return None, unopenable, None, None
-        text = line.split(b"\n", 1)[0].decode("utf-8-sig", errors="replace")
+        csv.field_size_limit(sys.maxsize)
+        text = line.removesuffix(b"\n").decode("utf-8-sig", errors="replace")
         cells = next(csv.reader([text.removesuffix("\r")]), [])
         return info.size, ok, cells, text.endswith("\r")
 
     def read_heads(batches):
+        import pandas
+
         for batch in batches:
             heads = [head_of(path) for path in batch["file_path"]]
-            for i, column in enumerate(("size_bytes", "state", "header", "crlf")):
-                values = [head[i] for head in heads]
-                if column == "size_bytes":
-                    import pandas
-
-                    batch[column] = pandas.array(values, dtype="Int64")
-                else:
-                    batch[column] = values
+            batch["size_bytes"] = pandas.array([head[0] for head in heads], dtype="Int64")
+            for i, column in enumerate(("state", "header", "crlf"), start=1):
+                batch[column] = [head[i] for head in heads]
             yield batch
 
     return read_heads

@@ -16,7 +16,8 @@ from muster.session import pin_split_size
 from muster.sources.headers import AGE_COLUMN, KEY_COLUMN, OK, UNSUPPORTED, file_list, probe_files
 from muster.sources.remote import as_literal, decode_listed, default_filesystem, is_directly_in, qualify
 
-CSV_GLOB = "*.[cC][sS][vV]"
+# Without recursive lookup a folder that has subfolders is taken for a partitioned table.
+FOLDER_OPTIONS = {"pathGlobFilter": "*.[cC][sS][vV]", "recursiveFileLookup": "true"}
 SPLIT_COLUMNS = ("split_path", "split_start", "split_length")
 KNOWN_TYPES = tuple(label for label, _ in TYPE_MARKERS)
 
@@ -44,13 +45,13 @@ def csv_reader(spark: SparkSession, multi_line: bool = False):
 def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
     """Full paths of the CSV files in a folder, in byte order, empty files included.
 
-    Names only: no file is opened. Subfolders are left alone, and a folder that
-    does not exist has no files.
+    Names only: no file is opened. What lies in subfolders is left out, and a
+    folder that does not exist has no files.
     """
     home = qualify(folder, default_filesystem(spark)).rstrip("/")
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    reader = spark.read.format("binaryFile").options(**FOLDER_OPTIONS)
     try:
-        found = reader.load(csv_glob(home)).inputFiles()
+        found = reader.load(as_literal(home)).inputFiles()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -59,10 +60,6 @@ def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted((path for path in paths if is_directly_in(path, home)), key=str.encode)
 
 
-def csv_glob(folder: str) -> str:
-    return f"{as_literal(folder.rstrip('/'))}/{CSV_GLOB}"
-
-
 def discover_files(spark: SparkSession, folder: str, types: Sequence[str] = KNOWN_TYPES) -> DataFrame:
     """CSV files of a folder whose name tells a known type, sorted and numbered."""
     listed = file_list(spark, list_csv_files(spark, folder)).drop("file_ordinal")
@@ -158,9 +155,9 @@ def _positional_scan(spark, paths, places, multi_line):
     ]
     return table.select(
         *wanted,
-        F.col("_metadata.file_path").alias("split_path"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        F.col("_metadata.file_block_length").alias("split_length"),
+        F.input_file_name().alias("split_path"),
+        F.input_file_block_start().alias("split_start"),
+        F.input_file_block_length().alias("split_length"),
     )
 
 

@@ -16,8 +16,8 @@ from muster.functions import file_type
 from muster.plans.dispatch import plan_typed_files
 from muster.sinks.writers import write_outbox
 from muster.sources.headers import file_list
-from muster.sources.lists import csv_glob, file_status
-from muster.sources.remote import default_filesystem, is_directly_in, qualify
+from muster.sources.lists import FOLDER_OPTIONS, file_status
+from muster.sources.remote import as_literal, default_filesystem, is_directly_in, qualify
 
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
@@ -57,9 +57,9 @@ def plan_arrivals(
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(LISTING)
-        .option("recursiveFileLookup", True)
+        .options(**FOLDER_OPTIONS)
         .option("maxFilesPerTrigger", files_per_batch)
-        .load(csv_glob(home))
+        .load(as_literal(home))
         .select("path")
     )
     return (

@@ -57,7 +57,7 @@ def test_changed_splits_fail_the_job(spark, lists_on_disk, split_size):
     paths, _ = lists_on_disk
     split_size(5_000)
     scan = scan_lists(spark, paths)
-    splits = count_splits(scan.rows).withColumn("split_start", F.col("split_start") + 1)
+    splits = count_splits(scan.rows).withColumn("_split", F.col("_split") + 1)
     with pytest.raises(SparkRuntimeException, match="split changed"):
         number_by_split(scan.rows, scan.files, splits).collect()
 
