@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.fixtures import CAMPAIGNS, LISTS, MESSAGES, SENDER, SUBSCRIBERS, TRAFFIC
-from checks.queries import BATCH, CHUNK, RUN_TIME, SLICE_LIMIT, SLICE_START
+from checks.queries import BATCH, CHUNK, HOUR, RUN_TIME, SLICE_LIMIT, SLICE_START
 
 
 def _select(rules):
@@ -41,12 +41,14 @@ def _hms(s):
     return f"printf('%02d:%02d:%02d', (({s}) // 3600) % 24, (({s}) // 60) % 60, ({s}) % 60)"
 
 
-def _rate(n, width, per_us):
+def _rate(n, width, unit_seconds):
     return f"""CASE WHEN {width} > 0
-        THEN CAST((CAST({n} AS HUGEINT) * {200 * per_us} + {width}) // (2 * {width}) AS BIGINT) ELSE 0 END"""
+        THEN CAST((CAST({n} AS HUGEINT) * {20_000 * unit_seconds} + {width}) // (2 * {width}) AS BIGINT) ELSE 0 END"""
 
 
-HOUR_US = 3_600_000_000
+def _between(start, end):
+    return f"(epoch_us({end}) - epoch_us({start}) + 5000) // 10000"
+
 
 SUBS = f"subs AS (SELECT {_select(SUBSCRIBERS)} FROM customer)"
 
@@ -82,8 +84,11 @@ LAST = """last AS (
         count(*) AS issued FROM plan GROUP BY ALL)"""
 
 SPAN = """span AS (
-    SELECT file_name, min(ts) AS start_ts, max(ts) AS end_ts, epoch_us(max(ts)) - epoch_us(min(ts)) AS duration_us
-    FROM traffic GROUP BY file_name)"""
+    SELECT file_name, min(ts) AS start_ts, max(ts) AS end_ts, %s AS duration_x100
+    FROM traffic GROUP BY file_name)""" % _between("min(ts)", "max(ts)")
+
+COUNTS = """counts AS (SELECT file_name, count(*) FILTER (transport_errno = 0) AS sent,
+        count(*) FILTER (transport_errno <> 0) AS failed FROM traffic GROUP BY file_name)"""
 
 LIST_ROWS = f"""size AS (SELECT {LISTS["list_rows"]} AS list_rows FROM customer),
 numbers AS (SELECT DISTINCT {LISTS["list_no"].format(list_rows="list_rows")} AS list_no FROM customer, size),
@@ -197,8 +202,7 @@ ORACLE = {
         FROM list_rows WHERE lower(ext) = 'csv' AND file_type IS NOT NULL AND {_valid("msisdn_raw")}),
         {_batches("picked", CHUNK, BATCH)}
         SELECT file_name, msisdn, pos, chunk_no, batch_no, port, {_message("file_type")} AS message FROM plan""",
-    "outcome_counts": f"""WITH {_traffic(3)} SELECT file_name, count(*) FILTER (transport_errno = 0) AS sent,
-        count(*) FILTER (transport_errno <> 0) AS failed FROM traffic GROUP BY file_name""",
+    "outcome_counts": f"""WITH {_traffic(3)}, {COUNTS} SELECT * FROM counts""",
     "batch_distinct": f"""WITH {_issued(1)} SELECT file_name, chunk_no, batch_no, count(*) AS issued,
         count(DISTINCT msisdn) AS counted FROM plan GROUP BY ALL""",
     "batch_last_outcome": f"WITH {_issued(1)}, {LAST} SELECT * FROM last",
@@ -206,27 +210,27 @@ ORACLE = {
         SELECT file_name, CAST(sum(issued) AS BIGINT) AS issued, count(*) AS counted,
             count(*) FILTER (transport_errno = 0) AS sent, count(*) FILTER (transport_errno <> 0) AS failed
         FROM last GROUP BY file_name), both_levels AS (
-        SELECT file_name, CAST(0 AS BIGINT) AS level, issued, counted, sent, failed, duration_us
+        SELECT file_name, CAST(0 AS BIGINT) AS level, issued, counted, sent, failed, duration_x100
             FROM totals JOIN span USING (file_name)
         UNION ALL SELECT NULL, CAST(1 AS BIGINT), CAST(sum(issued) AS BIGINT), CAST(sum(counted) AS BIGINT),
-            CAST(sum(sent) AS BIGINT), CAST(sum(failed) AS BIGINT), epoch_us(max(end_ts)) - epoch_us(min(start_ts))
+            CAST(sum(sent) AS BIGINT), CAST(sum(failed) AS BIGINT), {_between("min(start_ts)", "max(end_ts)")}
             FROM totals JOIN span USING (file_name))
-        SELECT *, {_rate("sent", "duration_us", HOUR_US)} AS rate_x100 FROM both_levels""",
-    "voice_totals": f"""WITH {_traffic(3)}, placed AS (SELECT *,
+        SELECT *, {_rate("sent", "duration_x100", HOUR)} AS rate_x100 FROM both_levels""",
+    "voice_totals": f"""WITH {_traffic(3)}, {SPAN}, placed AS (SELECT *,
             (row_number() OVER (PARTITION BY file_name ORDER BY row_key) - 1) // 50 AS batch_no FROM traffic),
         last AS (SELECT file_name, batch_no, msisdn, arg_max(transport_errno, row_key) AS errno, count(*) AS n
-            FROM placed GROUP BY ALL)
-        SELECT file_name, CAST(sum(n) AS BIGINT) AS processed, count(*) FILTER (errno = 0) AS success,
-            count(*) FILTER (errno <> 0) AS failed FROM last GROUP BY file_name""",
+            FROM placed GROUP BY ALL),
+        totals AS (SELECT file_name, CAST(sum(n) AS BIGINT) AS processed, count(*) FILTER (errno = 0) AS success,
+            count(*) FILTER (errno <> 0) AS failed FROM last GROUP BY file_name)
+        SELECT totals.*, duration_x100, {_rate("processed", "duration_x100", HOUR)} AS rate_x100
+            FROM totals JOIN span USING (file_name)""",
     "run_span": f"""WITH {_traffic(3)}, {SPAN} SELECT file_name,
         strftime(start_ts + INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') AS started,
-        strftime(end_ts + INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') AS ended, duration_us,
-        {_hms("duration_us // 1000000")} AS duration FROM span""",
-    "send_rate": f"""WITH {_traffic(3)}, r AS (SELECT file_name, count(*) AS processed,
-        epoch_us(max(ts)) - epoch_us(min(ts)) AS duration_us FROM traffic GROUP BY file_name)
-        SELECT *, {_rate("processed", "duration_us", HOUR_US)} AS rate_x100 FROM r""",
-    "send_rate_floor1": f"""WITH {_traffic(1)}, r AS (
-        SELECT msisdn || ' ' || strftime(ts, '%Y-%m-%d %H') AS run, count(*) AS processed,
-        epoch_us(max(ts)) - epoch_us(min(ts)) AS duration_us FROM traffic GROUP BY ALL)
-        SELECT *, {_rate("processed", "greatest(duration_us, 1000000)", 1_000_000)} AS rate_x100 FROM r""",
+        strftime(end_ts + INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S') AS ended, duration_x100,
+        {_hms("duration_x100 // 100")} AS duration FROM span""",
+    "send_rate": f"""WITH {_traffic(3)}, {COUNTS}, {SPAN} SELECT counts.*, duration_x100,
+        {_rate("sent", "duration_x100", HOUR)} AS rate_x100 FROM counts JOIN span USING (file_name)""",
+    "send_rate_floor1": f"""WITH traffic AS (SELECT 'traffic_' || strftime(ts, '%Y%m%d%H%M') || '.csv' AS file_name,
+        {_select(TRAFFIC)} FROM events), {COUNTS}, {SPAN} SELECT counts.*, duration_x100,
+        {_rate("sent", "greatest(duration_x100, 100)", 1)} AS rate_x100 FROM counts JOIN span USING (file_name)""",
 }

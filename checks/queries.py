@@ -43,6 +43,7 @@ from muster.sources.text import scan_text
 from muster.streaming.folder import plan_arrivals
 
 CHUNK, BATCH = 70, 11
+HOUR = 3_600
 RUN_TIME = "2024-05-16 08:30:00"
 SLICE_START, SLICE_LIMIT = 1_001, 5_000
 
@@ -360,35 +361,33 @@ def batch_last_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def totals_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = outcomes.file_totals(_issued(spark, sf_dir, 3))
-    return outcomes.totals_rollup(totals, outcomes.run_span(traffic(spark, sf_dir, 3)))
+    return outcomes.totals_rollup(totals, outcomes.run_span(traffic(spark, sf_dir, 3)), HOUR)
 
 
 def voice_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calls per list: processed with repeats, success and failed by last result per batch."""
     calls = dispatch.plan_calls(number_by_key(traffic(spark, sf_dir, 3)))
-    totals = outcomes.file_totals(calls, ("file_name", "batch_no"))
-    return totals.select(
-        "file_name",
-        F.col("issued").alias("processed"),
-        F.col("sent").alias("success"),
-        "failed",
+    totals = outcomes.file_totals(calls, ("file_name", "batch_no")).select(
+        "file_name", F.col("issued").alias("processed"), F.col("sent").alias("success"), "failed"
     )
+    spans = outcomes.run_span(traffic(spark, sf_dir, 3)).select("file_name", "duration_x100")
+    return outcomes.add_rate(totals.join(spans, "file_name"), "processed", HOUR)
 
 
 def run_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = outcomes.run_span(traffic(spark, sf_dir, 3))
-    return span.select("file_name", "started", "ended", "duration_us", "duration")
+    return span.select("file_name", "started", "ended", "duration_x100", "duration")
 
 
 def send_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outcomes.send_rate(traffic(spark, sf_dir, 3))
+    return outcomes.add_rate(outcomes.outcome_counts(traffic(spark, sf_dir, 3), ts="ts"), unit_seconds=HOUR)
 
 
 def send_rate_floor1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates per second and number, where many numbers have one request and no duration of their own."""
-    rows = traffic(spark, sf_dir).withColumn("hour", F.date_format("ts", "yyyy-MM-dd HH"))
-    rows = rows.withColumn("run", F.concat_ws(" ", "msisdn", "hour"))
-    return outcomes.send_rate(rows, "run", outcomes.SECOND_US, outcomes.SECOND_US)
+    """One list per minute: most have a single request, so their durations are below a second."""
+    minute = F.date_format("ts", "yyyyMMddHHmm")
+    rows = traffic(spark, sf_dir).withColumn("file_name", F.concat(F.lit("traffic_"), minute, F.lit(".csv")))
+    return outcomes.add_rate(outcomes.outcome_counts(rows, ts="ts"), floor_seconds=1)
 
 
 QUERIES = {

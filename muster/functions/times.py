@@ -26,14 +26,19 @@ def hms(seconds: Column) -> Column:
     )
 
 
+def duration_hundredths(duration_us: Column) -> Column:
+    """Microseconds as seconds rounded to two places, in hundredths of a second."""
+    return whole_div(duration_us + 5_000, 10_000)
+
+
 def rate(count: Column, seconds: Column) -> Column:
     """Count per second to two places, 0 for an empty duration."""
     return F.round(F.coalesce(F.try_divide(count, seconds), F.lit(0.0)), 2)
 
 
-def rate_hundredths(count: Column, duration_us: Column, per_us: int = 1_000_000) -> Column:
-    """Count per ``per_us`` microseconds, in hundredths, rounded half up in exact arithmetic."""
-    doubled = count.cast("decimal(18,0)") * F.lit(200 * per_us).cast("decimal(18,0)")
-    width = duration_us.cast("decimal(18,0)")
+def rate_hundredths(count: Column, duration_x100: Column, unit_seconds: int = 1) -> Column:
+    """Count per unit in hundredths, from hundredths of a second, rounded half up in exact arithmetic."""
+    doubled = count.cast("decimal(18,0)") * F.lit(20_000 * unit_seconds).cast("decimal(18,0)")
+    width = duration_x100.cast("decimal(18,0)")
     exact = whole_div(doubled + width, F.lit(2).cast("decimal(1,0)") * width)
-    return F.when(duration_us > 0, exact).otherwise(F.lit(0).cast("long"))
+    return F.when(duration_x100 > 0, exact).otherwise(F.lit(0).cast("long"))

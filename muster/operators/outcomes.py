@@ -9,19 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from muster.functions import hms, local_time, rate_hundredths, whole_div
+from muster.functions import duration_hundredths, hms, local_time, rate_hundredths, whole_div
 
 BATCH = ("file_name", "chunk_no", "batch_no")
-SECOND_US = 1_000_000
-HOUR_US = 3_600 * SECOND_US
 
 
-def outcome_counts(outcomes: DataFrame, by: str = "file_name") -> DataFrame:
-    """Sent and failed by error code, every request counted."""
-    return outcomes.groupBy(by).agg(
+def outcome_counts(outcomes: DataFrame, by: str = "file_name", ts: str | None = None) -> DataFrame:
+    """Sent and failed by error code, every request counted; with ``ts`` also the duration, in the same pass."""
+    counts = [
         F.count_if(F.col("transport_errno") == 0).alias("sent"),
         F.count_if(F.col("transport_errno") != 0).alias("failed"),
-    )
+    ]
+    if ts is not None:
+        counts.append(_between(F.min(ts), F.max(ts)).alias("duration_x100"))
+    return outcomes.groupBy(by).agg(*counts)
 
 
 def batch_last_outcomes(outcomes: DataFrame, batch=BATCH) -> DataFrame:
@@ -60,45 +61,49 @@ def file_totals(outcomes: DataFrame, batch=BATCH) -> DataFrame:
     )
 
 
-def totals_rollup(totals: DataFrame, spans: DataFrame, per_us: int = HOUR_US) -> DataFrame:
-    """Per-file totals and a grand total (``level`` 1, null name) with durations and rates.
+def run_span(outcomes: DataFrame, by: str = "file_name", ts: str = "ts") -> DataFrame:
+    """First and last time, their local rendering, the duration to a hundredth second and as ``H:i:s``."""
+    span = outcomes.groupBy(by).agg(F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"))
+    span = span.withColumn("duration_x100", _between(F.col("start_ts"), F.col("end_ts")))
+    return span.select(
+        by,
+        "start_ts",
+        "end_ts",
+        local_time(F.col("start_ts")).alias("started"),
+        local_time(F.col("end_ts")).alias("ended"),
+        "duration_x100",
+        hms(whole_div(F.col("duration_x100"), 100)).alias("duration"),
+    )
+
+
+def add_rate(totals: DataFrame, count: str = "sent", unit_seconds: int = 1, floor_seconds: int = 0) -> DataFrame:
+    """Add ``rate_x100``, the ``count`` per unit of time in hundredths, over ``duration_x100``.
+
+    A duration of 0 gives the rate 0; with ``floor_seconds`` shorter durations
+    count as that long.
+    """
+    width = F.greatest(F.col("duration_x100"), F.lit(100 * floor_seconds).cast("long"))
+    return totals.withColumn("rate_x100", rate_hundredths(F.col(count), width, unit_seconds))
+
+
+def totals_rollup(totals: DataFrame, spans: DataFrame, unit_seconds: int = 1) -> DataFrame:
+    """Per-file totals and a grand total (``level`` 1, null name) with durations and rates of sending.
 
     Rolled up from one row per file, so the expansion a rollup makes happens
     after the aggregation and not on the outcome rows. The grand duration runs
     from the first start to the last end.
     """
-    return (
+    rolled = (
         totals.join(spans.select("file_name", "start_ts", "end_ts"), "file_name")
         .rollup("file_name")
         .agg(
             F.grouping("file_name").cast("long").alias("level"),
             *[F.sum(c).alias(c) for c in ("issued", "counted", "sent", "failed")],
-            F.timestamp_diff("MICROSECOND", F.min("start_ts"), F.max("end_ts")).alias("duration_us"),
+            _between(F.min("start_ts"), F.max("end_ts")).alias("duration_x100"),
         )
-        .withColumn("rate_x100", rate_hundredths(F.col("sent"), F.col("duration_us"), per_us))
-    )
-
-
-def run_span(outcomes: DataFrame, by: str = "file_name", ts: str = "ts") -> DataFrame:
-    """First and last time, their local rendering, the duration in microseconds and as ``H:i:s``."""
-    span = outcomes.groupBy(by).agg(F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"))
-    span = span.withColumn("duration_us", F.timestamp_diff("MICROSECOND", F.col("start_ts"), F.col("end_ts")))
-    return span.select(
-        by,
-        "start_ts",
-        "end_ts",
-        local_time(F.col("start_ts")).alias("started"),
-        local_time(F.col("end_ts")).alias("ended"),
-        "duration_us",
-        hms(whole_div(F.col("duration_us"), SECOND_US)).alias("duration"),
     )
+    return add_rate(rolled, unit_seconds=unit_seconds)
 
 
-def send_rate(outcomes: DataFrame, by: str = "file_name", per_us: int = HOUR_US, floor_us: int = 0) -> DataFrame:
-    """Requests per ``per_us`` in hundredths; durations below ``floor_us`` count as that long."""
-    span = outcomes.groupBy(by).agg(
-        F.count("*").alias("processed"),
-        F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts")).alias("duration_us"),
-    )
-    width = F.greatest(F.col("duration_us"), F.lit(floor_us).cast("long"))
-    return span.withColumn("rate_x100", rate_hundredths(F.col("processed"), width, per_us))
+def _between(start, end):
+    return duration_hundredths(F.timestamp_diff("MICROSECOND", start, end))

@@ -14,7 +14,7 @@ from muster.functions import plain_path, whole_div
 from muster.session import pin_split_size, scratch_path
 from muster.sources.lists import SPLIT_COLUMNS
 
-STRIPE_KEYS = 1_000_000
+STRIPE_KEYS = 250_000
 BROADCAST_SPLITS = 1_000_000
 
 

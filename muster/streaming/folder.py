@@ -19,6 +19,8 @@ from muster.sources.headers import file_list
 from muster.sources.lists import FOLDER_OPTIONS, file_status
 from muster.sources.remote import as_literal, default_filesystem, is_directly_in, qualify
 
+# A list may arrive with an old time stamp; by default those of a week before the newest are passed over.
+ANY_AGE = "36500d"
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -59,6 +61,7 @@ def plan_arrivals(
         .schema(LISTING)
         .options(**FOLDER_OPTIONS)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", ANY_AGE)
         .load(as_literal(home))
         .select("path")
     )

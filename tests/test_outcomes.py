@@ -43,13 +43,13 @@ def test_last_outcome_wins_within_a_batch_only(spark):
 def test_rollup_has_one_row_per_file_and_one_for_all(spark):
     frame = issued(spark, some_rows())
     spans = outcomes.run_span(frame)
-    got = outcomes.totals_rollup(outcomes.file_totals(frame), spans, outcomes.SECOND_US).collect()
+    got = outcomes.totals_rollup(outcomes.file_totals(frame), spans).collect()
     grand = [r for r in got if r.level == 1]
     files = [r for r in got if r.level == 0]
     assert len(grand) == 1 and grand[0].file_name is None and len(files) == 3
     for column in ("issued", "counted", "sent", "failed"):
         assert grand[0][column] == sum(r[column] for r in files)
-    assert grand[0].duration_us == 399 * outcomes.SECOND_US
+    assert grand[0].duration_x100 == 39_900
     assert grand[0].rate_x100 == (grand[0].sent * 200 + 399) // (2 * 399)
     assert next(r for r in files if r.file_name == "c.csv").rate_x100 == 0
 
@@ -58,16 +58,26 @@ def test_span_wraps_after_a_day(spark):
     rows = [("f", 0, "a", 0, START), ("f", 1, "b", 0, START + timedelta(days=1, seconds=61, microseconds=5))]
     got = outcomes.run_span(issued(spark, rows)).first()
     assert (got.started, got.ended) == ("2024-01-01 03:00:00", "2024-01-02 03:01:01")
-    assert (got.duration_us, got.duration) == (86_461_000_005, "00:01:01")
+    assert (got.duration_x100, got.duration) == (8_646_100, "00:01:01")
+
+
+def test_durations_are_rounded_to_a_hundredth_before_use(spark):
+    for micros, hundredths, shown in ((59_994_999, 5_999, "00:00:59"), (59_995_000, 6_000, "00:01:00"), (4_999, 0, "00:00:00")):
+        rows = [("f", 0, "a", 0, START), ("f", 1, "b", 0, START + timedelta(microseconds=micros))]
+        got = outcomes.run_span(issued(spark, rows)).first()
+        assert (got.duration_x100, got.duration) == (hundredths, shown)
 
 
 def test_rate_guards(spark):
     rows = [("one", 0, "a", 0, START), ("two", 0, "a", 0, START), ("two", 1, "b", 28, START + timedelta(seconds=4))]
     frame = issued(spark, rows)
-    plain = {r.file_name: r.rate_x100 for r in outcomes.send_rate(frame, per_us=outcomes.SECOND_US).collect()}
-    assert plain == {"one": 0, "two": 50}
-    floored = outcomes.send_rate(frame, per_us=outcomes.SECOND_US, floor_us=outcomes.SECOND_US).collect()
-    assert {r.file_name: r.rate_x100 for r in floored} == {"one": 100, "two": 50}
+    totals = outcomes.outcome_counts(frame, ts="ts")
+    plain = {r.file_name: r.rate_x100 for r in outcomes.add_rate(totals).collect()}
+    assert plain == {"one": 0, "two": 25}
+    floored = {r.file_name: r.rate_x100 for r in outcomes.add_rate(totals, floor_seconds=1).collect()}
+    assert floored == {"one": 100, "two": 25}
+    hourly = {r.file_name: r.rate_x100 for r in outcomes.add_rate(totals, unit_seconds=3_600).collect()}
+    assert hourly == {"one": 0, "two": 90_000}
 
 
 def test_counts_by_error_code(spark):

@@ -1,3 +1,6 @@
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,7 +36,8 @@ def test_each_list_is_planned_once(spark, put, tmp_path, run):
     first = [("a_sms.csv", "01", 0, 1, "S"), ("a_sms.csv", "02", 1, 1, "S"), ("b_ivr.CSV", "11", 0, 1, "I")]
     assert run() == first
     assert run() == first
-    put("in/c_p02.csv", "MSISDN\n255000000021\n")
+    month_ago = time.time() - 30 * 86_400
+    os.utime(put("in/c_p02.csv", "MSISDN\n255000000021\n"), (month_ago, month_ago))
     assert run() == [*first, ("c_p02.csv", "21", 0, 1, "P")]
     status = spark.read.parquet(str(tmp_path / "out/status")).collect()
     assert {(r.file_name, r.status) for r in status} == {
