@@ -61,6 +61,15 @@ def count_splits(rows: DataFrame) -> DataFrame:
     return spark.read.schema(sizes.schema).parquet(path)
 
 
+def file_starts(splits: DataFrame, files: DataFrame) -> DataFrame:
+    """Files with their ``file_rows`` and ``file_start``, the rows in files of lower ordinal."""
+    path = plain_path(F.col("split_path")).alias("file_path")
+    totals = splits.groupBy(path).agg(F.sum("_size").alias("file_rows")).join(files, "file_path")
+    # One row per file in one task: the driver's own listing holds as many.
+    before = Window.orderBy("file_ordinal").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn("file_start", F.coalesce(F.sum("file_rows").over(before), F.lit(0)))
+
+
 def number_by_split(
     rows: DataFrame,
     files: DataFrame,
@@ -96,13 +105,7 @@ def number_by_split(
         F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"),
         plain_path(F.col("split_path")).alias("file_path"),
     )
-    totals = splits.groupBy(plain_path(F.col("split_path")).alias("file_path")).agg(F.sum("_size").alias("file_rows"))
-    # One row per file in one task: the driver's own listing holds as many.
-    before = Window.orderBy("file_ordinal").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.join(files, "file_path").withColumn(
-        "_file_start", F.coalesce(F.sum("file_rows").over(before), F.lit(0))
-    )
-    starts = starts.join(totals, "file_path", "left")
+    starts = starts.join(file_starts(splits, files), "file_path", "left")
     if split_count <= broadcast_splits:
         starts = F.broadcast(starts)
 
@@ -112,8 +115,8 @@ def number_by_split(
     place = F.col("_start") + F.col("_id") - F.col("_first")
     return (
         placed.withColumn("pos", place)
-        .withColumn("list_pos", F.col("_file_start") + place)
-        .drop("_split", "_id", "_first", "_start", "_file_start")
+        .withColumn("list_pos", F.col("file_start") + place)
+        .drop("_split", "_id", "_first", "_start", "file_start")
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.operators.position import number_by_split
+from muster.operators.position import count_splits, file_starts, number_by_split
 from muster.sources.headers import KEY_COLUMN, probe_files
 from muster.sources.lists import scan_columns
 
@@ -28,10 +28,22 @@ def slice_list(
     head = probe_files(spark, paths[:1], optional=()).select("status", "header", "crlf").first()
     if head.header is None or KEY_COLUMN not in head.header:
         raise ValueError(f"no {KEY_COLUMN} column: {head.status}")
-    scan = scan_columns(spark, paths, len(head.header), multi_line)
-    numbered = number_by_split(scan.rows, scan.files)
-    kept = numbered.filter((F.col("list_pos") >= start) & (F.col("list_pos") < start + limit))
-    cells = [F.col(f"c{i}") for i in range(len(head.header))]
+    width, end = len(head.header), start + limit
+    scan = scan_columns(spark, paths, width, multi_line)
+    splits = count_splits(scan.rows)
+    sizes = file_starts(splits, scan.files)
+    hit = sizes.filter((F.col("file_start") < end) & (F.col("file_start") + F.col("file_rows") > start))
+    hit = hit.orderBy("file_ordinal").select("file_path", "file_start").collect()
+    passed_over = 0
+    if len(hit) < scan.files.count():
+        # Files outside the range are counted once by their first column and not read again.
+        scan = scan_columns(spark, [row.file_path for row in hit], width, multi_line)
+        splits = None
+        passed_over = hit[0].file_start if hit else 0
+    pos = F.col("list_pos") + passed_over
+    numbered = number_by_split(scan.rows, scan.files, splits).withColumn("list_pos", pos)
+    kept = numbered.filter((F.col("list_pos") >= start) & (F.col("list_pos") < end))
+    cells = [F.col(f"c{i}") for i in range(width)]
     if head.crlf:
         cells[-1] = F.regexp_replace(cells[-1], r"\r\z", "")
     return kept.select(

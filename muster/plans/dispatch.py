@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from muster.functions import file_type, sms_query, voice_query, whole_div
 from muster.functions.encoding import DLR_MASK
-from muster.operators.lookup import bind_messages, known_types
+from muster.operators.lookup import bind_campaigns, bind_messages, known_types
 from muster.operators.position import number_by_split
 from muster.operators.validate import segment_message, valid_rows
 from muster.sources.headers import file_list
@@ -77,9 +77,10 @@ def plan_calls(numbered: DataFrame, batch: int = CALL_BATCH, per_second: int = C
     return numbered.withColumn("batch_no", number).withColumn("earliest_start_s", number * pause)
 
 
-def sms_outbox(plan: DataFrame) -> DataFrame:
-    """Request rows of a message plan that carries ``message`` and ``sender``."""
+def sms_outbox(plan: DataFrame, *kept: str) -> DataFrame:
+    """Request rows of a message plan that carries ``message`` and ``sender``; ``kept`` names further columns."""
     return plan.select(
+        *kept,
         "file_name",
         "msisdn",
         "pos",
@@ -127,6 +128,18 @@ def plan_campaign(spark: SparkSession, paths: Sequence[str], message: str, sende
     return sms_outbox(plan.withColumn("message", F.lit(message)).withColumn("sender", F.lit(sender)))
 
 
+def plan_campaigns(spark: SparkSession, paths: Sequence[str], campaigns: DataFrame, **sizes) -> DataFrame:
+    """Outbox of many campaigns: ``campaign``, ``file_name``, ``message``, ``sender`` rows bound to the lists.
+
+    The campaigns meet the table of files, not the rows. A list in two campaigns
+    is planned for both; a list in none is left out.
+    """
+    scan = scan_lists(spark, paths)
+    numbered = number_by_split(valid_rows(scan.rows), bind_campaigns(scan.files, campaigns))
+    plan = plan_batches(numbered, **sizes)
+    return sms_outbox(plan, "campaign")
+
+
 def plan_segmented(
     spark: SparkSession, paths: Sequence[str], older: str, younger: str, sender: str, **sizes
 ) -> DataFrame:

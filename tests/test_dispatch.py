@@ -103,6 +103,16 @@ def test_campaign_over_files(spark, put):
     assert got.count() == 60
 
 
+def test_many_campaigns(spark, put):
+    paths = [put(f"{name}.csv", f"MSISDN\n255{i:09d}\n255{i + 1:09d}\n") for i, name in enumerate("abc")]
+    rows = [("one", "a.csv", "m1", "s1"), ("two", "a.csv", "m2", "s2"), ("two", "b.csv", "m2", "s2")]
+    campaigns = spark.createDataFrame(rows, "campaign string, file_name string, message string, sender string")
+    got = dispatch.plan_campaigns(spark, paths, campaigns).collect()
+    assert sorted((r.campaign, r.file_name, r.pos, r.message, r.sender) for r in got) == sorted(
+        (campaign, name, pos, message, sender) for campaign, name, message, sender in rows for pos in (0, 1)
+    )
+
+
 def test_segmented_campaign(spark, put):
     path = put("a.csv", "MSISDN,AGE\n255000000001,35\n255000000002,34\nbad,90\n255000000003,40d\n")
     bare = put("b.csv", "MSISDN\n255000000099\n")

@@ -66,6 +66,15 @@ def test_slice_over_ordered_files_and_odd_headers(spark, put):
     assert got[0].__fields__ == ["pos", "MSISDN", "MSISDN_1", "_c2"]
 
 
+def test_slice_reads_only_the_files_in_range(spark, put):
+    paths = [put(f"{n}.csv", "MSISDN\n" + "".join(f"{n}{i}\n" for i in range(10))) for n in "cabd"]
+    rows = slice_list(spark, [*paths, "/no/such.csv"], 12, 10)
+    assert [(r.pos, r.MSISDN) for r in rows.orderBy("pos").collect()] == [
+        (pos, f"{'cabd'[pos // 10]}{pos % 10}") for pos in range(12, 22)
+    ]
+    assert {path.rsplit("/", 1)[1] for path in rows.inputFiles() if path.endswith(".csv")} == {"a.csv", "b.csv"}
+
+
 def test_slice_needs_the_key_column(spark, put):
     with pytest.raises(ValueError, match="no MSISDN column"):
         slice_list(spark, [put("x.csv", "A,B\n1,2\n")])
