@@ -8,7 +8,7 @@ from datetime import datetime
 from zoneinfo import ZoneInfo
 
 from muster.functions.times import ZONE
-from muster.operators import slicing
+from muster.operators import outcomes, slicing
 from muster.plans import dispatch, load
 from muster.session import build_session
 from muster.sinks import writers
@@ -58,6 +58,18 @@ def _arrivals(spark, o):
     return {"batches": len([p for p in run.recentProgress if p.numInputRows])}
 
 
+def _rejects(spark, o):
+    return {"rejected": writers.write_csv(dispatch.list_rejects(spark, o.lists), o.out)}
+
+
+def _totals(spark, o):
+    issued = spark.read.parquet(o.outcomes)
+    totals = outcomes.totals_rollup(outcomes.file_totals(issued), outcomes.run_span(issued))
+    totals.write.mode("errorifexists").parquet(o.out)
+    grand = spark.read.parquet(o.out).filter("level = 1").select("issued", "counted", "sent", "failed").first()
+    return grand.asDict() if grand else {}
+
+
 def _slice(spark, o):
     rows = slicing.slice_list(spark, o.lists, o.start, o.limit)
     return {"written": writers.write_csv(rows.drop("pos"), o.out)}
@@ -110,6 +122,8 @@ def _parser():
     cut.add_argument("lists", nargs="+")
 
     job("load", _load, "out").add_argument("lists", nargs="+")
+    job("rejects", _rejects, "out").add_argument("lists", nargs="+")
+    job("totals", _totals, "outcomes", "out")
     job("strip-quotes", _strip_quotes, "out").add_argument("text", nargs="+")
     return parser
 

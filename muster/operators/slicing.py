@@ -31,11 +31,11 @@ def slice_list(
     width, end = len(head.header), start + limit
     scan = scan_columns(spark, paths, width, multi_line)
     splits = count_splits(scan.rows)
-    sizes = file_starts(splits, scan.files)
-    hit = sizes.filter((F.col("file_start") < end) & (F.col("file_start") + F.col("file_rows") > start))
-    hit = hit.orderBy("file_ordinal").select("file_path", "file_start").collect()
+    sizes = file_starts(splits, scan.files).orderBy("file_ordinal")
+    sizes = sizes.select("file_path", "file_start", "file_rows").collect()
+    hit = [row for row in sizes if row.file_start < end and row.file_start + row.file_rows > start]
     passed_over = 0
-    if len(hit) < scan.files.count():
+    if len(hit) < len(sizes):
         # Files outside the range are counted once by their first column and not read again.
         scan = scan_columns(spark, [row.file_path for row in hit], width, multi_line)
         splits = None

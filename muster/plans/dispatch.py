@@ -11,11 +11,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.functions import file_type, sms_query, voice_query, whole_div
+from muster.functions import base_name, file_type, plain_path, sms_query, voice_query, whole_div
 from muster.functions.encoding import DLR_MASK
 from muster.operators.lookup import bind_campaigns, bind_messages, known_types
 from muster.operators.position import number_by_split
-from muster.operators.validate import segment_message, valid_rows
+from muster.operators.validate import rejected_rows, segment_message, valid_rows
 from muster.sources.headers import file_list
 from muster.sources.lists import discover_files, scan_lists
 
@@ -122,6 +122,16 @@ def plan_lists(
     return plan_batches(number_by_split(valid, scan.files if files is None else files), **sizes)
 
 
+def list_rejects(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The cells of list files that take no position: ``file_name``, ``msisdn_raw``, ``reason``."""
+    rejected = rejected_rows(scan_lists(spark, paths, optional=()).rows)
+    return rejected.select(
+        base_name(plain_path(F.col("split_path"))).alias("file_name"),
+        F.coalesce("msisdn_raw", F.lit("")).alias("msisdn_raw"),
+        "reason",
+    )
+
+
 def plan_campaign(spark: SparkSession, paths: Sequence[str], message: str, sender: str, **sizes) -> DataFrame:
     """Outbox of one message to all valid numbers of the given lists."""
     plan = plan_lists(spark, paths, **sizes)

@@ -17,6 +17,18 @@ def test_jobs_end_to_end(spark, put, tmp_path, capsys):
     gone = out("gone.csv")
     got = run(capsys, "campaign", source, gone, "--message", "m", "--sender", "s", "--out", out("sms"))
     assert got == {"files": {"ok": 1, "missing": 1}, "planned": 60}
+    assert run(capsys, "rejects", source, "--out", out("bad")) == {"rejected": 1}
+    assert spark.read.option("header", True).csv(out("bad")).first().asDict() == {
+        "file_name": "raw.csv",
+        "msisdn_raw": "bad",
+        "reason": "invalid_msisdn",
+    }
+    results = spark.read.parquet(out("sms")).selectExpr(
+        "*", "cast(pos % 4 as int) transport_errno", "timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,pos) ts"
+    )
+    results.write.parquet(out("outcomes"))
+    totals = run(capsys, "totals", "--outcomes", out("outcomes"), "--out", out("totals"))
+    assert totals == {"issued": 60, "counted": 60, "sent": 15, "failed": 45}
     args = ("--older", "o", "--younger", "y", "--sender", "s", "--out", out("seg"))
     assert run(capsys, "segmented", source, *args)["planned"] == 60
     older = spark.read.parquet(out("seg")).filter("message = 'o'").count()
