@@ -17,16 +17,24 @@ def message_table(spark: SparkSession, messages: Mapping[str, str]) -> DataFrame
 
 
 def attach(
-    rows: DataFrame, table: DataFrame, on: str, how: str = "inner", broadcast_rows: int = BROADCAST_ROWS
+    rows: DataFrame,
+    table: DataFrame,
+    on: str,
+    how: str = "inner",
+    broadcast_rows: int = BROADCAST_ROWS,
+    table_rows: int | None = None,
 ) -> DataFrame:
     """Equi-join of rows with a lookup table, safe for a hot key.
 
-    The table is counted up to the bound and broadcast when it is within. Beyond
-    it, rows of one key are spread over ``SALTS`` groups and the table is
-    repeated for each, so that a file holding a third of all rows still meets
-    its entry on many tasks. ``how`` is inner, left, left_semi or left_anti.
+    The table is counted up to the bound, unless the caller knows its size as
+    ``table_rows``, and broadcast when it is within. Beyond it, rows of one key
+    are spread over ``SALTS`` groups and the table is repeated for each, so that
+    a file holding a third of all rows still meets its entry on many tasks.
+    ``how`` is inner, left, left_semi or left_anti.
     """
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if table_rows is None:
+        table_rows = table.limit(broadcast_rows + 1).count()
+    if table_rows <= broadcast_rows:
         return rows.join(F.broadcast(table), on, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
     repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -35,13 +43,13 @@ def attach(
 
 def bind_messages(rows: DataFrame, messages: Mapping[str, str]) -> DataFrame:
     """Add ``message`` by ``file_type``; rows of other types are left out."""
-    return attach(rows, message_table(rows.sparkSession, messages), "file_type")
+    return attach(rows, message_table(rows.sparkSession, messages), "file_type", table_rows=len(messages))
 
 
 def known_types(rows: DataFrame, messages: Mapping[str, str], known: bool = True) -> DataFrame:
     """Rows whose type is in the map, or with ``known=False`` the others, null type included."""
     table = message_table(rows.sparkSession, messages).select("file_type")
-    return attach(rows, table, "file_type", "left_semi" if known else "left_anti")
+    return attach(rows, table, "file_type", "left_semi" if known else "left_anti", table_rows=len(messages))
 
 
 def bind_campaigns(rows: DataFrame, campaigns: DataFrame) -> DataFrame:

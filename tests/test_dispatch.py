@@ -78,7 +78,7 @@ cells = st.lists(
 )
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(cells, st.integers(1, 20), st.integers(1, 9), st.integers(1, 4))
 def test_plan_of_any_list(spark, values, chunk, batch, ports):
     rows = spark.createDataFrame([("f", i, v) for i, v in enumerate(values)], "file_name string, row_key long, msisdn_raw string")
