@@ -25,19 +25,24 @@ def slice_list(
     must hold the key column. ``pos`` is kept beside the columns, as rows come
     back in no particular order.
     """
-    head = probe_files(spark, paths[:1], optional=()).select("status", "header", "crlf").first()
-    if head.header is None or KEY_COLUMN not in head.header:
+    first = F.col("file_ordinal") == 1
+    probed = probe_files(spark, paths, optional=()).filter(first | (F.col("size_bytes") > 0))
+    header = F.when(first, F.col("header")).alias("header")
+    files = probed.select("file_ordinal", "file_path", "file_name", "status", "crlf", header)
+    files = files.orderBy("file_ordinal").collect()
+    head = files[0]
+    if KEY_COLUMN not in (head.header or ()):
         raise ValueError(f"no {KEY_COLUMN} column: {head.status}")
     width, end = len(head.header), start + limit
-    scan = scan_columns(spark, paths, width, multi_line)
+    scan = scan_columns(spark, files, width, multi_line)
     splits = count_splits(scan.rows)
     sizes = file_starts(splits, scan.files).orderBy("file_ordinal")
-    sizes = sizes.select("file_path", "file_start", "file_rows").collect()
+    sizes = sizes.select("file_ordinal", "file_path", "file_name", "file_start", "file_rows").collect()
     hit = [row for row in sizes if row.file_start < end and row.file_start + row.file_rows > start]
     passed_over = 0
     if len(hit) < len(sizes):
         # Files outside the range are counted once by their first column and not read again.
-        scan = scan_columns(spark, [row.file_path for row in hit], width, multi_line)
+        scan = scan_columns(spark, hit, width, multi_line)
         splits = None
         passed_over = hit[0].file_start if hit else 0
     pos = F.col("list_pos") + passed_over

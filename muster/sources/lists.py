@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from muster.functions import file_type, has_csv_extension, plain_path
@@ -117,17 +117,15 @@ def scan_lists(
     return ListScan(rows, _file_table(spark, good))
 
 
-def scan_columns(spark: SparkSession, paths: Sequence[str], width: int, multi_line: bool = False) -> ListScan:
-    """The first ``width`` columns of files of one common layout, as ``c0``, ``c1`` and so on."""
+def scan_columns(spark: SparkSession, probed: Sequence[Row], width: int, multi_line: bool = False) -> ListScan:
+    """The first ``width`` columns of probed files of one common layout, as ``c0``, ``c1`` and so on."""
     pin_split_size(spark)
-    good = probe_files(spark, paths, optional=()).filter(F.col("size_bytes") > 0).orderBy("file_ordinal")
-    good = good.select("file_ordinal", "file_path", "file_name").collect()
     places = {f"c{i}": i for i in range(width)}
-    if good:
-        rows = _positional_scan(spark, list(dict.fromkeys(r.file_path for r in good)), places, multi_line)
+    if probed:
+        rows = _positional_scan(spark, list(dict.fromkeys(r.file_path for r in probed)), places, multi_line)
     else:
         rows = _no_rows(spark, list(places))
-    return ListScan(rows, _file_table(spark, good))
+    return ListScan(rows, _file_table(spark, probed))
 
 
 def scan_first_column(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
