@@ -40,9 +40,11 @@ def number_by_key(
     )
     in_stripe = Window.partitionBy(file, "_stripe").orderBy(key)
     numbered = striped.withColumn("_place", F.row_number().over(in_stripe).cast("long") - 1)
+    # A left join, so that a row without file or key fails the job and is not dropped.
+    unplaced = F.raise_error(F.lit("a row has no file or no key")).cast("long")
     return (
-        numbered.join(starts, [file, "_stripe"])
-        .withColumn("pos", F.col("_start") + F.col("_place"))
+        numbered.join(starts, [file, "_stripe"], "left")
+        .withColumn("pos", F.coalesce(F.col("_start") + F.col("_place"), unplaced))
         .drop("_stripe", "_place", "_start")
     )
 

@@ -97,3 +97,10 @@ def test_key_positions_shuffle_the_rows_once(spark):
     # One for the rows; the others carry one row per stripe: partial counts, per file, back by stripe.
     assert plan.count("Exchange hashpartitioning") == 4
     assert plan.count("SortMergeJoin") == 1
+
+
+@pytest.mark.parametrize("row", [(None, 1), ("f", None)])
+def test_rows_without_file_or_key_fail_the_job(spark, row):
+    frame = spark.createDataFrame([("f", 0), row], "file_name string, row_key long")
+    with pytest.raises(SparkRuntimeException, match="no file or no key"):
+        number_by_key(frame).collect()
