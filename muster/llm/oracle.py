@@ -50,4 +50,24 @@ ORACLE = {
         FROM keyed LEFT JOIN shared s USING (key)
         GROUP BY doc_id
     """,
+    "op7_exact_topk": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(
+                CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])
+            ) AS BIGINT) AS score
+            FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 50 = 0
+        ),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, url_filters
-from .common import read_table
+from . import byte_bpe, fingerprints, language, line_dedup, near_dup, packing, topk, url_filters
+from .common import held_out, in_training, read_table
 
 
 def tokenizer_path(name: str) -> str:
@@ -26,6 +26,36 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_dup.near_duplicates(documents, shingle_words=4)
+    return found.select("document.doc_id", "n_shingles", "component_id", "kept")
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    documents = read_table(spark, sf_dir, "documents")
+    ids = documents.select("doc_id", byte_bpe.encode_text(F.col("text"), path, public_tokenizers.PATTERN).alias("ids"))
+    both = ids.select("doc_id", "ids", byte_bpe.decode_ids(F.col("ids"), path).alias("decoded"))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    model = language.train(documents.where(in_training("doc_id")))
+    labelled = documents.select(
+        "doc_id", held_out("doc_id").alias("held_out"), language.label_language(F.col("text"), model).alias("label")
+    )
+    return labelled.select("doc_id", "held_out", F.col("label.lang").alias("lang_pred"), "label.score")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(documents).select(
@@ -33,8 +63,25 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), topk.quantised(F.col("embedding")).alias("vector")
+    )
+    found = topk.top_k(rows, rows.where(F.col("id") % 50 == 0))
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
+    "op7_exact_topk": op7_exact_topk,
+    "op8_fingerprints": op8_fingerprints,
 }
