@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, language, line_dedup, near_dup, packing, topk, url_filters
+from . import byte_bpe, fingerprints, language, line_dedup, near_dup, packing, quality, topk, toxicity, url_filters
 from .common import held_out, in_training, read_table
 
 
@@ -75,13 +75,45 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(read_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").where(in_training("doc_id"))
+    model = toxicity.train(documents, labels)
+    scored = documents.select("doc_id", toxicity.score_toxicity(F.col("text"), model).alias("t"))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        F.col("t.severity"),
+        F.col("t.at_least")[0].alias("score"),
+        (F.col("t.at_least")[0] >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").where(in_training("doc_id"))
+    model = quality.train(documents, labels)
+    scored = documents.select("doc_id", quality.score_quality(F.col("text"), model)["score"].alias("score"))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
-    "op1_url_filters": op1_url_filters,
-    "op2_best_fit_packing": op2_best_fit_packing,
-    "op3_minhash_near_dedup": op3_minhash_near_dedup,
-    "op4_byte_bpe": op4_byte_bpe,
-    "op5_language_id": op5_language_id,
-    "op6_line_dedup": op6_line_dedup,
-    "op7_exact_topk": op7_exact_topk,
-    "op8_fingerprints": op8_fingerprints,
+    query.__name__: query
+    for query in (
+        op1_url_filters,
+        op2_best_fit_packing,
+        op3_minhash_near_dedup,
+        op4_byte_bpe,
+        op5_language_id,
+        op6_line_dedup,
+        op7_exact_topk,
+        op8_fingerprints,
+        op9_toxicity,
+        op10_quality,
+    )
 }
