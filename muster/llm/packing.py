@@ -20,14 +20,16 @@ gives an empty result. Further columns of the input play no part.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import removed, tasks_for, written
@@ -37,13 +39,15 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 ROWS_PER_TASK = 50_000
 #: Words whose ids a task keeps at a time; beyond that it starts afresh.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
+_PUNCTUATION = (b".", b",", b";", b":", b"!", b"?")
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -51,25 +55,35 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-class WordIds:
-    """Ids of texts, by way of their words: the tokenizer drops white space and never joins across it."""
+#: Marks that may melt into an ASCII letter when texts are normalised.
+_melting = re.compile("[\u0300-\u036f]").search
+
+
+class WordIds(dict):
+    """Ids of words as little-endian 32-bit numbers, filled as words come up.
+
+    The tokenizer drops white space, never joins across it, and lowers all letters, so a text's ids are those of
+    its words, and words that differ in the case of ASCII letters share theirs. Punctuation stands by itself.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def of_texts(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        for text in texts:
-            words = text.encode().split()
-            unknown = [word for word in set(words) if word not in self.known]
-            if len(self.known) + len(unknown) > CACHED_WORDS:
-                self.known.clear()
-                unknown = list(set(words))
-            encoded = self.tokenizer.encode_batch([word.decode() for word in unknown], add_special_tokens=False)
-            for word, encoding in zip(unknown, encoded):
-                self.known[word] = np.array(encoding.ids, "<u4").tobytes()
-            yield b"".join(map(self.known.__getitem__, words))
+
+    def __missing__(self, word: bytes) -> bytes:
+        if word[-1:] in _PUNCTUATION and word[:-1].isalpha():
+            ids = self[word[:-1]] + self[word[-1:]]
+        else:
+            ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+    def of_text(self, text: str) -> bytes:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        raw = text.encode()
+        if not _melting(text):
+            raw = raw.lower()
+        return b"".join(map(self.__getitem__, raw.split()))
 
 
 def token_pieces(
@@ -87,9 +101,8 @@ def token_pieces(
         words = WordIds(tokenizer_path)
         for batch in batches:
             rows = []
-            texts = ["" if text is None else text for text in batch["text"]]
-            for doc_id, ids in zip(batch["doc_id"], words.of_texts(texts)):
-                ids += end
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+                ids = words.of_text(text or "") + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
@@ -118,30 +131,30 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, rows_per_task: int
         ),
         "pieces",
     )
-    left = state.count()
-    sequences, packed, unpacked = 0, [], state
-    while left:
-        rows = written(_sweep(state, capacity, tasks_for(left, rows_per_task)), "sweep")
-        if not packed:
+    names = [*pieces.columns, "sequence_id", "offset"]
+    result = state.select(names).limit(0)
+    rows_left = pieces_left = state.count()
+    sequences, unpacked = 0, state
+    while pieces_left:
+        rows = written(_sweep(state, tasks_for(rows_left, rows_per_task)), "sweep")
+        if unpacked is not None:
             removed(unpacked)
+            unpacked = None
         ranges = _ranges(rows)
-        matches = _brackets(ranges)
-        largest_gap = _largest_gap(rows, matches)
-        opened = _openings(rows, largest_gap, capacity)
-        state = written(_round(rows, matches, ranges, opened, sequences, capacity), "round")
+        runs = _brackets(ranges)
+        crossed, waiting = sum(run[-1] for run in runs), sum(row["waiting"] for row in ranges)
+        opened = _openings(ranges, waiting, crossed, capacity)
+        after = written(_round(rows, runs, ranges, opened, sequences, capacity), "round")
         sequences += opened
-        packed += [rows.where(F.col("outcome") == PLACED), state.where("is_piece = 2")]
-        state = state.where("is_piece < 2")
-        counts = state.groupBy("is_piece").count().collect()
-        left = sum(row["count"] for row in counts) if any(row["is_piece"] == 1 for row in counts) else 0
-    names = [*pieces.columns, "sequence_id", "offset"]
-    result = state.select(names).limit(0)
-    for part in packed:
-        result = result.unionByName(part.select(names))
+        result = result.unionByName(rows.where(F.col("outcome") == PLACED).select(names))
+        result = result.unionByName(after.where("is_piece = 2").select(names))
+        state = after.where("is_piece < 2")
+        pieces_left = waiting - crossed - opened
+        rows_left = pieces_left + sum(row["gaps"] for row in ranges) + opened
     return result
 
 
-def _sweep(state: DataFrame, capacity: int, tasks: int) -> DataFrame:
+def _sweep(state: DataFrame, tasks: int) -> DataFrame:
     """Each range from large to small; the rows get their ``outcome`` and their ``place`` among those of it."""
     order = [F.col("size").desc(), F.col("is_piece"), F.xxhash64("sequence_id", "doc_id", "piece")]
 
@@ -189,12 +202,17 @@ def _sweep_range(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _ranges(rows: DataFrame) -> list:
-    """One row a range, in order: how many pieces wait and how many gaps nobody in it wanted."""
+    """One row a range, in order: pieces that wait, gaps that nobody in it wanted, and what they sum up to."""
+    waits, free = F.col("outcome") == WAITING, F.col("outcome").isin(USED, UNUSED) & (F.col("size") > 0)
     return (
         rows.groupBy("range")
         .agg(
-            F.count_if(F.col("outcome") == WAITING).alias("waiting"),
+            F.count_if(F.col("outcome") == PLACED).alias("placed"),
+            F.count_if(waits).alias("waiting"),
+            F.coalesce(F.sum(F.when(waits, F.col("size"))), F.lit(0)).alias("tokens"),
             F.count_if((F.col("outcome") == UNUSED) & (F.col("size") > 0)).alias("unused"),
+            F.count_if(free).alias("gaps"),
+            F.coalesce(F.sum(F.when(free, F.col("size"))), F.lit(0)).alias("room"),
         )
         .orderBy("range")
         .collect()
@@ -218,87 +236,70 @@ def _brackets(ranges: list) -> list[tuple[int, int, int, int, int]]:
     return runs
 
 
-def _matches(rows: DataFrame, matches: list) -> tuple[DataFrame, DataFrame]:
-    """Pieces and gaps of the runs (two a range at most), numbered alike; other rows of their kind have no number."""
-    spark = rows.sparkSession
-    runs, number = [], 0
-    for piece_range, first, gap_range, last, n in matches:
-        runs.append((WAITING, piece_range, first, first + n - 1, number - first, 1))
-        runs.append((UNUSED, gap_range, last - n + 1, last, number + last, -1))
-        number += n
-    table = spark.createDataFrame(
-        runs, "outcome int, range int, first long, last long, shift long, sign int"
-    )
-    numbered = (
-        rows.where(F.col("outcome").isin(WAITING, UNUSED) & (F.col("size") > 0))
-        .alias("r")
-        .join(
-            F.broadcast(table.alias("t")),
-            F.expr("r.outcome = t.outcome AND r.range = t.range AND r.place BETWEEN t.first AND t.last"),
-            "left",
-        )
-        .select("r.*", (F.col("t.shift") + F.col("t.sign") * F.col("r.place")).alias("match"))
-    )
-    return numbered.where(F.col("outcome") == WAITING), numbered.where(F.col("outcome") == UNUSED)
-
+def _openings(ranges: list, waiting: int, crossed: int, capacity: int) -> int:
+    """Sequences to open: for what the gaps cannot hold in sum, or for all that waits if no gap was of use."""
+    tokens, room = sum(row["tokens"] for row in ranges), sum(row["room"] for row in ranges)
+    if crossed or any(row["placed"] for row in ranges):
+        tokens -= room
+    return max(0, min(waiting - crossed, -(-tokens // capacity)))
 
-def _crossed(rows: DataFrame, matches: list) -> DataFrame:
-    pieces, gaps = _matches(rows, matches)
-    taken = gaps.where("match IS NOT NULL").select(
-        "match", F.col("sequence_id").alias("gap_sequence"), F.col("offset").alias("gap_offset"), F.col("size").alias("gap_size")
-    )
-    return pieces.where("match IS NOT NULL").join(taken, "match")
 
+def _match_number(runs: list) -> Column:
+    """Pieces and gaps of the runs (two a range at most), numbered alike; null for rows outside of them."""
+    spans, number = [], 0
+    for piece_range, first, gap_range, last, n in runs:
+        spans.append((WAITING, piece_range, first, n, number, 1))
+        spans.append((UNUSED, gap_range, last, n, number, -1))
+        number += n
+    by_range: dict[tuple[int, int], list] = {}
+    for outcome, in_range, *span in spans:
+        by_range.setdefault((outcome, in_range), []).append(span)
 
-def _largest_gap(rows: DataFrame, matches: list) -> int:
-    """The largest gap that will be left when the matches are made."""
-    _, gaps = _matches(rows, matches)
-    kept = rows.where(F.col("outcome") == USED).select("size").unionByName(gaps.where("match IS NULL").select("size"))
-    kept = kept.unionByName(_crossed(rows, matches).select((F.col("gap_size") - F.col("size")).alias("size")))
-    return kept.agg(F.max("size")).first()[0] or 0
-
+    @F.pandas_udf("long")
+    def numbered(outcome: pd.Series, in_range: pd.Series, place: pd.Series) -> pd.Series:
+        found = pd.Series(pd.NA, outcome.index, "Int64")
+        for key, rows in place.groupby([outcome, in_range]):
+            for start, n, number, sign in by_range.get(key, ()):
+                step = (rows - start) * sign
+                mine = step[(step >= 0) & (step < n)]
+                found[mine.index] = mine + number
+        return found
 
-def _openings(rows: DataFrame, largest_gap: int, capacity: int) -> int:
-    """Sequences to open for the pieces that no gap holds: as many as their tokens fill."""
-    blocked = rows.where((F.col("outcome") == WAITING) & (F.col("size") > largest_gap))
-    row = blocked.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens")).first()
-    return min(row["n"], -(-row["tokens"] // capacity)) if row["n"] else 0
+    return numbered("outcome", "range", "place")
 
 
-def _round(rows: DataFrame, matches: list, ranges: list, opened: int, sequences: int, capacity: int) -> DataFrame:
+def _round(rows: DataFrame, runs: list, ranges: list, opened: int, sequences: int, capacity: int) -> DataFrame:
     """What the next round works on, and under ``is_piece`` 2 the pieces placed between the sweeps."""
-    spark = rows.sparkSession
     names = [field.split()[0] for field in STATE.split(", ")]
-    pieces, gaps = _matches(rows, matches)
-    crossed = _crossed(rows, matches)
-    starts, start = [], 0
-    for row in ranges:
-        starts.append((row["range"], start))
-        start += row["waiting"]
-    waiting = (
-        pieces.where("match IS NULL")
-        .join(F.broadcast(spark.createDataFrame(starts, "range int, before long")), "range")
-        .withColumn("rank", F.col("before") + F.col("place"))
+    numbered = rows.where(F.col("outcome").isin(WAITING, UNUSED) & (F.col("size") > 0)).withColumn(
+        "match", _match_number(runs)
+    )
+    pieces, gaps = numbered.where(F.col("outcome") == WAITING), numbered.where(F.col("outcome") == UNUSED)
+    taken = gaps.where("match IS NOT NULL").select(
+        "match",
+        F.col("sequence_id").alias("gap_sequence"),
+        F.col("offset").alias("gap_offset"),
+        F.col("size").alias("gap_size"),
     )
+    crossed = pieces.where("match IS NOT NULL").join(taken, "match")
     none = [F.lit(None).cast(kind).alias(name) for name, kind in (f.split() for f in PIECE.split(", "))]
 
     def gap(size, sequence, offset):
         return [F.lit(0).alias("is_piece"), size.alias("size"), sequence.alias("sequence_id"), offset.alias("offset"), *none]
 
     def placed(sequence, offset):
-        return [F.lit(2).alias("is_piece"), F.col("size"), sequence.alias("sequence_id"), offset.alias("offset"), *names[4:]]
+        return [F.lit(2).alias("is_piece"), "size", sequence.alias("sequence_id"), offset.alias("offset"), *names[4:]]
 
+    waiting = pieces.where("match IS NULL").withColumn("rank", _rank(runs, ranges))
+    first = waiting.where(F.col("rank") < opened).withColumn("new", F.col("rank") + sequences)
     parts = [
         rows.where((F.col("outcome") == USED) & (F.col("size") > 0)).select(names),
         gaps.where("match IS NULL").select(names),
+        waiting.where(F.col("rank") >= opened).select(names),
         crossed.select(placed(F.col("gap_sequence"), F.col("gap_offset"))),
         crossed.where("gap_size > size").select(
             gap(F.col("gap_size") - F.col("size"), F.col("gap_sequence"), F.col("gap_offset") + F.col("size"))
         ),
-        waiting.where(F.col("rank") >= opened).select(names),
-    ]
-    first = waiting.where(F.col("rank") < opened).withColumn("new", F.col("rank") + sequences)
-    parts += [
         first.select(placed(F.col("new"), F.lit(0).cast("long"))),
         first.where(F.col("size") < capacity).select(gap(F.lit(capacity) - F.col("size"), F.col("new"), F.col("size"))),
     ]
@@ -308,6 +309,23 @@ def _round(rows: DataFrame, matches: list, ranges: list, opened: int, sequences:
     return result
 
 
+def _rank(runs: list, ranges: list) -> Column:
+    """The rank by size of a piece that found no gap: matched pieces are the first ones of their range."""
+    matched = {row["range"]: 0 for row in ranges}
+    for piece_range, _, _, _, n in runs:
+        matched[piece_range] += n
+    shifts, before = {}, 0
+    for row in ranges:
+        shifts[row["range"]] = before - matched[row["range"]]
+        before += row["waiting"] - matched[row["range"]]
+
+    @F.pandas_udf("long")
+    def ranked(in_range: pd.Series, place: pd.Series) -> pd.Series:
+        return place + in_range.map(shifts).astype("int64")
+
+    return ranked("range", "place")
+
+
 def pack_documents(
     documents: DataFrame, tokenizer_path: str, capacity: int = SEQUENCE_TOKENS, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
