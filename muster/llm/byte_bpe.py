@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Pretokens whose ids a task keeps at a time; beyond that it starts afresh.
-CACHED_PRETOKENS = 300_000
+CACHED_PRETOKENS = 250_000
 
 
 class Vocabulary:
@@ -45,7 +44,7 @@ class Vocabulary:
         self.automaton.make_automaton()
         self.halves = {rank: self._last_merge(token) for token, rank in self.ranks.items() if len(token) > 1}
         self.merged = {halves: rank for rank, halves in self.halves.items()}
-        self.compatible = lru_cache(maxsize=1_000_000)(self._compatible)
+        self.compatible = lru_cache(maxsize=200_000)(self._compatible)
 
     def _last_merge(self, token: bytes) -> tuple[int, int]:
         """The two tokens whose merge makes this one."""
@@ -115,24 +114,24 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-class Encoder:
-    """Ids of texts: pretokens by the pattern, each encoded on its own and remembered."""
+class Encoder(dict):
+    """Ids of pretokens as little-endian 32-bit numbers, filled as pretokens come up."""
 
     def __init__(self, path: str, pattern: str):
         import regex
 
         self.vocabulary = vocabulary(path)
         self.pretokens = regex.compile(pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
 
-    def encode(self, text: str) -> list[int]:
-        pieces = self.pretokens(text)
-        if len(self.known) > CACHED_PRETOKENS:
-            self.known.clear()
-        for piece in set(pieces):
-            if piece not in self.known:
-                self.known[piece] = self.vocabulary.encode(piece.encode())
-        return list(chain.from_iterable(map(self.known.__getitem__, pieces)))
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = np.array(self.vocabulary.encode(piece.encode()), "<i4").tobytes()
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text, each pretoken encoded on its own."""
+        if len(self) > CACHED_PRETOKENS:
+            self.clear()
+        return b"".join(map(self.__getitem__, self.pretokens(text)))
 
 
 def encode_text(text: Column, path: str, pattern: str) -> Column:
@@ -142,10 +141,10 @@ def encode_text(text: Column, path: str, pattern: str) -> Column:
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(path, pattern)
         for batch in batches:
-            ids = [encoder.encode(text or "") for text in batch.to_pylist()]
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            ids = [encoder.encode(text.as_py() or "") for text in batch]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
+            flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
 
     return encoded(text)
 
@@ -157,10 +156,10 @@ def decode_ids(ids: Column, path: str) -> Column:
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = vocabulary(path).tokens.__getitem__
         for batch in batches:
-            flat = batch.flatten().to_numpy(zero_copy_only=False).tolist()
+            flat = batch.flatten().to_numpy(zero_copy_only=False)
             at, out = 0, []
             for length in batch.value_lengths().to_pylist():
-                out.append(b"".join(map(token, flat[at : at + (length or 0)])))
+                out.append(b"".join(map(token, flat[at : at + (length or 0)].tolist())))
                 at += length or 0
             yield pa.array(out, pa.binary())
 
