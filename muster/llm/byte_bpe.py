@@ -2,7 +2,8 @@
 
 Bytes are mapped to Latin-1 characters, so that an Aho-Corasick automaton of the vocabulary finds every token
 at every place of a pretoken in one pass. From the left, the longest token is taken that is compatible with
-the token before it; where none is, the last token is given up and the next shorter one tried. Two adjacent
+the token before it; where none is, the last token is given up and the next shorter one tried. (Mostly the longest
+matches are compatible throughout, which is tried first.) Two adjacent
 tokens are compatible if the merges by rank would leave the border between them alone: undo their merges
 one by one, latest first, and no pair across the border may have been merged before. Compatibility is memoised,
 and a place from which no way led on is never entered again, so the work is linear in the text. The result
@@ -26,7 +27,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Pretokens whose ids a task keeps at a time; beyond that it starts afresh.
-CACHED_PRETOKENS = 250_000
+CACHED_PRETOKENS = 400_000
 
 
 class Vocabulary:
@@ -81,9 +82,17 @@ class Vocabulary:
             return (self.ranks[piece],) if piece else ()
         if piece in self.ranks:
             return (self.ranks[piece],)
+        latin = piece.decode("latin-1")
+        longest = [rank for _, rank in self.automaton.iter_long(latin)]
+        if all(map(self.compatible, longest, longest[1:])):
+            return tuple(longest)
+        return self._backtracked(latin)
+
+    def _backtracked(self, piece: str) -> tuple[int, ...]:
+        size = len(piece)
         # Tokens by start, the shortest first: matches come by their ends.
         starting: list[list[int]] = [[] for _ in range(size)]
-        for end, rank in self.automaton.iter(piece.decode("latin-1")):
+        for end, rank in self.automaton.iter(piece):
             starting[end + 1 - len(self.tokens[rank])].append(rank)
         ids: list[int] = []
         choices = [len(starting[0])]
