@@ -8,8 +8,7 @@ Each round range-sorts what is left, pieces and gaps alike, by size, largest fir
 * Pieces that found no gap in their range take gaps that no piece of an earlier range wanted. Ranges are
   bracketed by their counts alone (one row a range goes to the driver): the latest gaps are the smallest that
   fit. The n-th such piece takes the n-th such gap, so no two pieces want one gap (conflicts end by rank).
-* The gaps shrink, and pieces larger than every gap open as many new sequences as their total length needs,
-  the largest ones first.
+* The gaps shrink, and pieces larger than every gap open as many new sequences as they need, the largest first.
 
 A round ends in a table, so a lost executor costs a task and not the rounds before. Ids never move: a row is
 a piece's place in its document, its length and checksum. Rows of one length are dealt to several ranges.
@@ -38,6 +37,8 @@ SEQUENCE_TOKENS = 4096
 #: Fixed by the query's contract: the id that ends each document.
 END_ID = 1
 ROWS_PER_TASK = 50_000
+#: Pieces of which fewer than this fit a sequence open sequences before smaller ones do.
+FEW = 4
 #: Words whose ids a task keeps at a time; beyond that it starts afresh.
 CACHED_WORDS = 800_000
 _PUNCTUATION = (b".", b",", b";", b":", b"!", b"?")
@@ -143,7 +144,7 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, rows_per_task: int
         ranges = _ranges(rows)
         runs = _brackets(ranges)
         crossed, waiting = sum(run[-1] for run in runs), sum(row["waiting"] for row in ranges)
-        opened = _openings(ranges, waiting, crossed, capacity)
+        opened = _openings(rows, ranges, waiting - crossed, capacity)
         after = written(_round(rows, runs, ranges, opened, sequences, capacity), "round")
         sequences += opened
         result = result.unionByName(rows.where(F.col("outcome") == PLACED).select(names))
@@ -202,17 +203,15 @@ def _sweep_range(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _ranges(rows: DataFrame) -> list:
-    """One row a range, in order: pieces that wait, gaps that nobody in it wanted, and what they sum up to."""
+    """One row a range, in order: pieces that wait, gaps that nobody in it wanted, all gaps and the largest."""
     waits, free = F.col("outcome") == WAITING, F.col("outcome").isin(USED, UNUSED) & (F.col("size") > 0)
     return (
         rows.groupBy("range")
         .agg(
-            F.count_if(F.col("outcome") == PLACED).alias("placed"),
             F.count_if(waits).alias("waiting"),
-            F.coalesce(F.sum(F.when(waits, F.col("size"))), F.lit(0)).alias("tokens"),
             F.count_if((F.col("outcome") == UNUSED) & (F.col("size") > 0)).alias("unused"),
             F.count_if(free).alias("gaps"),
-            F.coalesce(F.sum(F.when(free, F.col("size"))), F.lit(0)).alias("room"),
+            F.coalesce(F.max(F.when(free, F.col("size"))), F.lit(0)).alias("largest_gap"),
         )
         .orderBy("range")
         .collect()
@@ -236,12 +235,22 @@ def _brackets(ranges: list) -> list[tuple[int, int, int, int, int]]:
     return runs
 
 
-def _openings(ranges: list, waiting: int, crossed: int, capacity: int) -> int:
-    """Sequences to open: for what the gaps cannot hold in sum, or for all that waits if no gap was of use."""
-    tokens, room = sum(row["tokens"] for row in ranges), sum(row["room"] for row in ranges)
-    if crossed or any(row["placed"] for row in ranges):
-        tokens -= room
-    return max(0, min(waiting - crossed, -(-tokens // capacity)))
+def _openings(rows: DataFrame, ranges: list, unmatched: int, capacity: int) -> int:
+    """Sequences to open for pieces that are larger than every gap.
+
+    Large pieces, of which fewer than ``FEW`` fit a sequence, come first: those of the largest kind get as many
+    sequences as they need among themselves. Smaller ones get as many as their tokens fill.
+    """
+    largest_gap = max((row["largest_gap"] for row in ranges), default=0)
+    too_large = rows.where((F.col("outcome") == WAITING) & (F.col("size") > largest_gap))
+    fit = F.floor(F.lit(capacity) / F.col("size"))
+    need = too_large.agg(
+        F.sum("size").alias("tokens"), F.min(fit).alias("fit"), *(F.count_if(fit == n).alias(f"of_{n}") for n in range(1, FEW))
+    ).first()
+    if need["tokens"] is None:
+        return 0
+    opened = -(-need[f"of_{need['fit']}"] // need["fit"]) if need["fit"] < FEW else -(-need["tokens"] // capacity)
+    return min(unmatched, opened)
 
 
 def _match_number(runs: list) -> Column:

@@ -1,0 +1,20 @@
+import pytest
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+#: Names that operators use inside.
+CLASHING = ["id", "row", "key", "class", "bucket", "document", "n_lines", "match", "size", "verdict", "label", "score"]
+
+
+@pytest.fixture
+def documents(spark):
+    """A table of documents from (doc_id, text) pairs, with columns whose names clash with inner ones."""
+
+    def make(pairs, clashing=True):
+        rows = [(doc_id, text, "en", "s", len(text) if text is not None else None) for doc_id, text in pairs]
+        frame = spark.createDataFrame(rows, DOCUMENTS).repartition(3)
+        if clashing:
+            for name in CLASHING:
+                frame = frame.withColumn(name, frame["source"])
+        return frame
+
+    return make

@@ -1,0 +1,83 @@
+import random
+
+from checks.compare import connect, normal_rows
+from muster.llm.oracle import ORACLE
+from muster.llm.queries import QUERIES
+from muster.llm.url_filters import RULES, judge_urls, rule_table
+
+SF = "/root/testdata/sf0.001"
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def plain(url, rules, default="allow"):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        end = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+        host, path = lowered(rest[:end]), rest[end:].split("?")[0].split("#")[0]
+    best = None
+    for rule_host, rule_path, verdict in rules:
+        rule_host, rule_path = lowered(rule_host or ""), rule_path or ""
+        fits = rule_host and (host == rule_host or host.endswith("." + rule_host)) and path.startswith(rule_path)
+        if fits:
+            found = (len(rule_host + rule_path), len(rule_host), verdict, rule_host + rule_path)
+            best = max(best, found) if best else found
+    return host, path, best[3] if best else None, best[2] if best else default
+
+
+def judged(frame, rules):
+    rows = judge_urls(frame, rules).select("page.page_id", "host", "path", "rule", "verdict").collect()
+    return sorted((tuple(row) for row in rows), key=repr)
+
+
+def pages(spark, urls):
+    return spark.createDataFrame([(i // 2, url, "h", "k") for i, url in enumerate(urls)], "page_id long, url string, host string, key string")
+
+
+def test_rules_at_random(spark):
+    random.seed(5)
+    hosts = ["com", "a.com", "b.a.com", "A.com", "xa.com", "net", "a.net", ""]
+    paths = ["", "/", "/e", "/en", "/en/", "/en/x", "/EN/", "/f%"]
+    for _ in range(3):
+        rules = [(random.choice(hosts), random.choice(paths), random.choice(["allow", "block"])) for _ in range(12)]
+        urls = [f"http://{random.choice(hosts)}{random.choice(paths)}{random.choice(['', 'x', '/y', '?q=/en/', '#/'])}" for _ in range(150)]
+        urls += [None, "", "no scheme", "://", "http://com", "x://y://z/a", urls[0], "HTTP://WWW.A.COM:80/en/?a://b"]
+        want = sorted(((i // 2, *plain(url, rules)) for i, url in enumerate(urls)), key=repr)
+        frame = spark.createDataFrame(rules, "host string, path string, verdict string")
+        assert judged(pages(spark, urls), frame) == want
+
+
+def test_odd_rules(spark):
+    rules = [("com", None, "block"), (None, "/", "block"), ("com", "", "allow"), ("a.com", "/", "allow")]
+    urls = ["http://b.com/x", "http://a.com/", "http://c.net/", "http://" + "a." * 3000 + "com/" + "y" * 100_000]
+    frame = spark.createDataFrame(rules, "host string, path string, verdict string")
+    want = sorted(((i // 2, *plain(url, rules)) for i, url in enumerate(urls)), key=repr)
+    assert judged(pages(spark, urls), frame) == want
+
+
+def test_empty_tables(spark):
+    assert judged(pages(spark, []), rule_table(spark)) == []
+    none = rule_table(spark).limit(0)
+    assert judged(pages(spark, ["http://a.com/"]), none) == [(0, "a.com", "/", None, "allow")]
+
+
+def test_one_host_is_swept_in_blocks(spark):
+    urls = [f"http://h{i % 7}.example.com/en/{i}" for i in range(400)] + ["http://a.net/fr/"]
+    want = sorted(((i // 2, *plain(url, RULES)) for i, url in enumerate(urls)), key=repr)
+    assert judged(pages(spark, urls), rule_table(spark)) == want
+
+
+def test_no_python_in_the_plan(spark):
+    frame = QUERIES["op1_url_filters"](spark, SF)
+    plan = frame._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_query_equals_sql(spark):
+    frame = QUERIES["op1_url_filters"](spark, SF)
+    want = connect(SF).execute(ORACLE["op1_url_filters"])
+    columns = [d[0] for d in want.description]
+    assert normal_rows(frame.columns, frame.collect()) == normal_rows(columns, want.fetchall())
