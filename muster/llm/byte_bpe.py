@@ -30,15 +30,21 @@ from pyspark.sql import functions as F
 CACHED_PRETOKENS = 400_000
 
 
+@lru_cache(maxsize=2)
+def tokens_of(path: str) -> dict[int, bytes]:
+    """The tokens of a vocabulary file by rank."""
+    with open(path, "rb") as lines:
+        return {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, lines)}
+
+
 class Vocabulary:
     """Tokens by rank, how each token is merged, and which tokens may stand side by side."""
 
     def __init__(self, path: str):
         import ahocorasick
 
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.tokens = tokens_of(path)
+        self.ranks = {token: rank for rank, token in self.tokens.items()}
         self.automaton = ahocorasick.Automaton()
         for token, rank in self.ranks.items():
             self.automaton.add_word(token.decode("latin-1"), rank)
@@ -143,6 +149,19 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, self.pretokens(text)))
 
 
+def _as_lists(ids: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+
+
+def _decoded(ids: pa.Array, tokens: dict[int, bytes]) -> pa.Array:
+    flat, at, out = ids.flatten().to_numpy(zero_copy_only=False), 0, []
+    for length in ids.value_lengths().to_pylist():
+        out.append(b"".join(map(tokens.__getitem__, flat[at : at + (length or 0)].tolist())))
+        at += length or 0
+    return pa.array(out, pa.binary())
+
+
 def encode_text(text: Column, path: str, pattern: str) -> Column:
     """The ids of each text as an array."""
 
@@ -150,10 +169,7 @@ def encode_text(text: Column, path: str, pattern: str) -> Column:
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(path, pattern)
         for batch in batches:
-            ids = [encoder.encode(text.as_py() or "") for text in batch]
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
-            flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)
+            yield _as_lists([encoder.encode(text.as_py() or "") for text in batch])
 
     return encoded(text)
 
@@ -163,13 +179,21 @@ def decode_ids(ids: Column, path: str) -> Column:
 
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = vocabulary(path).tokens.__getitem__
+        tokens = tokens_of(path)
         for batch in batches:
-            flat = batch.flatten().to_numpy(zero_copy_only=False)
-            at, out = 0, []
-            for length in batch.value_lengths().to_pylist():
-                out.append(b"".join(map(token, flat[at : at + (length or 0)].tolist())))
-                at += length or 0
-            yield pa.array(out, pa.binary())
+            yield _decoded(batch, tokens)
 
     return decoded(ids)
+
+
+def encode_and_decode(text: Column, path: str, pattern: str) -> Column:
+    """A struct of the ``ids`` of each text and the bytes they are ``decoded`` to, by one Python process a task."""
+
+    @F.arrow_udf("struct<ids:array<int>, decoded:binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, tokens = Encoder(path, pattern), tokens_of(path)
+        for batch in batches:
+            ids = _as_lists([encoder.encode(text.as_py() or "") for text in batch])
+            yield pa.StructArray.from_arrays([ids, _decoded(ids, tokens)], ["ids", "decoded"])
+
+    return both(text)

@@ -37,8 +37,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = tokenizer_path("byte_bpe_50k.tiktoken")
     documents = read_table(spark, sf_dir, "documents")
-    ids = documents.select("doc_id", byte_bpe.encode_text(F.col("text"), path, public_tokenizers.PATTERN).alias("ids"))
-    both = ids.select("doc_id", "ids", byte_bpe.decode_ids(F.col("ids"), path).alias("decoded"))
+    coded = byte_bpe.encode_and_decode(F.col("text"), path, public_tokenizers.PATTERN)
+    both = documents.select("doc_id", coded.alias("coded")).select("doc_id", "coded.ids", "coded.decoded")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -1,0 +1,64 @@
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import tiktoken
+from pyspark.sql import functions as F
+
+from muster.llm.byte_bpe import Encoder, decode_ids, encode_and_decode, encode_text
+from muster.llm.queries import QUERIES, tokenizer_path
+
+PATH = tokenizer_path("byte_bpe_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+
+
+def merges():
+    with open(PATH, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+TEXTS = [None, "", " ", "a", "ab" * 5000, " " * 3000, "=-" * 2000, "日" * 2000, "don't\x85 \x1c <|endoftext|>", "word " * 50_000]
+
+
+def test_same_ids_as_merges_by_rank():
+    random.seed(1)
+    encoder, want = Encoder(PATH, PATTERN), merges()
+    kinds = ["ab", "aé", "the rn", "   \n\t", "abcdefghijklmnopqrstuvwxyz", "日本語テキスト", "=-_*#", "0123 ", "😀🏽‍é́"]
+    for _ in range(5000):
+        text = "".join(random.choices(random.choice(kinds), k=random.randint(1, 40)))
+        assert np.frombuffer(encoder.encode(text), "<i4").tolist() == want.encode_ordinary(text), text
+    for text in TEXTS[1:]:
+        assert np.frombuffer(encoder.encode(text), "<i4").tolist() == want.encode_ordinary(text)
+
+
+def test_round_trip(documents):
+    frame = documents([(i, text) for i, text in enumerate(TEXTS)] + [(None, "x"), (3, "a")])
+    ids = frame.select("*", encode_text(F.col("text"), PATH, PATTERN).alias("ids"))
+    both = ids.select("*", decode_ids(F.col("ids"), PATH).alias("decoded"), encode_and_decode(F.col("text"), PATH, PATTERN).alias("coded"))
+    rows, want = both.collect(), merges()
+    assert len(rows) == len(TEXTS) + 2
+    for row in rows:
+        assert row["ids"] == row["coded"]["ids"] == want.encode_ordinary(row["text"] or "")
+        assert bytes(row["decoded"]) == bytes(row["coded"]["decoded"]) == (row["text"] or "").encode()
+
+
+def test_null_ids_and_empty_table(spark, documents):
+    none = spark.createDataFrame([(None,), ([],), ([0, 256],)], "ids array<int>")
+    assert [len(row[0]) > 0 for row in none.select(decode_ids(F.col("ids"), PATH)).collect()] == [False, False, True]
+    assert documents([]).select(encode_text(F.col("text"), PATH, PATTERN)).collect() == []
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {row["doc_id"]: row["text"] for row in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    want = merges()
+    rows = QUERIES["op4_byte_bpe"](spark, sf).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = want.encode_ordinary(texts[row["doc_id"]])
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
