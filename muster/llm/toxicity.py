@@ -5,12 +5,12 @@ the k-th threshold. All thresholds share the weights and stand in order, and the
 these probabilities.
 
 Labels only say whether a document is toxic. Grade 0 is a document that is not; a toxic one has grade 1, or 2
-if words that are marked by training for toxic documents are at least as dense in it as in the median of them.
+if it holds more words with terms that tell toxic documents from others than the median of them.
 
 A word has as terms itself and its beginnings, so that inflected forms share weights. The model is fitted on about
 ``train_documents`` labelled documents, chosen by a hash of their id, as many toxic as others. Terms whose share in
-the two kinds of documents differs significantly become features, at most ``max_terms``. Every document is scored
-by all its words.
+the two kinds of documents differs significantly become features, at most ``max_terms``. Documents are
+weighted as the two kinds are among all labels. Every document is scored by all its words.
 
 Defined results: a null or empty text has the severity of a text without any such word. Without training
 documents, or with one label only, no word counts. Rows given twice are scored alike; further columns are not touched.
@@ -41,7 +41,7 @@ LEAST_DOCUMENTS = 3
 LEAST_DEVIATIONS = 3.5
 GRADES = 3
 #: A text counts as toxic from this probability of grade 1 or more.
-THRESHOLD = 0.5
+THRESHOLD = 0.2
 STEPS = 400
 
 _words = re.compile(r"[^\W\d_]+").findall
@@ -91,7 +91,14 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60.0, 60.0)))
 
 
-def fit(terms: list[str], texts: list[str | None], grades: np.ndarray, grade_count: int = GRADES, steps: int = STEPS) -> Model:
+def fit(
+    terms: list[str],
+    texts: list[str | None],
+    grades: np.ndarray,
+    grade_count: int = GRADES,
+    document_weights: list[float] | None = None,
+    steps: int = STEPS,
+) -> Model:
     """The most likely weights and thresholds, with a prior of weights around zero."""
     features = Features(terms)
     found = [features.of(text) for text in texts]
@@ -100,7 +107,8 @@ def fit(terms: list[str], texts: list[str | None], grades: np.ndarray, grade_cou
     value = np.concatenate([values for _, values in found]) if found else np.zeros(0)
     weights, first, gaps = np.zeros(len(terms)), 0.0, np.zeros(max(grade_count - 2, 0))
     point, adam = np.r_[weights, first, gaps], Adam(0.05)
-    n = max(len(texts), 1)
+    shares = np.ones(len(texts)) if document_weights is None else np.array(document_weights)
+    shares = shares / max(shares.sum(), 1e-9)
     for _ in range(steps if len(texts) else 0):
         weights, thresholds = point[: len(terms)], _thresholds(point[len(terms) :])
         score = np.bincount(row, weights[column] * value, len(texts))
@@ -111,10 +119,10 @@ def fit(terms: list[str], texts: list[str | None], grades: np.ndarray, grade_cou
         pick = np.arange(len(texts))
         probability = np.maximum(framed[pick, grades] - framed[pick, grades + 1], 1e-9)
         lower, upper = slopes[pick, grades] / probability, slopes[pick, grades + 1] / probability
-        by_score = -(lower - upper) / n
+        by_score = -(lower - upper) * shares
         by_threshold = np.zeros(len(thresholds) + 2)
-        np.add.at(by_threshold, grades, lower / n)
-        np.add.at(by_threshold, grades + 1, -upper / n)
+        np.add.at(by_threshold, grades, lower * shares)
+        np.add.at(by_threshold, grades + 1, -upper * shares)
         by_threshold = by_threshold[1:-1]
         # Later thresholds contain all gaps before them.
         tail = np.cumsum(by_threshold[::-1])[::-1]
@@ -148,11 +156,11 @@ def train(
     texts = [row["text"] for row in rows]
     telling = telling_terms(texts, toxic, max_terms)
     marked = Features([term for term, deviation in telling if deviation > 0])
-    density = np.array([_density(text, marked) for text in texts])
+    found = np.array([sum(bool(marked[word]) for word in words_of(text)) for text in texts])
     grades = np.where(toxic > 0, 1, 0)
     if grades.any():
-        grades[(toxic > 0) & (density >= np.median(density[toxic > 0])) & (density > 0)] = 2
-    return fit([term for term, _ in telling], texts, grades)
+        grades[(toxic > 0) & (found > np.median(found[toxic > 0]))] = 2
+    return fit([term for term, _ in telling], texts, grades, GRADES, [row["weight"] for row in rows])
 
 
 def telling_terms(texts: list[str | None], toxic: np.ndarray, most: int) -> list[tuple[str, float]]:
@@ -172,11 +180,6 @@ def telling_terms(texts: list[str | None], toxic: np.ndarray, most: int) -> list
     return sorted(found, key=lambda item: (-abs(item[1]), item[0]))[:most]
 
 
-def _density(text: str | None, marked: Features) -> float:
-    words = words_of(text)
-    return sum(bool(marked[word]) for word in words) / max(len(words), 1)
-
-
 TOXICITY_TYPE = "struct<severity:double, at_least:array<double>>"
 
 
