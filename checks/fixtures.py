@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from muster.session import scratch_path
 from muster.sinks.writers import write_csv
 from muster.sources.lists import list_csv_files
-from muster.sources.remote import default_filesystem, qualify, task_filesystem
+from muster.sources.remote import home_folder, qualify, task_filesystem
 
 ROWS_PER_PART = 1_000_000
 
@@ -101,7 +101,7 @@ def list_folder(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
     """A folder with the lists as files, and the paths of all lists, also those never written."""
     key = (spark.sparkContext.applicationId, sf_dir, "lists")
     if key not in _written:
-        folder = qualify(scratch_path(spark, "lists"), default_filesystem(spark))
+        folder = qualify(scratch_path(spark, "lists"), home_folder(spark))
         cells = [F.expr(SUBSCRIBERS[name]).alias(name) for name in ("row_key", "msisdn_raw", "age_raw")]
         rows = with_list(spark, sf_dir).select("list_no", "list_name", "list_state", *cells)
         # A file is one run of bytes, so one task writes it; list_rows bounds its size.

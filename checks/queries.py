@@ -169,13 +169,13 @@ def sms_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = _plan(spark, sf_dir).withColumn("file_type", file_type(F.col("file_name")))
     plan = lookup.bind_messages(typed, MESSAGES).withColumn("sender", F.lit(SENDER))
     writers.write_outbox(dispatch.sms_outbox(plan), path)
-    return spark.read.parquet(path)
+    return writers.read_outbox(spark, path)
 
 
 def voice_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "voice-outbox")
     writers.write_outbox(dispatch.voice_outbox(dispatch.plan_calls(_numbered(spark, sf_dir)), 77), path)
-    return spark.read.parquet(path)
+    return writers.read_outbox(spark, path)
 
 
 def msisdn_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,18 +360,16 @@ def batch_last_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def totals_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = outcomes.file_totals(_issued(spark, sf_dir, 3))
-    return outcomes.totals_rollup(totals, outcomes.run_span(traffic(spark, sf_dir, 3)), HOUR)
+    return outcomes.totals_rollup(outcomes.file_totals(_issued(spark, sf_dir, 3), ts="ts"), HOUR)
 
 
 def voice_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calls per list: processed with repeats, success and failed by last result per batch."""
     calls = dispatch.plan_calls(number_by_key(traffic(spark, sf_dir, 3)))
-    totals = outcomes.file_totals(calls, ("file_name", "batch_no")).select(
-        "file_name", F.col("issued").alias("processed"), F.col("sent").alias("success"), "failed"
+    totals = outcomes.with_duration(outcomes.file_totals(calls, ("batch_no",), ts="ts")).select(
+        "file_name", F.col("issued").alias("processed"), F.col("sent").alias("success"), "failed", "duration_x100"
     )
-    spans = outcomes.run_span(traffic(spark, sf_dir, 3)).select("file_name", "duration_x100")
-    return outcomes.add_rate(totals.join(spans, "file_name"), "processed", HOUR)
+    return outcomes.add_rate(totals, "processed", HOUR)
 
 
 def run_span(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,55 +23,74 @@ def main(args: list[str] | None = None) -> None:
     print(json.dumps(options.job(spark, options)))
 
 
-def _report(spark, paths):
-    states = lists.file_status(spark, paths).groupBy("status").count().collect()
+def _report(spark, paths, types=None):
+    by_type = {} if types is None else {"by_type": True, "types": types}
+    states = lists.file_status(spark, paths, **by_type).groupBy("status").count().collect()
     return {row["status"]: row["count"] for row in states}
 
 
+def _sizes(o):
+    return {"chunk": o.chunk, "batch": o.batch, "multi_line": o.multi_line}
+
+
 def _campaign(spark, o):
-    plan = dispatch.plan_campaign(spark, o.lists, o.message, o.sender, chunk=o.chunk, batch=o.batch)
+    plan = dispatch.plan_campaign(spark, o.lists, o.message, o.sender, **_sizes(o))
     return {"files": _report(spark, o.lists), "planned": writers.write_outbox(plan, o.out)}
 
 
 def _segmented(spark, o):
-    plan = dispatch.plan_segmented(spark, o.lists, o.older, o.younger, o.sender, chunk=o.chunk, batch=o.batch)
+    plan = dispatch.plan_segmented(spark, o.lists, o.older, o.younger, o.sender, **_sizes(o))
     return {"files": _report(spark, o.lists), "planned": writers.write_outbox(plan, o.out)}
 
 
 def _calls(spark, o):
-    plan = dispatch.plan_call_list(spark, o.lists, o.account, o.batch, o.per_second)
+    plan = dispatch.plan_call_list(spark, o.lists, o.account, o.batch, o.per_second, o.multi_line)
     return {"files": _report(spark, o.lists), "planned": writers.write_outbox(plan, o.out)}
 
 
 def _folder(spark, o):
     messages = json.loads(o.messages)
-    plan = dispatch.plan_folder(spark, o.folder, messages, o.sender, chunk=o.chunk, batch=o.batch)
-    return {"planned": writers.write_outbox(plan, o.out)}
+    plan = dispatch.plan_folder(spark, o.folder, messages, o.sender, **_sizes(o))
+    states = _report(spark, lists.list_csv_files(spark, o.folder), list(messages))
+    return {"files": states, "planned": writers.write_outbox(plan, o.out)}
+
+
+def _typed(spark, o):
+    messages = json.loads(o.messages)
+    plan = dispatch.plan_typed_paths(spark, o.lists, messages, o.sender, **_sizes(o))
+    return {"files": _report(spark, o.lists, list(messages)), "planned": writers.write_outbox(plan, o.out)}
+
+
+def _campaigns(spark, o):
+    layout = "campaign string, file_name string, message string, sender string"
+    campaigns = spark.read.option("header", True).schema(layout).csv(o.campaigns)
+    plan = dispatch.plan_campaigns(spark, o.lists, campaigns, **_sizes(o))
+    return {"files": _report(spark, o.lists), "planned": writers.write_outbox(plan, o.out)}
 
 
 def _arrivals(spark, o):
     messages = json.loads(o.messages)
     run = plan_arrivals(
-        spark, o.folder, o.out, o.checkpoint, messages, o.sender, chunk=o.chunk, batch=o.batch
+        spark, o.folder, o.out, o.checkpoint, messages, o.sender, **_sizes(o)
     )
     run.awaitTermination()
     return {"batches": len([p for p in run.recentProgress if p.numInputRows])}
 
 
 def _rejects(spark, o):
-    return {"rejected": writers.write_csv(dispatch.list_rejects(spark, o.lists), o.out)}
+    return {"rejected": writers.write_csv(dispatch.list_rejects(spark, o.lists, o.multi_line), o.out)}
 
 
 def _totals(spark, o):
     issued = spark.read.parquet(o.outcomes)
-    totals = outcomes.totals_rollup(outcomes.file_totals(issued), outcomes.run_span(issued))
+    totals = outcomes.totals_rollup(outcomes.file_totals(issued, ts="ts"))
     totals.write.mode("errorifexists").parquet(o.out)
     grand = spark.read.parquet(o.out).filter("level = 1").select("issued", "counted", "sent", "failed").first()
     return grand.asDict() if grand else {}
 
 
 def _slice(spark, o):
-    rows = slicing.slice_list(spark, o.lists, o.start, o.limit)
+    rows = slicing.slice_list(spark, o.lists, o.start, o.limit, o.multi_line)
     return {"written": writers.write_csv(rows.drop("pos"), o.out)}
 
 
@@ -81,8 +100,11 @@ def _strip_quotes(spark, o):
 
 def _load(spark, o):
     now = datetime.now(ZoneInfo(ZONE)).strftime("%Y-%m-%d %H:%M:%S")
-    rows = load.campaign_rows(lists.scan_first_column(spark, o.lists), now)
-    return {"inserted": writers.append_table(rows, o.out)}
+    cells = lists.scan_first_column(spark, o.lists, o.multi_line)
+    report = {"inserted": writers.append_table(load.campaign_rows(cells, now), o.out)}
+    if o.rejects:
+        report["rejected"] = writers.append_table(load.rejected_rows(cells, now), o.rejects)
+    return report
 
 
 def _parser():
@@ -106,6 +128,8 @@ def _parser():
         ("segmented", _segmented, ("older", "younger", "sender", "out")),
         ("folder", _folder, ("folder", "messages", "sender", "out")),
         ("arrivals", _arrivals, ("folder", "messages", "sender", "out", "checkpoint")),
+        ("typed", _typed, ("messages", "sender", "out")),
+        ("campaigns", _campaigns, ("campaigns", "out")),
     ):
         sizes(job(name, run, *names), dispatch.CHUNK, dispatch.BATCH)
         if "folder" not in names:
@@ -121,10 +145,15 @@ def _parser():
     cut.add_argument("--limit", type=int, default=slicing.LIMIT)
     cut.add_argument("lists", nargs="+")
 
-    job("load", _load, "out").add_argument("lists", nargs="+")
+    loaded = job("load", _load, "out")
+    loaded.add_argument("--rejects", help="table of the rows that are not loaded")
+    loaded.add_argument("lists", nargs="+")
     job("rejects", _rejects, "out").add_argument("lists", nargs="+")
     job("totals", _totals, "outcomes", "out")
     job("strip-quotes", _strip_quotes, "out").add_argument("text", nargs="+")
+    for name, added in jobs.choices.items():
+        if name not in ("totals", "strip-quotes"):
+            added.add_argument("--multi-line", action="store_true", help="quoted cells may hold line ends")
     return parser
 
 

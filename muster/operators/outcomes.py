@@ -1,20 +1,32 @@
 """Accounting for outcomes: last result per number and batch, totals, spans and rates.
 
-An outcome row is one issued request: ``file_name``, ``chunk_no``, ``batch_no``,
-``pos``, ``msisdn`` and ``transport_errno`` (0 is success).
+An outcome row is one issued request as the outbox has it: the list (see ``IDENTITY``), ``chunk_no``,
+``batch_no``, ``pos``, ``msisdn`` and ``transport_errno`` (0 is success).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.functions import duration_hundredths, hms, local_time, rate_hundredths, whole_div
 
-BATCH = ("file_name", "chunk_no", "batch_no")
+# What tells the lists of a run apart, as far as the outcomes carry it. The base name alone does not: lists of two
+# folders may share it, and one list may be named twice or be in several campaigns.
+IDENTITY = ("campaign", "file_ordinal", "file_path", "file_name")
+BATCH = ("chunk_no", "batch_no")
+
+
+def identity(outcomes: DataFrame) -> list[str]:
+    found = [name for name in IDENTITY if name in outcomes.columns]
+    if not found:
+        raise ValueError(f"outcomes have none of {', '.join(IDENTITY)}")
+    return found
 
 
-def outcome_counts(outcomes: DataFrame, by: str = "file_name", ts: str | None = None) -> DataFrame:
+def outcome_counts(outcomes: DataFrame, by: Sequence[str] | None = None, ts: str | None = None) -> DataFrame:
     """Sent and failed by error code, every request counted; with ``ts`` also the duration, in the same pass."""
     counts = [
         F.count_if(F.col("transport_errno") == 0).alias("sent"),
@@ -22,51 +34,60 @@ def outcome_counts(outcomes: DataFrame, by: str = "file_name", ts: str | None =
     ]
     if ts is not None:
         counts.append(_between(F.min(ts), F.max(ts)).alias("duration_x100"))
-    return outcomes.groupBy(by).agg(*counts)
+    return outcomes.groupBy(*(by or identity(outcomes))).agg(*counts)
 
 
-def batch_last_outcomes(outcomes: DataFrame, batch=BATCH) -> DataFrame:
-    """One row per number and batch with its last result.
+def batch_last_outcomes(outcomes: DataFrame, batch: Sequence[str] = BATCH, ts: str | None = None) -> DataFrame:
+    """One row per number and batch with its last result; with ``ts`` also its first and last time.
 
     A number repeated inside a batch is issued each time and counted once. The
-    groups are batches of a few rows, so no group is hot, and the partial
-    aggregate ahead of the shuffle already folds the repeats.
+    rows are dealt out by batch, groups of a few rows that no file makes hot, so
+    what is summed up per batch afterwards needs no second shuffle of them.
     """
-    return outcomes.groupBy(*batch, "msisdn").agg(
-        F.max_by("transport_errno", "pos").alias("transport_errno"),
-        F.count("*").alias("issued"),
+    whole = [*identity(outcomes), *batch]
+    times = [F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts")] if ts else []
+    return (
+        outcomes.repartition(*whole)
+        .groupBy(*whole, "msisdn")
+        .agg(F.max_by("transport_errno", "pos").alias("transport_errno"), F.count("*").alias("issued"), *times)
     )
 
 
-def batch_distinct(outcomes: DataFrame, batch=BATCH) -> DataFrame:
+def batch_distinct(outcomes: DataFrame, batch: Sequence[str] = BATCH) -> DataFrame:
     """Requests issued and numbers counted per batch."""
     return (
         batch_last_outcomes(outcomes, batch)
-        .groupBy(*batch)
+        .groupBy(*identity(outcomes), *batch)
         .agg(F.sum("issued").alias("issued"), F.count("*").alias("counted"))
     )
 
 
-def file_totals(outcomes: DataFrame, batch=BATCH) -> DataFrame:
-    """Issued, counted, sent and failed per file; sent and failed by last result per batch."""
+def file_totals(outcomes: DataFrame, batch: Sequence[str] = BATCH, ts: str | None = None) -> DataFrame:
+    """Issued, counted, sent and failed per file; sent and failed by last result per batch.
+
+    With ``ts`` also ``start_ts`` and ``end_ts``, from the same pass over the outcomes.
+    """
+    times = [F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts")] if ts else []
     return (
-        batch_last_outcomes(outcomes, batch)
-        .groupBy("file_name")
+        batch_last_outcomes(outcomes, batch, ts)
+        .groupBy(*identity(outcomes))
         .agg(
             F.sum("issued").alias("issued"),
             F.count("*").alias("counted"),
             F.count_if(F.col("transport_errno") == 0).alias("sent"),
             F.count_if(F.col("transport_errno") != 0).alias("failed"),
+            *times,
         )
     )
 
 
-def run_span(outcomes: DataFrame, by: str = "file_name", ts: str = "ts") -> DataFrame:
+def run_span(outcomes: DataFrame, by: Sequence[str] | None = None, ts: str = "ts") -> DataFrame:
     """First and last time, their local rendering, the duration to a hundredth second and as ``H:i:s``."""
-    span = outcomes.groupBy(by).agg(F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"))
+    by = by or identity(outcomes)
+    span = outcomes.groupBy(*by).agg(F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"))
     span = span.withColumn("duration_x100", _between(F.col("start_ts"), F.col("end_ts")))
     return span.select(
-        by,
+        *by,
         "start_ts",
         "end_ts",
         local_time(F.col("start_ts")).alias("started"),
@@ -76,6 +97,10 @@ def run_span(outcomes: DataFrame, by: str = "file_name", ts: str = "ts") -> Data
     )
 
 
+def with_duration(totals: DataFrame) -> DataFrame:
+    return totals.withColumn("duration_x100", _between(F.col("start_ts"), F.col("end_ts")))
+
+
 def add_rate(totals: DataFrame, count: str = "sent", unit_seconds: int = 1, floor_seconds: int = 0) -> DataFrame:
     """Add ``rate_x100``, the ``count`` per unit of time in hundredths, over ``duration_x100``.
 
@@ -86,21 +111,23 @@ def add_rate(totals: DataFrame, count: str = "sent", unit_seconds: int = 1, floo
     return totals.withColumn("rate_x100", rate_hundredths(F.col(count), width, unit_seconds))
 
 
-def totals_rollup(totals: DataFrame, spans: DataFrame, unit_seconds: int = 1) -> DataFrame:
-    """Per-file totals and a grand total (``level`` 1, null name) with durations and rates of sending.
+def totals_rollup(totals: DataFrame, unit_seconds: int = 1) -> DataFrame:
+    """Per-file totals and a grand total (``level`` 1, null names) with durations and rates of sending.
 
-    Rolled up from one row per file, so the expansion a rollup makes happens
-    after the aggregation and not on the outcome rows. The grand duration runs
-    from the first start to the last end.
+    ``totals`` are ``file_totals`` with times. Rolled up from one row per file, so
+    the expansion a rollup makes happens after the aggregation and not on the
+    outcome rows. The grand duration runs from the first start to the last end.
     """
+    names = identity(totals)
     rolled = (
-        totals.join(spans.select("file_name", "start_ts", "end_ts"), "file_name")
-        .rollup("file_name")
+        totals.withColumn("_file", F.struct(*names))
+        .rollup("_file")
         .agg(
-            F.grouping("file_name").cast("long").alias("level"),
+            F.grouping("_file").cast("long").alias("level"),
             *[F.sum(c).alias(c) for c in ("issued", "counted", "sent", "failed")],
             _between(F.min("start_ts"), F.max("end_ts")).alias("duration_x100"),
         )
+        .select("_file.*", "level", "issued", "counted", "sent", "failed", "duration_x100")
     )
     return add_rate(rolled, unit_seconds=unit_seconds)
 

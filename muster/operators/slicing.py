@@ -16,44 +16,95 @@ START = 28_001
 LIMIT = 2_800_000
 
 
+# Files are counted in groups that grow, until the range is covered.
+FIRST_GROUP_BYTES = 256 << 20
+
+
 def slice_list(
-    spark: SparkSession, paths: Sequence[str], start: int = START, limit: int = LIMIT, multi_line: bool = False
+    spark: SparkSession,
+    paths: Sequence[str],
+    start: int = START,
+    limit: int = LIMIT,
+    multi_line: bool = False,
+    group_bytes: int = FIRST_GROUP_BYTES,
 ) -> DataFrame:
-    """All columns of data rows ``start`` to ``start + limit - 1``, counted from 0 over the files in order.
+    """All cells of data rows ``start`` to ``start + limit - 1``, counted from 0 over the files in order.
 
-    Rows are not validated. The files share the header of the first one, which
-    must hold the key column. ``pos`` is kept beside the columns, as rows come
-    back in no particular order.
+    Rows are not validated. The columns are those of the first file, which must
+    have the key column; a file with the same columns in another order is put in
+    the first one's order, any other header is an error. Cells beyond the header
+    are kept in columns named ``_c<number>``. ``pos`` is kept beside the columns,
+    as rows come back in no particular order. Files behind the range are not read.
     """
     first = F.col("file_ordinal") == 1
     probed = probe_files(spark, paths, optional=()).filter(first | (F.col("size_bytes") > 0))
-    header = F.when(first, F.col("header")).alias("header")
-    files = probed.select("file_ordinal", "file_path", "file_name", "status", "crlf", header)
+    files = probed.select("file_ordinal", "file_path", "file_name", "status", "crlf", "size_bytes", "header")
     files = files.orderBy("file_ordinal").collect()
     head = files[0]
     if KEY_COLUMN not in (head.header or ()):
         raise ValueError(f"no {KEY_COLUMN} column: {head.status}")
-    width, end = len(head.header), start + limit
-    scan = scan_columns(spark, files, width, multi_line)
-    splits = count_splits(scan.rows)
-    sizes = file_starts(splits, scan.files).orderBy("file_ordinal")
-    sizes = sizes.select("file_ordinal", "file_path", "file_name", "file_start", "file_rows").collect()
-    hit = [row for row in sizes if row.file_start < end and row.file_start + row.file_rows > start]
-    passed_over = 0
-    if len(hit) < len(sizes):
-        # Files outside the range are counted once by their first column and not read again.
-        scan = scan_columns(spark, hit, width, multi_line)
-        splits = None
-        passed_over = hit[0].file_start if hit else 0
+    layouts = [(row, _places(head, row)) for row in files]
+    end, width = start + limit, len(head.header)
+    counted, passed_over, rows_so_far, bytes_counted = [], 0, 0, 0
+    hit, splits, scan, group, waiting = [], None, None, [], list(layouts)
+    while waiting and rows_so_far < end:
+        group = _next_group(waiting, max(group_bytes, 2 * bytes_counted))
+        waiting = waiting[len(group) :]
+        scan = scan_columns(spark, group, len(head.header), multi_line)
+        splits = count_splits(scan.rows, F.max("cells").alias("cells"), F.max(F.length("c0")).alias("longest"))
+        sizes = file_starts(splits, scan.files).select("file_ordinal", "file_start", "file_rows").collect()
+        in_group = [r.file_ordinal for r in sizes if _overlap(r, rows_so_far, start, end)]
+        before = [rows_so_far + r.file_start for r in sizes if r.file_ordinal in in_group]
+        if before and not hit:
+            passed_over = min(before)
+        hit += [layout for layout in group if layout[0].file_ordinal in in_group]
+        width = max(width, splits.agg(F.max("cells")).first()[0] or 0)
+        rows_so_far += sum(r.file_rows for r in sizes)
+        bytes_counted += sum(row.size_bytes for row, _ in group)
+        counted += group
+    hit_bytes = sum(row.size_bytes for row, _ in hit)
+    if len(counted) > len(group) or width > len(head.header) or 2 * hit_bytes <= bytes_counted:
+        # The files hit are counted again, unless reading all that were counted is no more work.
+        scan, splits = scan_columns(spark, hit, width, multi_line), None
+    else:
+        passed_over = 0
     pos = F.col("list_pos") + passed_over
     numbered = number_by_split(scan.rows, scan.files, splits).withColumn("list_pos", pos)
     kept = numbered.filter((F.col("list_pos") >= start) & (F.col("list_pos") < end))
     cells = [F.col(f"c{i}") for i in range(width)]
-    if head.crlf:
-        cells[-1] = F.regexp_replace(cells[-1], r"\r\z", "")
-    return kept.select(
-        F.col("list_pos").alias("pos"), *[c.alias(n) for c, n in zip(cells, _distinct_names(head.header))]
-    )
+    # A carriage return at the end of a line stays in its last cell, whichever column that is put in.
+    ends: dict[int, list[int]] = {}
+    for row, places in layouts:
+        if row.crlf:
+            for i in {places.index(len(head.header) - 1), *range(len(head.header), width)}:
+                ends.setdefault(i, []).append(row.file_ordinal)
+    for i, ordinals in ends.items():
+        cells[i] = F.when(F.col("file_ordinal").isin(ordinals), F.regexp_replace(cells[i], r"\r\z", "")).otherwise(cells[i])
+    names = _distinct_names([*head.header, *("" for _ in range(width - len(head.header)))])
+    return kept.select(F.col("list_pos").alias("pos"), *[c.alias(n) for c, n in zip(cells, names)])
+
+
+def _places(head, row):
+    """Where the first file's columns stand in a file."""
+    if row.header == head.header:
+        return list(range(len(head.header)))
+    if sorted(row.header) != sorted(head.header) or len(set(row.header)) < len(row.header):
+        raise ValueError(f"{row.file_name} has other columns than {head.file_name}")
+    return [row.header.index(name) for name in head.header]
+
+
+def _next_group(layouts, most_bytes):
+    group, size = [], 0
+    for layout in layouts:
+        if group and size + layout[0].size_bytes > most_bytes:
+            break
+        group.append(layout)
+        size += layout[0].size_bytes
+    return group
+
+
+def _overlap(row, before, start, end):
+    return before + row.file_start < end and before + row.file_start + row.file_rows > start
 
 
 def _distinct_names(header):

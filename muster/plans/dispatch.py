@@ -8,16 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from muster.functions import base_name, file_type, plain_path, sms_query, voice_query, whole_div
 from muster.functions.encoding import DLR_MASK
 from muster.operators.lookup import bind_campaigns, bind_messages, known_types
+from muster.operators.outcomes import identity
 from muster.operators.position import number_by_split
 from muster.operators.validate import rejected_rows, segment_message, valid_rows
 from muster.sources.headers import file_list
-from muster.sources.lists import discover_files, scan_lists
+from muster.sources.lists import discover_files, probe_lists, scan_lists
 
 # Sizes of a message campaign, its ports, and those of a call campaign.
 CHUNK = 5_000
@@ -77,11 +78,10 @@ def plan_calls(numbered: DataFrame, batch: int = CALL_BATCH, per_second: int = C
     return numbered.withColumn("batch_no", number).withColumn("earliest_start_s", number * pause)
 
 
-def sms_outbox(plan: DataFrame, *kept: str) -> DataFrame:
-    """Request rows of a message plan that carries ``message`` and ``sender``; ``kept`` names further columns."""
+def sms_outbox(plan: DataFrame) -> DataFrame:
+    """Request rows of a message plan that carries ``message`` and ``sender``, with what tells its lists apart."""
     return plan.select(
-        *kept,
-        "file_name",
+        *identity(plan),
         "msisdn",
         "pos",
         "chunk_no",
@@ -97,7 +97,7 @@ def sms_outbox(plan: DataFrame, *kept: str) -> DataFrame:
 
 def voice_outbox(plan: DataFrame, account: int | str) -> DataFrame:
     return plan.select(
-        "file_name",
+        *identity(plan),
         "msisdn",
         "pos",
         "batch_no",
@@ -107,79 +107,103 @@ def voice_outbox(plan: DataFrame, account: int | str) -> DataFrame:
 
 
 def plan_lists(
-    spark: SparkSession, paths: Sequence[str], files: DataFrame | None = None, message: Column | None = None, **sizes
+    spark: SparkSession,
+    paths: Sequence[str],
+    bound: DataFrame | None = None,
+    message: Column | None = None,
+    multi_line: bool = False,
+    probed: Sequence[Row] | None = None,
+    **sizes,
 ) -> DataFrame:
     """Plan the valid rows of list files, each file numbered by itself in list order.
 
-    ``files`` may replace the table of read files with one that has more columns
-    (see ``number_by_split``); ``message`` is an expression over the row cells
-    ``msisdn_raw`` and ``age_raw``.
+    ``bound`` adds columns per ``file_ordinal`` (see ``number_by_split``);
+    ``message`` is an expression over the row cells ``msisdn_raw`` and
+    ``age_raw``. ``multi_line`` and ``probed`` are those of ``scan_lists``; all
+    plans below take ``multi_line`` as well.
     """
-    scan = scan_lists(spark, paths)
+    scan = scan_lists(spark, paths, multi_line=multi_line, probed=probed)
     valid = valid_rows(scan.rows)
     if message is not None:
         valid = valid.withColumn("message", message)
-    return plan_batches(number_by_split(valid, scan.files if files is None else files), **sizes)
+    return plan_batches(number_by_split(valid, scan.files, bound=bound), **sizes)
 
 
-def list_rejects(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The cells of list files that take no position: ``file_name``, ``msisdn_raw``, ``reason``."""
-    rejected = rejected_rows(scan_lists(spark, paths, optional=()).rows)
+def list_rejects(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
+    """The cells of list files that take no position: ``file_path``, ``file_name``, ``msisdn_raw``, ``reason``."""
+    rejected = rejected_rows(scan_lists(spark, paths, optional=(), multi_line=multi_line).rows)
+    path = plain_path(F.col("split_path"))
     return rejected.select(
-        base_name(plain_path(F.col("split_path"))).alias("file_name"),
+        path.alias("file_path"),
+        base_name(path).alias("file_name"),
         F.coalesce("msisdn_raw", F.lit("")).alias("msisdn_raw"),
         "reason",
     )
 
 
-def plan_campaign(spark: SparkSession, paths: Sequence[str], message: str, sender: str, **sizes) -> DataFrame:
+def plan_campaign(spark: SparkSession, paths: Sequence[str], message: str, sender: str, **options) -> DataFrame:
     """Outbox of one message to all valid numbers of the given lists."""
-    plan = plan_lists(spark, paths, **sizes)
+    plan = plan_lists(spark, paths, **options)
     return sms_outbox(plan.withColumn("message", F.lit(message)).withColumn("sender", F.lit(sender)))
 
 
-def plan_campaigns(spark: SparkSession, paths: Sequence[str], campaigns: DataFrame, **sizes) -> DataFrame:
+def plan_campaigns(
+    spark: SparkSession, paths: Sequence[str], campaigns: DataFrame, multi_line: bool = False, **sizes
+) -> DataFrame:
     """Outbox of many campaigns: ``campaign``, ``file_name``, ``message``, ``sender`` rows bound to the lists.
 
     The campaigns meet the table of files, not the rows. A list in two campaigns
     is planned for both; a list in none is left out.
     """
-    scan = scan_lists(spark, paths)
-    numbered = number_by_split(valid_rows(scan.rows), bind_campaigns(scan.files, campaigns))
-    plan = plan_batches(numbered, **sizes)
-    return sms_outbox(plan, "campaign")
+    scan = scan_lists(spark, paths, multi_line=multi_line)
+    bound = bind_campaigns(scan.files, campaigns)
+    plan = plan_batches(number_by_split(valid_rows(scan.rows), scan.files, bound=bound), **sizes)
+    return sms_outbox(plan)
 
 
 def plan_segmented(
-    spark: SparkSession, paths: Sequence[str], older: str, younger: str, sender: str, **sizes
+    spark: SparkSession, paths: Sequence[str], older: str, younger: str, sender: str, **options
 ) -> DataFrame:
     """Outbox of one of two messages by age. A list without an age column gets the younger one."""
     message = segment_message(F.col("age_raw"), older, younger)
-    plan = plan_lists(spark, paths, message=message, **sizes)
+    plan = plan_lists(spark, paths, message=message, **options)
     return sms_outbox(plan.withColumn("sender", F.lit(sender)))
 
 
-def plan_folder(spark: SparkSession, folder: str, messages: Mapping[str, str], sender: str, **sizes) -> DataFrame:
+def plan_folder(spark: SparkSession, folder: str, messages: Mapping[str, str], sender: str, **options) -> DataFrame:
     """Discover the typed lists of a folder, bind their messages and plan them as an outbox."""
-    return plan_typed_files(spark, discover_files(spark, folder, list(messages)), messages, sender, **sizes)
+    return plan_typed_files(spark, discover_files(spark, folder, list(messages)), messages, sender, **options)
 
 
 def plan_typed_paths(
-    spark: SparkSession, paths: Sequence[str], messages: Mapping[str, str], sender: str, **sizes
+    spark: SparkSession, paths: Sequence[str], messages: Mapping[str, str], sender: str, **options
 ) -> DataFrame:
     """As ``plan_folder`` for named files of any extension; names of unknown type are left out."""
     listed = file_list(spark, paths)
     typed = known_types(listed.withColumn("file_type", file_type(F.col("file_path"))), messages)
-    return plan_typed_files(spark, typed, messages, sender, **sizes)
+    return plan_typed_files(spark, typed, messages, sender, **options)
 
 
 def plan_typed_files(
-    spark: SparkSession, found: DataFrame, messages: Mapping[str, str], sender: str, **sizes
+    spark: SparkSession,
+    found: DataFrame,
+    messages: Mapping[str, str],
+    sender: str,
+    probed: Sequence[Row] | None = None,
+    **options,
 ) -> DataFrame:
-    """Plan the files of a listing that has ``file_ordinal``, ``file_path`` and ``file_type``."""
-    files = bind_messages(found, messages).withColumn("sender", F.lit(sender))
-    paths = [row.file_path for row in found.orderBy("file_ordinal").select("file_path").collect()]
-    return sms_outbox(plan_lists(spark, paths, files, **sizes))
+    """Plan the files of a listing that has ``file_ordinal``, ``file_path`` and ``file_type``.
+
+    ``probed`` has the state of the files of the listing, under the ordinals of it.
+    """
+    listed = found.orderBy("file_ordinal").select("file_ordinal", "file_path").collect()
+    if probed is None:
+        probed = probe_lists(spark, [row.file_path for row in listed])
+        ordinals = {place: row.file_ordinal for place, row in enumerate(listed, start=1)}
+        probed = [Row(**{**row.asDict(), "file_ordinal": ordinals[row.file_ordinal]}) for row in probed]
+    bound = bind_messages(found, messages).withColumn("sender", F.lit(sender))
+    bound = bound.select("file_ordinal", "file_type", "message", "sender")
+    return sms_outbox(plan_lists(spark, [], bound, probed=probed, **options))
 
 
 def plan_call_list(
@@ -188,8 +212,9 @@ def plan_call_list(
     account: int | str,
     batch: int = CALL_BATCH,
     per_second: int = CALLS_PER_SECOND,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Outbox of voice calls to all valid numbers of the given lists."""
-    scan = scan_lists(spark, paths, optional=())
+    scan = scan_lists(spark, paths, optional=(), multi_line=multi_line)
     numbered = number_by_split(valid_rows(scan.rows), scan.files)
     return voice_outbox(plan_calls(numbered, batch, per_second), account)

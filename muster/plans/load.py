@@ -25,3 +25,12 @@ def campaign_rows(rows: DataFrame, run_time: str, cell: str = "cell") -> DataFra
         F.lit(None).cast("timestamp_ntz").alias("updated_at"),
         F.lit(None).cast("timestamp_ntz").alias("deleted_at"),
     )
+
+
+def rejected_rows(rows: DataFrame, run_time: str, cell: str = "cell") -> DataFrame:
+    """The rows that a load passes over, as they stand in the list: ``cell``, ``reason``, ``created_at``."""
+    return rows.filter(F.coalesce(clean_msisdn(F.col(cell)), F.lit("")) == "").select(
+        F.coalesce(F.col(cell), F.lit("")).alias("cell"),
+        F.lit("empty").alias("reason"),
+        F.to_timestamp_ntz(F.lit(run_time)).alias("created_at"),
+    )

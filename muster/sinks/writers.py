@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from muster.functions import strip_quotes
@@ -46,14 +46,25 @@ def append_jdbc(rows: DataFrame, url: str, table: str, **options: str) -> int:
     )
 
 
-def write_outbox(outbox: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Outbox table with one folder per list file; chunks and batches are columns.
+# Names the folders of an outbox; its columns are all in the files.
+LIST_ID = "list_id"
 
-    A folder per chunk of some thousand rows would drown a large run in small
-    files. Each task writes the lists it holds, so a large list is written by
-    many tasks.
+
+def write_outbox(outbox: DataFrame, path: str, mode: str = "errorifexists") -> int:
+    """Outbox table with one folder per list; chunks and batches are columns.
+
+    The folder is named by a number, the list's ordinal or else a hash of its
+    name: a name such as ``007`` would be read back as a number. A folder per
+    chunk of some thousand rows would drown a large run in small files. Each
+    task writes the lists it holds, so a large list is written by many tasks.
     """
-    return _counted(outbox, lambda counted: counted.write.mode(mode).partitionBy("file_name").parquet(path))
+    number = F.col("file_ordinal") if "file_ordinal" in outbox.columns else F.xxhash64("file_name")
+    numbered = outbox.withColumn(LIST_ID, number)
+    return _counted(numbered, lambda counted: counted.write.mode(mode).partitionBy(LIST_ID).parquet(path))
+
+
+def read_outbox(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(LIST_ID)
 
 
 def _counted(rows, write):

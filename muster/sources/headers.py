@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.functions import base_name
-from muster.sources.remote import default_filesystem, qualify, task_filesystem
+from muster.sources.remote import home_folder, qualify, task_filesystem
 
 KEY_COLUMN = "MSISDN"
 AGE_COLUMN = "AGE"
 FILES_PER_TASK = 256
+# A header is one line; a file whose first line is longer is no list.
+HEADER_BYTES = 1 << 20
 
 OK = "ok"
 MISSING = "missing"
@@ -28,7 +30,7 @@ UNSUPPORTED = "unsupported_type"
 
 def file_list(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """The wanted files in list order: ``file_ordinal`` from 1, ``file_path``, ``file_name``."""
-    home = default_filesystem(spark)
+    home = home_folder(spark)
     rows = [(i, qualify(path, home)) for i, path in enumerate(paths, start=1)]
     listed = spark.createDataFrame(rows, "file_ordinal long, file_path string")
     return listed.withColumn("file_name", base_name(F.col("file_path")))
@@ -46,6 +48,10 @@ def probe_files(
     ``header`` (array of names, null when there is none), ``crlf``, ``status``,
     ``key_index`` and ``<name>_index`` for each optional column. Names match
     exactly; the first match counts; an absent column has a null index.
+
+    A file is missing if it is not found and unopenable if it is no file or access
+    to it is refused. Any other failure to read fails the task, which is tried
+    again: a store that is slow or down must not take lists out of a plan.
     """
     files = file_list(spark, paths)
     tasks = -(-len(paths) // FILES_PER_TASK) or 1
@@ -70,6 +76,7 @@ def _index_of(header, name):
 def _head_reader():
     locate = task_filesystem()
     states = (OK, MISSING, UNOPENABLE, EMPTY)
+    longest = HEADER_BYTES
 
     def head_of(path):
         import csv
@@ -79,8 +86,8 @@ def _head_reader():
         from pyarrow import fs
 
         ok, missing, unopenable, empty = states
+        filesystem, inner = locate(path)
         try:
-            filesystem, inner = locate(path)
             info = filesystem.get_file_info(inner)
             if info.type == fs.FileType.NotFound:
                 return None, missing, None, None
@@ -89,9 +96,13 @@ def _head_reader():
             if info.size == 0:
                 return 0, empty, None, None
             with filesystem.open_input_stream(inner, compression=None) as stream:
-                line = io.BufferedReader(stream, 65536).readline()
-        except OSError:
+                line = io.BufferedReader(stream, 65536).readline(longest + 1)
+        except FileNotFoundError:
+            return None, missing, None, None
+        except PermissionError:
             return None, unopenable, None, None
+        if len(line) > longest:
+            raise ValueError(f"the first line of {path} has over {longest} bytes")
         csv.field_size_limit(sys.maxsize)
         text = line.removesuffix(b"\n").decode("utf-8-sig", errors="replace")
         cells = next(csv.reader([text.removesuffix("\r")]), [])

@@ -14,12 +14,16 @@ from muster.functions import file_type, has_csv_extension, plain_path
 from muster.functions.names import TYPE_MARKERS
 from muster.session import pin_split_size
 from muster.sources.headers import AGE_COLUMN, KEY_COLUMN, OK, UNSUPPORTED, file_list, probe_files
-from muster.sources.remote import as_literal, decode_listed, default_filesystem, is_directly_in, qualify
+from muster.sources.remote import as_literal, decode_listed, home_folder, is_directly_in, qualify
 
-# Without recursive lookup a folder that has subfolders is taken for a partitioned table.
-FOLDER_OPTIONS = {"pathGlobFilter": "*.[cC][sS][vV]", "recursiveFileLookup": "true"}
+# The pattern keeps the listing out of subfolders. A subfolder whose name matches is listed and left out
+# afterwards; without recursive lookup it would be taken for a partition of a table.
+CSV_PATTERN = "*.[cC][sS][vV]"
+FOLDER_OPTIONS = {"recursiveFileLookup": "true"}
 SPLIT_COLUMNS = ("split_path", "split_start", "split_length")
 KNOWN_TYPES = tuple(label for label, _ in TYPE_MARKERS)
+# Holds a whole row where its cells are more or fewer than the columns read.
+RAW = "_raw_row"
 
 
 @dataclass(frozen=True)
@@ -48,10 +52,10 @@ def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
     Names only: no file is opened. What lies in subfolders is left out, and a
     folder that does not exist has no files.
     """
-    home = qualify(folder, default_filesystem(spark)).rstrip("/")
+    home = qualify(folder, home_folder(spark))
     reader = spark.read.format("binaryFile").options(**FOLDER_OPTIONS)
     try:
-        found = reader.load(as_literal(home)).inputFiles()
+        found = reader.load(csv_pattern(home)).inputFiles()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -60,6 +64,10 @@ def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted((path for path in paths if is_directly_in(path, home)), key=str.encode)
 
 
+def csv_pattern(folder: str) -> str:
+    return f"{as_literal(folder.rstrip('/'))}/{CSV_PATTERN}"
+
+
 def discover_files(spark: SparkSession, folder: str, types: Sequence[str] = KNOWN_TYPES) -> DataFrame:
     """CSV files of a folder whose name tells a known type, sorted and numbered."""
     listed = file_list(spark, list_csv_files(spark, folder)).drop("file_ordinal")
@@ -70,13 +78,40 @@ def discover_files(spark: SparkSession, folder: str, types: Sequence[str] = KNOW
     return file_list(spark, paths).withColumn("file_type", file_type(F.col("file_path")))
 
 
-def file_status(spark: SparkSession, paths: Sequence[str], by_type: bool = False) -> DataFrame:
-    """One row per wanted file: read, or the reason why it is passed over."""
-    probed = probe_files(spark, paths)
-    status = F.col("status")
-    if by_type:
-        status = F.when(file_type(F.col("file_path")).isNull(), F.lit(UNSUPPORTED)).otherwise(status)
-    return probed.select("file_ordinal", "file_path", "file_name", status.alias("status"))
+def probe_lists(
+    spark: SparkSession, paths: Sequence[str], key: str = KEY_COLUMN, optional: Sequence[str] = (AGE_COLUMN,)
+) -> list[Row]:
+    """State and column places of the wanted files, one row a file, to be used for a scan and its report alike."""
+    names = [f"{name.lower()}_index" for name in optional]
+    probed = probe_files(spark, paths, key, optional)
+    return (
+        probed.select("file_ordinal", "file_path", "file_name", "status", "key_index", *names)
+        .orderBy("file_ordinal")
+        .collect()
+    )
+
+
+def file_status(
+    spark: SparkSession,
+    paths: Sequence[str],
+    by_type: bool = False,
+    types: Sequence[str] = KNOWN_TYPES,
+    probed: Sequence[Row] | None = None,
+) -> DataFrame:
+    """One row per wanted file: read, or the reason why it is passed over.
+
+    ``probed`` is what a scan of these files was made from, so that the report
+    says what that scan did.
+    """
+    rows = probe_lists(spark, paths) if probed is None else probed
+    states = spark.createDataFrame(
+        [(r.file_ordinal, r.file_path, r.file_name, r.status) for r in rows],
+        "file_ordinal long, file_path string, file_name string, status string",
+    )
+    if not by_type:
+        return states
+    known = F.coalesce(file_type(F.col("file_path")).isin(list(types)), F.lit(False))
+    return states.withColumn("status", F.when(known, F.col("status")).otherwise(F.lit(UNSUPPORTED)))
 
 
 def scan_lists(
@@ -85,11 +120,14 @@ def scan_lists(
     key: str = KEY_COLUMN,
     optional: Sequence[str] = (AGE_COLUMN,),
     multi_line: bool = False,
+    probed: Sequence[Row] | None = None,
 ) -> ListScan:
     """Read the key and optional columns of many lists, each by its own header.
 
     Files that are missing, unopenable, empty or without the key column are
     passed over. Columns come out as ``<name>_raw`` strings, null when absent.
+    With ``multi_line`` a quoted cell may hold line ends; such a file is read by
+    one task. ``probed`` is an earlier ``probe_lists`` of the same files.
 
     Files are grouped by the positions of the wanted columns and each group is
     one positional scan, so the number of scans follows the few places a column
@@ -98,13 +136,8 @@ def scan_lists(
     pin_split_size(spark)
     names = [name.lower() for name in optional]
     index_columns = ["key_index"] + [f"{name}_index" for name in names]
-    good = (
-        probe_files(spark, paths, key, optional)
-        .filter(F.col("status") == OK)
-        .select("file_ordinal", "file_path", "file_name", *index_columns)
-        .orderBy("file_ordinal")
-        .collect()
-    )
+    probed = probe_lists(spark, paths, key, optional) if probed is None else probed
+    good = [row for row in probed if row.status == OK]
     columns = [f"{key.lower()}_raw"] + [f"{name}_raw" for name in names]
     groups: dict[tuple, dict[str, None]] = {}
     for row in good:
@@ -117,20 +150,40 @@ def scan_lists(
     return ListScan(rows, _file_table(spark, good))
 
 
-def scan_columns(spark: SparkSession, probed: Sequence[Row], width: int, multi_line: bool = False) -> ListScan:
-    """The first ``width`` columns of probed files of one common layout, as ``c0``, ``c1`` and so on."""
+def scan_columns(
+    spark: SparkSession, layouts: Sequence[tuple[Row, Sequence[int]]], width: int, multi_line: bool = False
+) -> ListScan:
+    """Cells of probed files as ``c0``, ``c1`` and so on, each file with the places of these columns in it.
+
+    Cells beyond a file's own places follow up to ``width``. ``cells`` is the
+    number of cells where a row has another number of them than is read, else
+    null; Spark reads it only together with another cell.
+    """
     pin_split_size(spark)
-    places = {f"c{i}": i for i in range(width)}
-    if probed:
-        rows = _positional_scan(spark, list(dict.fromkeys(r.file_path for r in probed)), places, multi_line)
-    else:
-        rows = _no_rows(spark, list(places))
-    return ListScan(rows, _file_table(spark, probed))
+    groups: dict[tuple, dict[str, None]] = {}
+    for row, places in layouts:
+        beyond = range(len(places), width)
+        groups.setdefault((*places, *beyond), {})[row.file_path] = None
+    names = [f"c{i}" for i in range(width)]
+    scans = [
+        _positional_scan(spark, list(group), dict(zip(names, places)), multi_line, odd="cells")
+        for places, group in groups.items()
+    ]
+    rows = reduce(DataFrame.unionByName, scans) if scans else _no_rows(spark, names).withColumn("cells", F.lit(None).cast("int"))
+    return ListScan(rows, _file_table(spark, [row for row, _ in layouts]))
+
 
+def named_paths(paths: str | Sequence[str], patterns: bool) -> list[str]:
+    """Paths for a reader: taken as they are unless they are said to be patterns."""
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    return listed if patterns else [as_literal(path) for path in listed]
 
-def scan_first_column(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+
+def scan_first_column(
+    spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False, patterns: bool = False
+) -> DataFrame:
     """Column 0 of every row after the header line, whatever the header says."""
-    return csv_reader(spark).schema("cell string").csv(paths)
+    return csv_reader(spark, multi_line).schema("cell string").csv(named_paths(paths, patterns))
 
 
 def _no_rows(spark, columns):
@@ -143,19 +196,26 @@ def _file_table(spark, probed):
     return spark.createDataFrame(rows, "file_ordinal long, file_path string, file_name string")
 
 
-def _positional_scan(spark, paths, places, multi_line):
+def _positional_scan(spark, paths, places, multi_line, odd=None):
     width = max(place for place in places.values() if place is not None) + 1
     schema = ", ".join(f"c{i} string" for i in range(width))
-    table = csv_reader(spark, multi_line).schema(schema).csv([as_literal(path) for path in paths])
+    reader = csv_reader(spark, multi_line)
+    if odd:
+        schema += f", {RAW} string"
+        # With some columns only, the reader would not see how many cells a row has.
+        reader = reader.option("columnNameOfCorruptRecord", RAW).option("columnPruning", False)
+    table = reader.schema(schema).csv([as_literal(path) for path in paths])
     wanted = [
         (F.lit(None).cast("string") if place is None else F.col(f"c{place}")).alias(name)
         for name, place in places.items()
     ]
+    if odd:
+        bare = F.regexp_replace(RAW, '"(?:[^"]|"")*"', "")
+        commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+        wanted.append((commas + 1).alias(odd))
     return table.select(
         *wanted,
         F.input_file_name().alias("split_path"),
         F.input_file_block_start().alias("split_start"),
         F.input_file_block_length().alias("split_length"),
     )
-
-

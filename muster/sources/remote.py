@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import posixpath
 import re
 from collections.abc import Callable
 from urllib.parse import unquote
@@ -10,18 +10,34 @@ from urllib.parse import unquote
 from pyspark.sql import SparkSession
 
 
-def default_filesystem(spark: SparkSession) -> str:
-    named = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
-    return "file:" if not named or named.startswith("file:") else named.rstrip("/")
+def home_folder(spark: SparkSession) -> str:
+    """The folder that relative paths start from, as the default file system has it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop
+    system = hadoop.fs.FileSystem.get(spark.sparkContext._jsc.hadoopConfiguration())
+    return qualify(system.getWorkingDirectory().toString(), "file:/")
 
 
-def qualify(path: str, default_fs: str) -> str:
-    """Full, undecorated form of a path: ``file:/a/b`` or ``scheme://host/a/b``."""
-    if re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:/", path):
-        return re.sub(r"^file:/+", "file:/", path)
-    if default_fs == "file:":
-        return "file:" + os.path.abspath(path)
-    return default_fs + "/" + path.lstrip("/")
+def qualify(path: str, home: str) -> str:
+    """The one full spelling of a path: ``file:/a/b`` or ``scheme://host/a/b``.
+
+    It is that of the file systems Spark reads by, so that it can be compared with
+    the path a row came from: no double or trailing slash, ``.`` and ``..`` resolved.
+    ``home`` is the full path that others are relative to.
+    """
+    scheme, inner = _parts(path)
+    if not scheme:
+        scheme, folder = _parts(home)
+        inner = inner if inner.startswith("/") else f"{folder}/{inner}"
+    return scheme + posixpath.normpath("/" + inner.lstrip("/"))
+
+
+def _parts(path: str) -> tuple[str, str]:
+    """Scheme with authority, and the path in it. The local file system has no authority."""
+    found = re.match(r"^([A-Za-z][A-Za-z0-9+.-]*:)(//[^/]*)?(?=/|$)", path)
+    if not found:
+        return "", path
+    scheme = "file:" if found[1].lower() == "file:" else found[0]
+    return scheme, path[found.end() :]
 
 
 def decode_listed(uri: str) -> str:
@@ -31,11 +47,7 @@ def decode_listed(uri: str) -> str:
 
 def is_directly_in(path: str, folder: str) -> bool:
     """Whether a full path lies in a folder itself and not in one of its subfolders."""
-
-    def inner(full):
-        return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", full).rstrip("/")
-
-    return inner(path.rsplit("/", 1)[0]) == inner(folder)
+    return _parts(path.rsplit("/", 1)[0])[1].rstrip("/") == _parts(folder)[1].rstrip("/")
 
 
 def as_literal(path: str) -> str:

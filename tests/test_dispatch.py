@@ -82,7 +82,7 @@ cells = st.lists(
 @given(cells, st.integers(1, 20), st.integers(1, 9), st.integers(1, 4))
 def test_plan_of_any_list(spark, values, chunk, batch, ports):
     rows = spark.createDataFrame([("f", i, v) for i, v in enumerate(values)], "file_name string, row_key long, msisdn_raw string")
-    plan = dispatch.plan_batches(number_by_key(valid_rows(rows), stripe_keys=13), chunk, batch, range(ports))
+    plan = dispatch.plan_batches(number_by_key(valid_rows(rows), ranges=3), chunk, batch, range(ports))
     got = plan.orderBy("pos").select("msisdn", "pos", "chunk_no", "chunk_pos", "batch_no", "port").collect()
     assert [tuple(r) for r in got] == reference_loop.plan(values, chunk, batch, range(ports))
     counts = validity_counts(rows).collect()

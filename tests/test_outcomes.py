@@ -1,8 +1,11 @@
 import random
 from datetime import datetime, timedelta
 
-from muster.operators import outcomes
+from pyspark.sql import functions as F
+
+from muster.operators import lookup, outcomes, position
 from muster.plans import dispatch
+from muster.sources import lists
 from tests import reference_loop
 
 START = datetime(2024, 1, 1)
@@ -42,8 +45,7 @@ def test_last_outcome_wins_within_a_batch_only(spark):
 
 def test_rollup_has_one_row_per_file_and_one_for_all(spark):
     frame = issued(spark, some_rows())
-    spans = outcomes.run_span(frame)
-    got = outcomes.totals_rollup(outcomes.file_totals(frame), spans).collect()
+    got = outcomes.totals_rollup(outcomes.file_totals(frame, ts="ts")).collect()
     grand = [r for r in got if r.level == 1]
     files = [r for r in got if r.level == 0]
     assert len(grand) == 1 and grand[0].file_name is None and len(files) == 3
@@ -84,3 +86,46 @@ def test_counts_by_error_code(spark):
     rows = [("f", i, "a", errno, START) for i, errno in enumerate([0, 28, 0, 7])]
     got = outcomes.outcome_counts(issued(spark, rows)).first()
     assert (got.sent, got.failed) == (2, 2)
+
+
+def plan_text(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_batches_are_dealt_out_once(spark, tmp_path):
+    path = str(tmp_path / "issued")
+    issued(spark, some_rows()).write.parquet(path)
+    assert plan_text(outcomes.batch_distinct(spark.read.parquet(path))).count("Exchange hashpartitioning") == 1
+
+
+def test_totals_read_the_outcomes_once(spark, tmp_path):
+    path = str(tmp_path / "issued")
+    issued(spark, some_rows()).write.parquet(path)
+    plan = plan_text(outcomes.totals_rollup(outcomes.file_totals(spark.read.parquet(path), ts="ts")))
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan
+
+
+def counted(spark, plan):
+    results = plan.withColumn("transport_errno", F.lit(0))
+    got = outcomes.file_totals(results).agg(F.sum("issued"), F.sum("counted")).first()
+    return tuple(got)
+
+
+def test_lists_are_told_apart_by_more_than_their_base_name(spark, put):
+    numbers = lambda start, n: "MSISDN\n" + "".join(f"2550000{start + i:05d}\n" for i in range(n))
+    x, y = put("x/list.csv", numbers(0, 20)), put("y/list.csv", numbers(0, 30))
+    assert counted(spark, dispatch.plan_campaign(spark, [x, y], "m", "s")) == (50, 50)
+    assert counted(spark, dispatch.plan_campaign(spark, [x, x], "m", "s")) == (40, 40)
+    three = spark.createDataFrame([(c, "list.csv", "m", "s") for c in "abc"], "campaign string, file_name string, message string, sender string")
+    assert counted(spark, dispatch.plan_campaigns(spark, [x], three)) == (60, 60)
+
+
+def test_list_positions_of_a_list_in_several_campaigns(spark, put):
+    x, y = put("x.csv", "MSISDN\n" + "255000000001\n" * 20), put("y.csv", "MSISDN\n" + "255000000002\n" * 5)
+    scan = lists.scan_lists(spark, [x, y])
+    rows = [(c, "x.csv", "m", "s") for c in "abc"] + [("d", "y.csv", "m", "s")]
+    campaigns = spark.createDataFrame(rows, "campaign string, file_name string, message string, sender string")
+    bound = lookup.bind_campaigns(scan.files, campaigns)
+    numbered = position.number_by_split(scan.rows, scan.files, bound=bound)
+    first = numbered.groupBy("campaign").agg(F.min("list_pos").alias("first"), F.count("*").alias("n")).collect()
+    assert {(r.campaign, r.first, r.n) for r in first} == {("a", 0, 20), ("b", 0, 20), ("c", 0, 20), ("d", 20, 5)}

@@ -1,8 +1,10 @@
 import glob
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from muster.operators import slicing
 from muster.operators.slicing import slice_list
 from muster.plans import load
 from muster.sinks import writers
@@ -90,12 +92,48 @@ def test_slice_written_back_as_csv(spark, put, tmp_path):
 
 
 def test_outbox_has_one_folder_per_list(spark, tmp_path):
-    rows = spark.createDataFrame([("a b.csv", 1), ("c.csv", 2), ("c.csv", 3)], "file_name string, n long")
-    assert writers.write_outbox(rows, str(tmp_path / "o")) == 3
-    assert sorted((r.file_name, r.n) for r in spark.read.parquet(str(tmp_path / "o")).collect()) == [
-        ("a b.csv", 1),
-        ("c.csv", 2),
-        ("c.csv", 3),
+    rows = spark.createDataFrame([("a b.csv", 1), ("007", 2), ("007", 3)], "file_name string, n long")
+    out = str(tmp_path / "o")
+    assert writers.write_outbox(rows, out) == 3
+    assert sorted(tuple(r) for r in writers.read_outbox(spark, out).collect()) == [("007", 2), ("007", 3), ("a b.csv", 1)]
+    assert len(glob.glob(f"{out}/list_id=*")) == 2
+    with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
+        writers.write_outbox(rows, out)
+    assert writers.write_outbox(rows.filter(F.col("n") > 1), out, mode="overwrite") == 2
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_slice_keeps_cells_beyond_the_header(spark, put):
+    path = put("in.csv", 'MSISDN,AGE\na,30,extra\nb\n"c,d",5\ne,6,"x,""y""",z\n')
+    got = slice_list(spark, [path], 0, 4).orderBy("pos").collect()
+    assert got[0].__fields__ == ["pos", "MSISDN", "AGE", "_c2", "_c3"]
+    assert [tuple(r)[1:] for r in got] == [
+        ("a", "30", "extra", None),
+        ("b", None, None, None),
+        ("c,d", "5", None, None),
+        ("e", "6", 'x,"y"', "z"),
     ]
-    assert writers.write_outbox(rows.filter(F.col("n") > 1), str(tmp_path / "o")) == 2
-    assert spark.read.parquet(str(tmp_path / "o")).count() == 2
+
+
+def test_slice_of_files_with_another_order_of_columns(spark, put):
+    one, two = put("1.csv", "MSISDN,AGE\na,1\n"), put("2.csv", "AGE,MSISDN\r\n2,b\r\n3,c,more\r\n")
+    got = slice_list(spark, [one, two], 0, 9).orderBy("pos").collect()
+    assert [(r.MSISDN, r.AGE, r._c2) for r in got] == [("a", "1", None), ("b", "2", None), ("c\r"[:1], "3", "more")]
+    other = put("3.csv", "NAME,MSISDN\nbob,d\n")
+    with pytest.raises(ValueError, match="other columns"):
+        slice_list(spark, [one, other], 0, 9)
+
+
+def test_slice_stops_counting_behind_its_range(spark, put, monkeypatch):
+    paths = [put(f"{n}.csv", "MSISDN\n" + "".join(f"{n}{i}\n" for i in range(10))) for n in range(9)]
+    counted = []
+    original = slicing.count_splits
+
+    def watched(rows, *extra):
+        counted.extend(rows.inputFiles())
+        return original(rows, *extra)
+
+    monkeypatch.setattr(slicing, "count_splits", watched)
+    got = slice_list(spark, paths, 12, 10, group_bytes=60)
+    assert [r.MSISDN for r in got.orderBy("pos").collect()] == [f"{p // 10}{p % 10}" for p in range(12, 22)]
+    assert len(counted) <= 5

@@ -45,6 +45,7 @@ def test_each_list_is_planned_once(spark, put, tmp_path, run):
         ("b_ivr.CSV", "ok"),
         ("c_p02.csv", "ok"),
         ("nokey_sms.csv", "no_key_column"),
+        ("plain.csv", "unsupported_type"),
     }
 
 
@@ -55,5 +56,25 @@ def test_many_micro_batches_and_a_replay(spark, put, tmp_path, run):
     assert len(once) == 20
     assert {r[2:4] for r in once} == {(0, 1), (1, 1), (2, 1), (3, 2)}
     assert spark.read.parquet(str(tmp_path / "out/plan")).agg(F.count_distinct("batch_id")).first()[0] == 3
-    # Without its checkpoint the job plans everything again; the same batches are overwritten.
-    assert run(files_per_batch=2, checkpoint="another") == once
+    # A replay overwrites its own batch and nothing else.
+    os.remove(tmp_path / "ck/commits/2")
+    for crc in (tmp_path / "ck/commits").glob(".2.*"):
+        os.remove(crc)
+    assert run(files_per_batch=2) == once
+
+
+def test_another_checkpoint_leaves_earlier_plans_alone(spark, put, tmp_path, run):
+    put("in/a_sms.csv", "MSISDN\n255000000001\n")
+    assert [r[0] for r in run()] == ["a_sms.csv"]
+    os.rename(tmp_path / "in/a_sms.csv", tmp_path / "gone")
+    put("in/b_sms.csv", "MSISDN\n255000000002\n")
+    assert [r[0] for r in run(checkpoint="another")] == ["a_sms.csv", "b_sms.csv"]
+
+
+def test_any_spelling_of_the_folder(spark, put, tmp_path):
+    put("in/a_sms.csv", 'NAME,MSISDN\n"a\nb",255000000001\n')
+    for i, spelling in enumerate(("/in//", "//in", "/./in/", "/x/../in", "/in")):
+        out = str(tmp_path / f"out{i}")
+        query = plan_arrivals(spark, f"file:{tmp_path}{spelling}", out, f"{out}-ck", MESSAGES, "s", multi_line=True)
+        query.awaitTermination()
+        assert [r.msisdn for r in spark.read.parquet(f"{out}/plan").collect()] == ["255000000001"]
