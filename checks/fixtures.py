@@ -19,15 +19,15 @@ MESSAGES = {
 }
 SENDER = "15000"
 CAMPAIGNS = [
-    ("may_north", "16_MAY_NORTH_SMS.csv", "Hello north", "15001"),
-    ("may_north_again", "16_MAY_NORTH_SMS.csv", "Hello again, north", "15001"),
-    ("lake", "28_APR_IVR_LAKE.CSV", "Hello lake", "CARE LINE"),
+    ("north", "north_pilot_SMS.csv", "Hello north", "15001"),
+    ("north_again", "north_pilot_SMS.csv", "Hello again, north", "15001"),
+    ("lake", "lake_IVR_trial.CSV", "Hello lake", "CARE LINE"),
     ("base", "plain_base.csv", "Hello all", "15002"),
 ]
 
 SUBSCRIBERS = {
-    "file_name": """case c_mktsegment when 'AUTOMOBILE' then '16_MAY_NORTH_SMS.csv'
-        when 'BUILDING' then '28_APR_IVR_LAKE.CSV' when 'FURNITURE' then 'p02_base_sms.csv'
+    "file_name": """case c_mktsegment when 'AUTOMOBILE' then 'north_pilot_SMS.csv'
+        when 'BUILDING' then 'lake_IVR_trial.CSV' when 'FURNITURE' then 'p02_base_sms.csv'
         when 'HOUSEHOLD' then 'campaign_921465.csv' else 'plain_base.csv' end""",
     "row_key": "c_custkey",
     "msisdn_raw": """case c_custkey % 8
@@ -60,7 +60,7 @@ LISTS = {
     "ext": "case list_no % 5 when 2 then 'CSV' when 4 then 'txt' else 'csv' end",
     "list_name": "'list_' || lpad(cast(list_no as varchar(20)), 9, '0') || '_' || marker || '.' || ext",
     "list_state": """case list_no % 7 when 2 then 'missing' when 3 then 'empty' when 4 then 'no_key_column'
-        when 5 then 'swapped' else 'plain' end""",
+        when 5 then 'swapped' when 6 then 'unopenable' else 'plain' end""",
 }
 
 
@@ -97,11 +97,11 @@ def list_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 _written: dict[tuple, object] = {}
 
 
-def list_folder(spark: SparkSession, sf_dir: str) -> tuple[str, list[str]]:
+def list_folder(spark: SparkSession, sf_dir: str, label: str = "lists") -> tuple[str, list[str]]:
     """A folder with the lists as files, and the paths of all lists, also those never written."""
-    key = (spark.sparkContext.applicationId, sf_dir, "lists")
+    key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _written:
-        folder = qualify(scratch_path(spark, "lists"), home_folder(spark))
+        folder = qualify(scratch_path(spark, label), home_folder(spark))
         cells = [F.expr(SUBSCRIBERS[name]).alias(name) for name in ("row_key", "msisdn_raw", "age_raw")]
         rows = with_list(spark, sf_dir).select("list_no", "list_name", "list_state", *cells)
         # A file is one run of bytes, so one task writes it; list_rows bounds its size.
@@ -129,8 +129,10 @@ def _list_writer(folder):
             out.writerow(header)
             ordered = rows.sort_values("row_key")
             out.writerows(zip(*(ordered[name] for name in columns)))
-        if state != "missing":
-            filesystem, inner = locate(f"{folder}/{first['list_name']}")
+        filesystem, inner = locate(f"{folder}/{first['list_name']}")
+        if state == "unopenable":
+            filesystem.create_dir(inner, recursive=True)
+        elif state != "missing":
             filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
             with filesystem.open_output_stream(inner, compression=None) as stream:
                 stream.write(text.getvalue().encode())
@@ -139,6 +141,40 @@ def _list_writer(folder):
     return write_list
 
 
+def spelled(folder: str, paths: list[str]) -> list[str]:
+    """The same files, named in other ways."""
+    ways = ("", "/", "/.", "/x/..", "/./x//..")
+    return [f"{folder}{ways[i % len(ways)]}{path[len(folder) :]}" for i, path in enumerate(paths)]
+
+
+def campaign_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One campaign for every list, and two more for every third."""
+    names = list_names(spark, sf_dir).select("list_name", "list_no")
+    every = F.array(F.lit("all"))
+    third = F.array(*[F.lit(c) for c in ("all", "again", "third")])
+    campaigns = names.withColumn("campaign", F.explode(F.when(F.col("list_no") % 3 == 0, third).otherwise(every)))
+    return campaigns.select(
+        "campaign",
+        F.col("list_name").alias("file_name"),
+        F.concat(F.lit("Hello from "), "campaign").alias("message"),
+        F.lit(SENDER).alias("sender"),
+    )
+
+
+def quoted_lists(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The subscribers as CSV parts with a name of two lines before the number."""
+    key = (spark.sparkContext.applicationId, sf_dir, "quoted")
+    if key not in _written:
+        rows = subscribers(spark, sf_dir).select(
+            F.concat(F.lit('The "first"\nor, line '), "row_key").alias("NAME"), F.col("msisdn_raw").alias("MSISDN"), "row_key"
+        )
+        folder = scratch_path(spark, "quoted")
+        parts = max(4, -(-rows.count() // ROWS_PER_PART))
+        write_csv(rows.repartitionByRange(parts, "row_key").sortWithinPartitions("row_key").drop("row_key"), folder)
+        _written[key] = list_csv_files(spark, folder)
+    return _written[key]
+
+
 def bulk_lists(spark: SparkSession, sf_dir: str, name: str) -> list[str]:
     """A whole fixture as CSV parts whose order by name is the order by ``ROW_KEY``."""
     key = (spark.sparkContext.applicationId, sf_dir, name)

@@ -97,7 +97,7 @@ lists AS (
     SELECT list_no, {LISTS["list_name"]} AS file_name, ext, list_state, {_type(LISTS["list_name"])} AS file_type,
         row_number() OVER (ORDER BY list_no) AS file_ordinal FROM parts),
 list_rows AS (
-    SELECT l.file_ordinal, l.file_name, l.ext, l.file_type, s.row_key, s.msisdn_raw, coalesce(s.age_raw, '') AS age_raw,
+    SELECT l.file_ordinal, l.list_no, l.file_name, l.ext, l.file_type, s.row_key, s.msisdn_raw, coalesce(s.age_raw, '') AS age_raw,
         CAST(row_number() OVER (PARTITION BY l.file_name ORDER BY s.row_key) - 1 AS BIGINT) AS row_pos
     FROM lists l JOIN (SELECT subs.*, CAST(floor(row_key / list_rows) AS BIGINT) AS list_no FROM subs, size) s
         ON s.list_no = l.list_no
@@ -105,6 +105,16 @@ list_rows AS (
 
 LIST_TABLES = f"{SUBS}, {LIST_ROWS}"
 
+VALID_LISTS = f"""picked AS (
+    SELECT file_ordinal, list_no, file_name, file_type, {_trim("msisdn_raw")} AS msisdn,
+        CAST(row_number() OVER (PARTITION BY file_name ORDER BY row_key) - 1 AS BIGINT) AS pos
+    FROM list_rows WHERE {_valid("msisdn_raw")}),
+{_batches("picked", CHUNK, BATCH)}"""
+
+LIST_CAMPAIGNS = f"""campaigns AS (
+    SELECT file_name, unnest(CASE WHEN list_no % 3 = 0 THEN ['all', 'again', 'third'] ELSE ['all'] END) AS campaign
+    FROM lists)"""
+
 CAMPAIGN_VALUES = ", ".join("(" + ", ".join(_quoted(v) for v in row) + ")" for row in CAMPAIGNS)
 
 NUMERIC = r"'^[ \t\n\r\x0B\f]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t\n\r\x0B\f]*$'"
@@ -125,7 +135,7 @@ ORACLE = {
     "multi_file_scan": f"""WITH {LIST_TABLES}
         SELECT file_ordinal, file_name, row_pos AS pos, msisdn_raw, age_raw FROM list_rows""",
     "discover_files": f"""WITH {LIST_TABLES} SELECT row_number() OVER (ORDER BY file_name) AS file_ordinal, file_name,
-        file_type FROM lists WHERE list_state <> 'missing' AND lower(ext) = 'csv' AND file_type IS NOT NULL""",
+        file_type FROM lists WHERE list_state NOT IN ('missing', 'unopenable') AND lower(ext) = 'csv' AND file_type IS NOT NULL""",
     "file_status": f"""WITH {LIST_TABLES} SELECT file_ordinal, file_name, CASE WHEN file_type IS NULL THEN 'unsupported_type'
         WHEN list_state IN ('plain', 'swapped') THEN 'ok' ELSE list_state END AS status FROM lists""",
     "files_union": f"""WITH {LIST_TABLES}
@@ -133,7 +143,7 @@ ORACLE = {
     "file_ordinals": f"""WITH {LIST_TABLES} SELECT file_name, file_ordinal, (SELECT count(*) FROM lists) AS files
         FROM lists WHERE list_state IN ('plain', 'swapped')""",
     "file_count": f"""WITH {LIST_TABLES} SELECT
-        (SELECT count(*) FROM lists WHERE list_state <> 'missing' AND lower(ext) = 'csv') AS listed,
+        (SELECT count(*) FROM lists WHERE list_state NOT IN ('missing', 'unopenable') AND lower(ext) = 'csv') AS listed,
         (SELECT count(DISTINCT file_name) FROM list_rows) AS with_rows""",
     "text_scan": "SELECT unnest(string_split(text, chr(10))) AS line FROM documents",
     "csv_sink": """SELECT CAST(event_id AS VARCHAR) AS "ID", props AS "PROPS", ' ' || event_type || ', ' AS "NOTE"
@@ -202,6 +212,22 @@ ORACLE = {
         FROM list_rows WHERE lower(ext) = 'csv' AND file_type IS NOT NULL AND {_valid("msisdn_raw")}),
         {_batches("picked", CHUNK, BATCH)}
         SELECT file_name, msisdn, pos, chunk_no, batch_no, port, {_message("file_type")} AS message FROM plan""",
+    "typed_paths_plan": f"""WITH {LIST_TABLES}, {VALID_LISTS}
+        SELECT file_ordinal, file_name, msisdn, pos, chunk_no, batch_no, port, {_message("file_type")} AS message
+        FROM plan WHERE file_type IS NOT NULL""",
+    "campaigns_plan": f"""WITH {LIST_TABLES}, {VALID_LISTS}, {LIST_CAMPAIGNS}
+        SELECT campaign, file_ordinal, file_name, msisdn, pos, chunk_no, batch_no, 'Hello from ' || campaign AS message,
+            '{SENDER}' AS sender FROM plan JOIN campaigns USING (file_name)""",
+    "quoted_lines_plan": f"""WITH {VALID} SELECT msisdn,
+        CAST(row_number() OVER (ORDER BY row_key) - 1 AS BIGINT) AS list_pos FROM valid""",
+    "campaign_totals": f"""WITH {LIST_TABLES}, {VALID_LISTS}, {LIST_CAMPAIGNS}, last AS (
+            SELECT file_ordinal, file_name, chunk_no, batch_no, msisdn, arg_max(pos % 4 = 0, pos) AS failed, count(*) AS n
+            FROM plan GROUP BY ALL),
+        totals AS (SELECT file_ordinal, file_name, CAST(sum(n) AS BIGINT) AS issued, count(*) AS counted,
+            count(*) FILTER (NOT failed) AS sent, count(*) FILTER (failed) AS failed FROM last GROUP BY ALL)
+        SELECT campaign, CAST(file_ordinal + copy * (SELECT count(*) FROM lists) AS BIGINT) AS file_ordinal, file_name,
+            issued, counted, sent, failed
+        FROM totals JOIN campaigns USING (file_name), (SELECT unnest([0, 1, 2]) AS copy)""",
     "outcome_counts": f"""WITH {_traffic(3)}, {COUNTS} SELECT * FROM counts""",
     "batch_distinct": f"""WITH {_issued(1)} SELECT file_name, chunk_no, batch_no, count(*) AS issued,
         count(DISTINCT msisdn) AS counted FROM plan GROUP BY ALL""",

@@ -10,8 +10,11 @@ from checks.fixtures import (
     MESSAGES,
     SENDER,
     bulk_lists,
+    campaign_table,
     list_folder,
     list_names,
+    quoted_lists,
+    spelled,
     subscribers,
     table,
     traffic,
@@ -80,14 +83,14 @@ def csv_scan_first_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def multi_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scan = lists.scan_lists(spark, list_folder(spark, sf_dir)[1])
+    scan = lists.scan_lists(spark, spelled(*list_folder(spark, sf_dir)))
     rows = number_by_split(scan.rows, scan.files)
     raw = F.coalesce("msisdn_raw", F.lit("")).alias("msisdn_raw")
     return rows.select("file_ordinal", "file_name", "pos", raw, F.coalesce("age_raw", F.lit("")).alias("age_raw"))
 
 
 def discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lists.discover_files(spark, list_folder(spark, sf_dir)[0])
+    found = lists.discover_files(spark, f"{list_folder(spark, sf_dir)[0]}/.//")
     return found.select("file_ordinal", "file_name", "file_type")
 
 
@@ -337,16 +340,44 @@ def row_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_folder_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream")
     run = plan_arrivals(
-        spark, list_folder(spark, sf_dir)[0], out, f"{out}/checkpoint", MESSAGES, SENDER, chunk=CHUNK, batch=BATCH
+        spark, f"{list_folder(spark, sf_dir)[0]}/x/..//", out, f"{out}/checkpoint", MESSAGES, SENDER, chunk=CHUNK, batch=BATCH
     )
     run.awaitTermination()
     columns = ("file_name", "msisdn", "pos", "chunk_no", "batch_no", "port", "message")
     return spark.read.parquet(f"{out}/plan").select(*columns)
 
 
+def typed_paths_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named lists of any extension, by the type that their names tell."""
+    paths = list_folder(spark, sf_dir)[1]
+    plan = dispatch.plan_typed_paths(spark, paths, MESSAGES, SENDER, chunk=CHUNK, batch=BATCH)
+    return plan.select("file_ordinal", "file_name", "msisdn", "pos", "chunk_no", "batch_no", "port", "message")
+
+
+def campaigns_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, campaigns = list_folder(spark, sf_dir)[1], campaign_table(spark, sf_dir)
+    plan = dispatch.plan_campaigns(spark, paths, campaigns, chunk=CHUNK, batch=BATCH)
+    return plan.select("campaign", "file_ordinal", "file_name", "msisdn", "pos", "chunk_no", "batch_no", "message", "sender")
+
+
+def quoted_lines_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = dispatch.plan_lists(spark, quoted_lists(spark, sf_dir), multi_line=True)
+    return plan.select("msisdn", "list_pos")
+
+
 # Outcomes
 
 
+def campaign_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of lists that share their names: two folders of equal lists, the first one named twice."""
+    (one, first), (two, second) = list_folder(spark, sf_dir), list_folder(spark, sf_dir, "same-names")
+    paths = [*first, *spelled(two, second), *spelled(one, first)]
+    plan = dispatch.plan_campaigns(spark, paths, campaign_table(spark, sf_dir), chunk=CHUNK, batch=BATCH)
+    results = plan.withColumn("transport_errno", F.when(F.col("pos") % 4 == 0, 28).otherwise(0))
+    totals = outcomes.file_totals(results)
+    return totals.select("campaign", "file_ordinal", "file_name", "issued", "counted", "sent", "failed")
+
+
 def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.outcome_counts(traffic(spark, sf_dir, 3))
 
@@ -436,6 +467,10 @@ QUERIES = {
     "chunk_sizes": chunk_sizes,
     "row_slice": row_slice,
     "stream_folder_plan": stream_folder_plan,
+    "typed_paths_plan": typed_paths_plan,
+    "campaigns_plan": campaigns_plan,
+    "quoted_lines_plan": quoted_lines_plan,
+    "campaign_totals": campaign_totals,
     "outcome_counts": outcome_counts,
     "batch_distinct": batch_distinct,
     "batch_last_outcome": batch_last_outcome,

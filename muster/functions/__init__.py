@@ -4,7 +4,7 @@ from muster.functions.encoding import form_encode, sms_query, voice_query
 from muster.functions.names import base_name, extension, file_type, has_csv_extension, plain_path
 from muster.functions.numbers import is_numeric_string, numeric_value, whole_div
 from muster.functions.text import clean_msisdn, is_msisdn, strip_quotes
-from muster.functions.times import duration_hundredths, hms, local_time, rate, rate_hundredths
+from muster.functions.times import duration_hundredths, hms, local_time, rate_hundredths
 
 __all__ = [
     "base_name",
@@ -20,7 +20,6 @@ __all__ = [
     "local_time",
     "numeric_value",
     "plain_path",
-    "rate",
     "rate_hundredths",
     "sms_query",
     "strip_quotes",

@@ -31,11 +31,6 @@ def duration_hundredths(duration_us: Column) -> Column:
     return whole_div(duration_us + 5_000, 10_000)
 
 
-def rate(count: Column, seconds: Column) -> Column:
-    """Count per second to two places, 0 for an empty duration."""
-    return F.round(F.coalesce(F.try_divide(count, seconds), F.lit(0.0)), 2)
-
-
 def rate_hundredths(count: Column, duration_x100: Column, unit_seconds: int = 1) -> Column:
     """Count per unit in hundredths, from hundredths of a second, rounded half up in exact arithmetic."""
     doubled = count.cast("decimal(18,0)") * F.lit(20_000 * unit_seconds).cast("decimal(18,0)")

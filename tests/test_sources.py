@@ -1,9 +1,12 @@
 import os
 
+import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from muster.operators.position import number_by_split
-from muster.sources import lists
+from muster.plans import dispatch
+from muster.sources import headers, lists, remote
 from muster.sources.headers import probe_files
 from muster.sources.text import scan_text
 
@@ -137,3 +140,92 @@ def test_many_lists_in_one_probe(spark, put):
     paths = [put(f"{i:04d}.csv", f"MSISDN\n{A}\n") for i in range(300)]
     assert probe_files(spark, paths).filter("status = 'ok'").count() == 300
     assert len(read(spark, paths)) == 300
+
+
+def test_any_spelling_of_a_path(spark, put, tmp_path, monkeypatch):
+    put("x/list_sms.csv", f"MSISDN\n{A}\n{B}\n")
+    (tmp_path / "y").mkdir()
+    monkeypatch.chdir(tmp_path)
+    full = str(tmp_path)
+    spellings = [f"{full}//x/list_sms.csv", f"file:{full}/x/../x/./list_sms.csv", f"file://{full}/x//list_sms.csv", f"{full}/y/../x/list_sms.csv"]
+    for spelling in spellings:
+        plan = dispatch.plan_campaign(spark, [spelling], "m", "s")
+        assert [(r.msisdn, r.file_path) for r in plan.orderBy("pos").collect()] == [
+            (n, f"file:{full}/x/list_sms.csv") for n in (A, B)
+        ], spelling
+    for folder in (f"{full}/x/", f"{full}//x", f"file:{full}/./x", f"{full}/y/../x//"):
+        assert [r.file_name for r in lists.discover_files(spark, folder).collect()] == ["list_sms.csv"], folder
+
+
+def test_full_spelling():
+    home = "hdfs://name:9000/user/me"
+    assert remote.qualify("a//b/../c.csv", home) == "hdfs://name:9000/user/me/a/c.csv"
+    assert remote.qualify("/a/./b/", home) == "hdfs://name:9000/a/b"
+    assert remote.qualify("s3a://bucket//k/../x", home) == "s3a://bucket/x"
+    assert remote.qualify("file:///a//b", home) == remote.qualify("/a/b", "file:/w") == "file:/a/b"
+    assert remote.qualify("viewfs://store", home) == "viewfs://store/"
+    assert remote.qualify("c.csv", "file:/w") == "file:/w/c.csv"
+
+
+def test_relative_paths_start_from_the_home_of_the_file_system(spark):
+    home = remote.home_folder(spark)
+    assert home.startswith("file:/") and remote.qualify("x", home) == f"{home}/x"
+
+
+def test_brackets_in_a_name_are_no_pattern(spark, put):
+    named, other = put("c[1].csv", f"MSISDN\n{A}\n"), put("c1.csv", f"MSISDN\n{B}\n")
+    assert [r.cell for r in lists.scan_first_column(spark, named).collect()] == [A]
+    assert [r.line for r in scan_text(spark, named).collect()] == ["MSISDN", A]
+    assert [r.msisdn for r in dispatch.plan_campaign(spark, [named], "m", "s").collect()] == [A]
+    assert sorted(r.cell for r in lists.scan_first_column(spark, other.replace("c1", "c*"), patterns=True).collect()) == [A, B]
+
+
+def test_a_read_that_fails_fails_the_job(spark, put, monkeypatch):
+    path = put("a.csv", f"MSISDN\n{A}\n")
+
+    def locate_slow():
+        def locate(path):
+            class Slow:
+                def get_file_info(self, inner):
+                    raise OSError("SlowDown: reduce your request rate")
+
+            return Slow(), path
+
+        return locate
+
+    monkeypatch.setattr(headers, "task_filesystem", locate_slow)
+    with pytest.raises(PythonException, match="SlowDown"):
+        dispatch.plan_campaign(spark, [path], "m", "s")
+
+
+def test_a_first_line_without_end_fails_the_job(spark, put, monkeypatch):
+    monkeypatch.setattr(headers, "HEADER_BYTES", 100)
+    with pytest.raises(PythonException, match="over 100 bytes"):
+        probe_files(spark, [put("a.csv", "x" * 500)]).collect()
+
+
+def test_refused_files_have_a_status(spark, put, monkeypatch):
+    path = put("a.csv", f"MSISDN\n{A}\n")
+
+    def refusing():
+        def locate(path):
+            class Refusing:
+                def get_file_info(self, inner):
+                    raise PermissionError(inner)
+
+            return Refusing(), path
+
+        return locate
+
+    monkeypatch.setattr(headers, "task_filesystem", refusing)
+    assert statuses(spark, [path]) == ["unopenable"]
+
+
+def test_quoted_line_breaks_in_plans_and_rejects(spark, put):
+    path = put("q_sms.csv", f'NAME,MSISDN\n"a\nb",{A}\n"c\n\nd",{B}\nx,bad\n')
+    plan = dispatch.plan_campaign(spark, [path], "m", "s", multi_line=True)
+    assert [(r.pos, r.msisdn) for r in plan.orderBy("pos").collect()] == [(0, A), (1, B)]
+    assert [r.msisdn_raw for r in dispatch.list_rejects(spark, [path], multi_line=True).collect()] == ["bad"]
+    typed = dispatch.plan_typed_paths(spark, [path], {"sms": "m"}, "s", multi_line=True)
+    calls = dispatch.plan_call_list(spark, [path], 1, multi_line=True)
+    assert typed.count() == calls.count() == 2
