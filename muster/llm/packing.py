@@ -28,7 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import removed, tasks_for, written
@@ -39,8 +39,8 @@ END_ID = 1
 ROWS_PER_TASK = 50_000
 #: Pieces of which fewer than this fit a sequence open sequences before smaller ones do.
 FEW = 4
-#: Words whose ids a task keeps at a time; beyond that it starts afresh.
-CACHED_WORDS = 800_000
+#: Words whose ids a Python process keeps at a time; beyond that it forgets those that have not come up for long.
+CACHED_WORDS = 600_000
 _PUNCTUATION = (b".", b",", b";", b":", b"!", b"?")
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -69,9 +69,13 @@ class WordIds(dict):
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        #: The words before these; those that come up again are kept on.
+        self.earlier: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if word[-1:] in _PUNCTUATION and word[:-1].isalpha():
+        if (ids := self.earlier.get(word)) is not None:
+            pass
+        elif word[-1:] in _PUNCTUATION and word[:-1].isalpha():
             ids = self[word[:-1]] + self[word[-1:]]
         else:
             ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
@@ -79,7 +83,8 @@ class WordIds(dict):
         return ids
 
     def of_text(self, text: str) -> bytes:
-        if len(self) > CACHED_WORDS:
+        if len(self) > CACHED_WORDS // 2:
+            self.earlier = dict(self)
             self.clear()
         raw = text.encode()
         if not _melting(text):
@@ -87,6 +92,12 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, raw.split()))
 
 
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """One for all tasks that a Python process runs, as they meet the same words."""
+    return WordIds(path)
+
+
 def token_pieces(
     documents: DataFrame,
     tokenizer_path: str,
@@ -99,7 +110,7 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
-        words = WordIds(tokenizer_path)
+        words = _word_ids(tokenizer_path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
@@ -145,11 +156,12 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, rows_per_task: int
         runs = _brackets(ranges)
         crossed, waiting = sum(run[-1] for run in runs), sum(row["waiting"] for row in ranges)
         opened = _openings(rows, ranges, waiting - crossed, capacity)
-        after = written(_round(rows, runs, ranges, opened, sequences, capacity), "round")
+        assigned = written(_assigned(rows, runs, ranges, opened, sequences, capacity), "assigned")
+        placed, gaps = _crossed(assigned)
         sequences += opened
-        result = result.unionByName(rows.where(F.col("outcome") == PLACED).select(names))
-        result = result.unionByName(after.where("is_piece = 2").select(names))
-        state = after.where("is_piece < 2")
+        for part in (rows.where(F.col("outcome") == PLACED), assigned.where("is_piece = 2"), placed):
+            result = result.unionByName(part.select(names))
+        state = assigned.where("is_piece < 2 AND match IS NULL").drop("match").unionByName(gaps)
         pieces_left = waiting - crossed - opened
         rows_left = pieces_left + sum(row["gaps"] for row in ranges) + opened
     return result
@@ -253,86 +265,70 @@ def _openings(rows: DataFrame, ranges: list, unmatched: int, capacity: int) -> i
     return min(unmatched, opened)
 
 
-def _match_number(runs: list) -> Column:
-    """Pieces and gaps of the runs (two a range at most), numbered alike; null for rows outside of them."""
-    spans, number = [], 0
-    for piece_range, first, gap_range, last, n in runs:
-        spans.append((WAITING, piece_range, first, n, number, 1))
-        spans.append((UNUSED, gap_range, last, n, number, -1))
-        number += n
-    by_range: dict[tuple[int, int], list] = {}
-    for outcome, in_range, *span in spans:
-        by_range.setdefault((outcome, in_range), []).append(span)
-
-    @F.pandas_udf("long")
-    def numbered(outcome: pd.Series, in_range: pd.Series, place: pd.Series) -> pd.Series:
-        found = pd.Series(pd.NA, outcome.index, "Int64")
-        for key, rows in place.groupby([outcome, in_range]):
-            for start, n, number, sign in by_range.get(key, ()):
-                step = (rows - start) * sign
-                mine = step[(step >= 0) & (step < n)]
-                found[mine.index] = mine + number
-        return found
-
-    return numbered("outcome", "range", "place")
-
-
-def _round(rows: DataFrame, runs: list, ranges: list, opened: int, sequences: int, capacity: int) -> DataFrame:
-    """What the next round works on, and under ``is_piece`` 2 the pieces placed between the sweeps."""
-    names = [field.split()[0] for field in STATE.split(", ")]
-    numbered = rows.where(F.col("outcome").isin(WAITING, UNUSED) & (F.col("size") > 0)).withColumn(
-        "match", _match_number(runs)
-    )
-    pieces, gaps = numbered.where(F.col("outcome") == WAITING), numbered.where(F.col("outcome") == UNUSED)
-    taken = gaps.where("match IS NOT NULL").select(
-        "match",
-        F.col("sequence_id").alias("gap_sequence"),
-        F.col("offset").alias("gap_offset"),
-        F.col("size").alias("gap_size"),
-    )
-    crossed = pieces.where("match IS NOT NULL").join(taken, "match")
-    none = [F.lit(None).cast(kind).alias(name) for name, kind in (f.split() for f in PIECE.split(", "))]
-
-    def gap(size, sequence, offset):
-        return [F.lit(0).alias("is_piece"), size.alias("size"), sequence.alias("sequence_id"), offset.alias("offset"), *none]
-
-    def placed(sequence, offset):
-        return [F.lit(2).alias("is_piece"), "size", sequence.alias("sequence_id"), offset.alias("offset"), *names[4:]]
-
-    waiting = pieces.where("match IS NULL").withColumn("rank", _rank(runs, ranges))
-    first = waiting.where(F.col("rank") < opened).withColumn("new", F.col("rank") + sequences)
-    parts = [
-        rows.where((F.col("outcome") == USED) & (F.col("size") > 0)).select(names),
-        gaps.where("match IS NULL").select(names),
-        waiting.where(F.col("rank") >= opened).select(names),
-        crossed.select(placed(F.col("gap_sequence"), F.col("gap_offset"))),
-        crossed.where("gap_size > size").select(
-            gap(F.col("gap_size") - F.col("size"), F.col("gap_sequence"), F.col("gap_offset") + F.col("size"))
-        ),
-        first.select(placed(F.col("new"), F.lit(0).cast("long"))),
-        first.where(F.col("size") < capacity).select(gap(F.lit(capacity) - F.col("size"), F.col("new"), F.col("size"))),
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
+def _assigned(rows: DataFrame, runs: list, ranges: list, opened: int, sequences: int, capacity: int) -> DataFrame:
+    """What the sweep left, with what the runs and openings say of it, in one pass.
 
-def _rank(runs: list, ranges: list) -> Column:
-    """The rank by size of a piece that found no gap: matched pieces are the first ones of their range."""
-    matched = {row["range"]: 0 for row in ranges}
-    for piece_range, _, _, _, n in runs:
+    A piece that opens a sequence is placed (``is_piece`` 2) and followed by the gap it leaves. Pieces and gaps of a
+    run have the same ``match``; all other rows go on as they are.
+    """
+    # By outcome and range: first or last place, how many, first number, direction.
+    spans: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
+    matched = dict.fromkeys((row["range"] for row in ranges), 0)
+    number = 0
+    for piece_range, first, gap_range, last, n in runs:
+        spans.setdefault((WAITING, piece_range), []).append((first, n, number, 1))
+        spans.setdefault((UNUSED, gap_range), []).append((last, n, number, -1))
         matched[piece_range] += n
-    shifts, before = {}, 0
+        number += n
+    # Matched pieces are the first ones of their range; the others, in order, open sequences while there are any to open.
+    ranks, before = {}, 0
     for row in ranges:
-        shifts[row["range"]] = before - matched[row["range"]]
+        ranks[row["range"]] = before - matched[row["range"]]
         before += row["waiting"] - matched[row["range"]]
+    piece_columns = [field.split()[0] for field in PIECE.split(", ")]
 
-    @F.pandas_udf("long")
-    def ranked(in_range: pd.Series, place: pd.Series) -> pd.Series:
-        return place + in_range.map(shifts).astype("int64")
-
-    return ranked("range", "place")
+    def assign(batches):
+        for batch in batches:
+            match = pd.Series(pd.NA, batch.index, "Int64")
+            for key, places in batch["place"].groupby([batch["outcome"], batch["range"]]):
+                for start, n, first_number, sign in spans.get(key, ()):
+                    step = (places - start) * sign
+                    mine = step[(step >= 0) & (step < n)]
+                    match[mine.index] = mine + first_number
+            rank = batch["place"] + batch["range"].map(ranks).astype("int64")
+            opens = ((batch["outcome"] == WAITING) & match.isna() & (rank < opened)).to_numpy()
+            out = batch.drop(columns=["range", "outcome", "place"]).assign(match=match)
+            for name in ("sequence_id", "offset", *piece_columns):
+                out[name] = out[name].astype("Int64")
+            out.loc[opens, "is_piece"] = 2
+            out.loc[opens, "sequence_id"] = rank[opens] + sequences
+            out.loc[opens, "offset"] = 0
+            yield out
+            gaps = out[opens & (out["size"] < capacity).to_numpy()].copy()
+            gaps["is_piece"], gaps["offset"] = 0, gaps["size"]
+            gaps["size"] = capacity - gaps["size"]
+            gaps[piece_columns] = pd.NA
+            yield gaps
+
+    left = rows.where((F.col("outcome") != PLACED) & (F.col("size") > 0))
+    return left.mapInPandas(assign, f"{STATE}, match long")
+
+
+def _crossed(assigned: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pieces placed by matches between ranges, and the gaps these leave."""
+    pieces = assigned.where("is_piece = 1 AND match IS NOT NULL").drop("sequence_id", "offset")
+    gaps = assigned.where("is_piece = 0 AND match IS NOT NULL").select(
+        "match", "sequence_id", "offset", F.col("size").alias("room")
+    )
+    placed = pieces.join(gaps, "match")
+    left = placed.where("room > size").select(
+        F.lit(0).alias("is_piece"),
+        (F.col("room") - F.col("size")).alias("size"),
+        "sequence_id",
+        (F.col("offset") + F.col("size")).alias("offset"),
+        *(F.lit(None).cast(kind).alias(name) for name, kind in (field.split() for field in PIECE.split(", "))),
+    )
+    return placed, left
 
 
 def pack_documents(
