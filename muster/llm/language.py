@@ -37,7 +37,7 @@ WORST = 6.0
 #: A language counts as written in a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.01
 #: Words whose scores a task keeps at a time; beyond that it starts afresh.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 #: Fixed: ranges of code points by script; letters outside them are "other".
 SCRIPTS = (
@@ -92,8 +92,8 @@ class Model:
             # Frequent words would drown what tells the shape of unknown ones.
             for trigram in _trigrams(word):
                 trigrams[trigram][at] += 1.0 + math.log(n)
-        self.words, self.trigrams = _log_shares(words), _log_shares(trigrams)
-        self.unseen_trigram = np.zeros(len(place), np.float32)
+        self.words, self.word_scores = _log_shares(words, len(place))
+        self.trigrams, self.trigram_scores = _log_shares(trigrams, len(place))
         self.written = [
             frozenset(name for name, n in count.items() if n >= SCRIPT_SHARE * sum(count.values())) for count in letters
         ]
@@ -101,10 +101,12 @@ class Model:
 
     def scores(self, word: str) -> np.ndarray:
         """Log scores by language, the best 0 and none below ``-WORST``."""
-        found = self.words.get(word)
-        if found is None:
+        at = self.words.get(word)
+        if at is None:
             known = [self.trigrams[trigram] for trigram in _trigrams(word) if trigram in self.trigrams]
-            found = np.add.reduce(known) if known else self.unseen_trigram
+            found = self.trigram_scores[known].sum(axis=0)
+        else:
+            found = self.word_scores[at]
         scores = np.maximum(found - found.max(), -WORST)
         allowed = self.allowed(scripts_of(word))
         return scores if allowed is None else np.where(allowed, scores, -2 * WORST)
@@ -122,12 +124,12 @@ def _trigrams(word: str) -> list[str]:
     return [marked[at : at + 3] for at in range(max(len(marked) - 2, 1))]
 
 
-def _log_shares(counts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    if not counts:
-        return {}
-    totals = sum(counts.values()) + 0.2 * len(counts)
-    shares = {key: np.log((count + 0.2) / totals) for key, count in counts.items()}
-    return {key: (share - share.max()).astype(np.float32) for key, share in shares.items()}
+def _log_shares(counts: dict[str, np.ndarray], languages: int) -> tuple[dict[str, int], np.ndarray]:
+    """The row of each key, and in the rows the logs of its shares by language, the best 0."""
+    rows = {key: at for at, key in enumerate(counts)}
+    table = np.array(list(counts.values())).reshape(len(rows), languages) + 0.2
+    logs = np.log(table / table.sum(axis=0)) if len(rows) else table
+    return rows, (logs - logs.max(axis=1, keepdims=True, initial=-np.inf)).astype(np.float32)
 
 
 def train(
@@ -167,7 +169,7 @@ class WordRows(dict):
 
     def __init__(self, model: Model):
         self.model = model
-        self.scores = np.zeros((1024, len(model.languages)), np.float32)
+        self.scores = np.zeros((CACHED_WORDS + 1, len(model.languages)), np.float32)
 
     def __missing__(self, word: str) -> int:
         at = self[word] = len(self)
@@ -266,8 +268,8 @@ def label_language(text: Column, model: Model) -> Column:
         labeller = Labeller(model)
         for batch in batches:
             out = []
-            for first in range(0, len(batch), 1000):
-                out += labeller.label(batch[first : first + 1000].to_pylist())
+            for first in range(0, len(batch), 500):
+                out += labeller.label(batch[first : first + 500].to_pylist())
             yield pa.array(
                 [
                     {"lang": lang, "score": score, "spans": [dict(zip(("lang", "first_word", "last_word"), s)) for s in spans]}

@@ -40,7 +40,7 @@ BANDS = 32
 ROWS_PER_BAND = 4
 QUIET_ROUNDS = 2
 #: Words whose hashes a task keeps at a time; beyond that it starts afresh.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 
 
 class _WordHashes(dict):

@@ -35,7 +35,7 @@ MAX_TERMS = 6000
 #: Lengths of the beginnings of words that are terms.
 BEGINNINGS = (3, 4, 5, 6)
 #: Words whose features a task keeps at a time; beyond that it starts afresh.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 #: Least documents with a term, and least standard deviations between its shares.
 LEAST_DOCUMENTS = 3
 LEAST_DEVIATIONS = 3.5
