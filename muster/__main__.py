@@ -10,7 +10,7 @@ from zoneinfo import ZoneInfo
 from muster.functions.times import ZONE
 from muster.operators import outcomes, slicing
 from muster.plans import dispatch, load
-from muster.session import build_session
+from muster.session import build_session, scratch_scope
 from muster.sinks import writers
 from muster.sources import lists
 from muster.sources.text import scan_text
@@ -20,7 +20,9 @@ from muster.streaming.folder import plan_arrivals
 def main(args: list[str] | None = None) -> None:
     options = _parser().parse_args(args)
     spark = build_session("muster")
-    print(json.dumps(options.job(spark, options)))
+    with scratch_scope(spark):
+        report = options.job(spark, options)
+    print(json.dumps(report))
 
 
 def _report(spark, paths, types=None):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,9 +50,28 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what is written to fresh paths inside; frames that read it must be used up by then."""
+    first = len(_scratch)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scratch[first:]:
+            found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            found.getFileSystem(hadoop).delete(found, True)
+        del _scratch[first:]
 
 
 def pin_split_size(spark: SparkSession) -> int:

@@ -1,9 +1,11 @@
 import json
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
 
 from muster.__main__ import main
+from muster.session import shared_folder
 
 
 def run(capsys, *args):
@@ -63,3 +65,11 @@ def test_typed_and_campaign_jobs(spark, put, tmp_path, capsys):
     assert got == {"files": {"ok": 2}, "planned": 2}
     with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
         run(capsys, "campaigns", a, b, "--campaigns", table, "--out", out("c"))
+
+
+def test_jobs_leave_no_tables_behind(spark, put, tmp_path, capsys):
+    source = put("a.csv", "MSISDN\n255000000001\n")
+    before = set(os.listdir(shared_folder(spark)))
+    args = ("campaign", source, "--message", "m", "--sender", "s", "--out", str(tmp_path / "o"))
+    assert run(capsys, *args)["planned"] == 1
+    assert set(os.listdir(shared_folder(spark))) == before
