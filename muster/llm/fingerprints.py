@@ -104,13 +104,15 @@ class Sampler:
         if not counts:
             return np.zeros(self.samples, np.uint32)
         terms = list(counts.items())
-        new = [term for term in terms if term not in self.rows]
-        if len(self.rows) + len(new) > self.cached:
-            self.rows.clear()
-            new = terms
-        if new:
+        found = list(map(self.rows.get, terms))
+        if None in found:
+            new = [term for term, row in zip(terms, found) if row is None]
+            if len(self.rows) + len(new) > self.cached:
+                self.rows.clear()
+                new = terms
             self._remember(new)
-        rows = np.fromiter(map(self.rows.__getitem__, terms), np.int64, len(terms))
+            found = list(map(self.rows.__getitem__, terms))
+        rows = np.array(found)
         smallest = np.full(self.samples, 2**64 - 1, np.uint64)
         for first in range(0, len(rows), 4096):
             np.minimum(smallest, self.draws[rows[first : first + 4096]].min(axis=0), out=smallest)
