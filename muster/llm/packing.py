@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import removed, tasks_for, written
+from .common import removed, ship, tasks_for, written
 
 SEQUENCE_TOKENS = 4096
 #: Fixed by the query's contract: the id that ends each document.
@@ -107,6 +107,7 @@ def token_pieces(
     text_column: str = "text",
 ) -> DataFrame:
     """One row per piece: ``doc_id``, ``piece``, ``start``, ``length`` and ``ids_crc32``."""
+    ship()
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
@@ -133,6 +134,7 @@ STATE = f"is_piece int, size long, sequence_id long, offset long, {PIECE}"
 
 def pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``: no sequence is longer than ``capacity``, none has a hole."""
+    ship()
     state = written(
         pieces.select(
             F.lit(1).alias("is_piece"),
@@ -176,9 +178,10 @@ def _sweep(state: DataFrame, tasks: int) -> DataFrame:
         if frames:
             yield _sweep_range(pd.concat(frames, ignore_index=True))
 
+    # What fits one task needs no ranges.
+    ranged = state.repartitionByRange(tasks, *order) if tasks > 1 else state.coalesce(1)
     return (
-        state.repartitionByRange(tasks, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .select("*", F.spark_partition_id().alias("range"))
         .mapInPandas(best_fit, f"{STATE}, range int, outcome int, place long")
     )
