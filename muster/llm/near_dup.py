@@ -6,12 +6,15 @@
 2. The signature is cut into bands; classes that agree in a band share a bucket. A bucket of n classes gives n - 1
    candidate pairs, a star: each class with the bucket's centre.
 3. A pair is confirmed on its full sets. Links make components, by alternating star contractions on tables.
-4. Two classes of a bucket may be alike though neither is like the centre. So stars are drawn again with other
-   centres, in buckets whose classes are not all in one component yet, and only to classes of other
-   components, until ``quiet_rounds`` rounds in a row have found no new link. The first centres are the classes
-   of most copies: the likely originals of the others.
-
-With the defaults a pair at the threshold of 0.8 shares a bucket with probability 1 - (1 - 0.8^4)^32 > 0.9999999,
+4. Two classes of a bucket may be alike though neither is like the centre. So a second star is drawn, with another
+   centre, in buckets whose classes are not all in one component yet, and only to classes of other components. The
+   first centres are the classes of most copies, the likely originals of the others; later ones are classes of the
+   smallest components.
+5. What two stars leave is compared exactly: buckets that still have several components are cut into blocks of
+   bounded size, and the classes of two blocks are compared inside a task, each pair in the first bucket it
+   shares. Only pairs that are alike come out. So no link between classes that share a bucket is lost.
+
+With the defaults a pair at the threshold of 0.8 shares a bucket with probability 1 - (1 - 0.8^5)^40 > 0.9999998,
 and 13 buckets on average. No bucket, class or component is capped. Classes, buckets, pairs and components live in
 tables; the driver sees counts only.
 
@@ -27,18 +30,21 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import removed, written
+from .common import removed, ship, written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-BANDS = 32
-ROWS_PER_BAND = 4
-QUIET_ROUNDS = 2
+BANDS = 40
+ROWS_PER_BAND = 5
+STAR_ROUNDS = 2
+#: Classes that are compared with each other in a task, at most twice as many.
+BLOCK_CLASSES = 512
 #: Words whose hashes a task keeps at a time; beyond that it starts afresh.
 CACHED_WORDS = 100_000
 
@@ -109,6 +115,8 @@ def sketch(text: Column, shingle_words: int, bands: int = BANDS, rows: int = ROW
     """Size of the set, a 128-bit digest of it, and the key of each band; no digest for the empty set."""
     kind = pa.struct([("n", pa.int64()), ("class", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
+    ship()
+
     @F.arrow_udf(SKETCH_TYPE)
     def sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         shingler, signer = Shingler(shingle_words), Signer(bands, rows)
@@ -130,6 +138,8 @@ def sketch(text: Column, shingle_words: int, bands: int = BANDS, rows: int = ROW
 def shingle_sets(text: Column, shingle_words: int) -> Column:
     """The shingles' hashes of each text."""
 
+    ship()
+
     @F.arrow_udf("array<long>")
     def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         shingler = Shingler(shingle_words)
@@ -145,7 +155,7 @@ def near_duplicates(
     threshold: float = THRESHOLD,
     bands: int = BANDS,
     rows_per_band: int = ROWS_PER_BAND,
-    quiet_rounds: int = QUIET_ROUNDS,
+    star_rounds: int = STAR_ROUNDS,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -172,7 +182,7 @@ def near_duplicates(
     )
     members = _bucket_members(classes, percent)
     sets = _member_sets(documents, classes, members, row, shingle_words, text_column)
-    components = _linked(members, sets, percent, quiet_rounds)
+    components = _linked(members, sets, percent, star_rounds)
     firsts = (
         classes.select("class", "first_id")
         .join(components, "class", "left")
@@ -216,61 +226,129 @@ def _member_sets(
     documents: DataFrame, classes: DataFrame, members: DataFrame, row: Column, shingle_words: int, text_column: str
 ) -> DataFrame:
     """The full sets of the classes that have candidates, each from one document of the class."""
-    wanted = members.select("class").distinct().join(classes.select("class", "row"), "class")
+    wanted = members.select("class").distinct().join(classes.select("class", "row", "bands"), "class")
     texts = documents.select(row.alias("row"), F.col(text_column).alias("text"))
-    found = texts.join(wanted, "row").select("class", shingle_sets(F.col("text"), shingle_words).alias("shingles"))
-    return written(found, "sets")
+    # A row given several times is found several times, by the same task.
+    found = texts.join(wanted, "row").dropDuplicates(["row"])
+    return written(found.select("class", "bands", shingle_sets(F.col("text"), shingle_words).alias("shingles")), "sets")
+
 
+def _with_centres(live: DataFrame, turn: int) -> DataFrame:
+    """The classes of each bucket that has several components, with a centre for it.
 
-def _centres(members: DataFrame, turn: int) -> DataFrame:
-    """A centre for each bucket: the class of most copies at first, then one by chance."""
+    The first centre is the class of most copies. Later it is one by chance among the classes of the smallest
+    components: those have found the fewest links so far, and a centre is compared with its whole bucket.
+    """
     chance = F.xxhash64(F.lit(turn), "band", "class")
-    weight = F.col("copies") if turn == 0 else F.lit(0)
-    return members.groupBy("band", "key").agg(
+    weight = F.col("copies") if turn == 0 else -F.col("size")
+    centres = live.groupBy("band", "key").agg(
         F.max(F.struct(weight.alias("weight"), chance.alias("chance"), "class", "n", "component")).alias("centre"),
         F.min("component").alias("one"),
         F.max("component").alias("other"),
-    ).where("one != other")
-
-
-def _linked(members: DataFrame, sets: DataFrame, percent: int, quiet_rounds: int) -> DataFrame:
-    """Components of the classes in ``members``: ``class`` and ``component``."""
-    components = written(members.select("class").distinct().withColumn("component", F.col("class")), "components")
-    quiet, turn = 0, 0
-    while quiet < quiet_rounds:
-        live = members.join(components, "class")
-        centres = _centres(live, turn)
-        pairs = (
-            live.join(centres, ["band", "key"])
-            .where("component != centre.component")
-            .select("class", "n", F.col("centre.class").alias("centre"), F.col("centre.n").alias("centre_n"))
-            .where(100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n"))
-            .distinct()
-        )
+    )
+    return live.join(centres.where("one != other").drop("one", "other"), ["band", "key"])
+
+
+def _linked(members: DataFrame, sets: DataFrame, percent: int, star_rounds: int) -> DataFrame:
+    """Components of the classes in ``members``: ``class``, ``component`` and its ``size`` in classes."""
+    single = members.select("class").distinct()
+    components = written(single.withColumns({"component": F.col("class"), "size": F.lit(1).cast("long")}), "components")
+    buckets, before = members, None
+    for turn in range(star_rounds + 1):
+        # Buckets that have become one component are done with.
+        now = written(_with_centres(buckets.join(components, "class"), turn), "buckets")
+        if before is not None:
+            removed(before)
+        buckets, before = now.select("band", "key", "class", "n", "copies"), now
+        pairs = _star_pairs(now, percent) if turn < star_rounds else _block_pairs(now, sets, percent)
         links = written(_confirmed(pairs, sets, percent), "links")
         if links.limit(1).count():
-            quiet = 0
-            merged = _contracted(links.join(components, "class").join(
-                components.select(F.col("class").alias("centre"), F.col("component").alias("centre_component")), "centre"
-            ).select(F.col("component").alias("a"), F.col("centre_component").alias("b")))
-            after = written(
-                components.join(merged, components["component"] == merged["node"], "left").select(
-                    "class", F.coalesce("root", "component").alias("component")
-                ),
-                "components",
-            )
+            after = written(_merged(components, links), "components")
             removed(components)
             components = after
-        else:
-            quiet += 1
         removed(links)
-        turn += 1
     return components
 
 
+def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
+    """Each class with its bucket's centre, if they are of different components and of like size."""
+    return (
+        buckets.where("component != centre.component")
+        .select("class", "n", F.col("centre.class").alias("centre"), F.col("centre.n").alias("centre_n"))
+        .where(100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n"))
+        .distinct()
+    )
+
+
+def _block_pairs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """What stars have left: pairs of different components in a bucket whose sets, by 32 bits of each hash, are alike.
+
+    A bucket is cut into blocks of bounded size, and two blocks at a time are compared inside a task; only pairs
+    that are alike come out. A pair is compared in the first bucket that it shares.
+    """
+    ship()
+    sizes = buckets.groupBy("band", "key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).cast("int").alias("blocks"))
+    placed = buckets.select("band", "key", "class", "n", "component").join(sizes, ["band", "key"])
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", "key", "class", "n", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+    small = sets.select(
+        "class", *(F.transform(name, lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int")).alias(name) for name in ("bands", "shingles"))
+    )
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_alike(group, percent), columns=["class", "n", "centre", "centre_n"])
+
+    return (
+        dealt.join(small, "class")
+        .groupBy("band", "key", "low", "high")
+        .applyInPandas(compare, "class binary, n long, centre binary, centre_n long")
+        .distinct()
+    )
+
+
+def _alike(group: pd.DataFrame, percent: int) -> list[tuple]:
+    """Pairs of a block, or between two blocks, that are of different components and alike on their short hashes."""
+    band, low, high = (int(group[name].iloc[0]) for name in ("band", "low", "high"))
+    sets = [frozenset(found.tolist()) for found in group["shingles"]]
+    order = sorted(range(len(sets)), key=lambda row: len(sets[row]))
+    keys = np.stack([group["bands"].iloc[row] for row in order])[:, :band]
+    sizes = np.array([len(sets[row]) for row in order])
+    blocks = group["block"].to_numpy()[order]
+    components = np.unique(group["component"].to_numpy()[order], return_inverse=True)[1]
+    found = []
+    for at, row in enumerate(order):
+        # Sorted by size, so those that may be alike follow up to a size.
+        end = np.searchsorted(sizes, 100 * sizes[at] / percent + 1, side="right")
+        wanted = components[at + 1 : end] != components[at]
+        if low != high:
+            wanted &= blocks[at + 1 : end] != blocks[at]
+        wanted &= ~(keys[at + 1 : end] == keys[at]).any(axis=1)
+        for other in np.flatnonzero(wanted) + at + 1:
+            theirs = sets[order[other]]
+            common = len(sets[row] & theirs)
+            # Short hashes may fall together; whether a pair is linked is for its full sets to say.
+            if 100 * (common + 1) >= (percent - 1) * (len(sets[row]) + len(theirs) - common):
+                found.append((row, order[other]))
+    names, n = group["class"].to_numpy(), group["n"].to_numpy()
+    return [(names[a], int(n[a]), names[b], int(n[b])) for a, b in found]
+
+
+def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after the links between them."""
+    others = components.select(F.col("class").alias("centre"), F.col("component").alias("b"))
+    edges = links.join(components.withColumnRenamed("component", "a"), "class").join(others, "centre").select("a", "b")
+    roots = _contracted(edges)
+    found = components.join(roots, components["component"] == roots["node"], "left").select(
+        "class", F.coalesce("root", "component").alias("component")
+    )
+    return found.join(found.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component")
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
-    one = pairs.join(sets, "class").withColumnRenamed("shingles", "mine")
+    one = pairs.join(sets.select("class", F.col("shingles").alias("mine")), "class")
     both = one.join(sets.select(F.col("class").alias("centre"), F.col("shingles").alias("theirs")), "centre")
     common = F.size(F.array_intersect("mine", "theirs"))
     return (
