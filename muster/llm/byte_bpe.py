@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .common import ship
+
 #: Pretokens whose ids a task keeps at a time; beyond that it starts afresh.
 CACHED_PRETOKENS = 400_000
 
@@ -165,6 +167,8 @@ def _decoded(ids: pa.Array, tokens: dict[int, bytes]) -> pa.Array:
 def encode_text(text: Column, path: str, pattern: str) -> Column:
     """The ids of each text as an array."""
 
+    ship()
+
     @F.arrow_udf("array<int>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(path, pattern)
@@ -177,6 +181,8 @@ def encode_text(text: Column, path: str, pattern: str) -> Column:
 def decode_ids(ids: Column, path: str) -> Column:
     """The bytes that the ids stand for."""
 
+    ship()
+
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = tokens_of(path)
@@ -189,6 +195,8 @@ def decode_ids(ids: Column, path: str) -> Column:
 def encode_and_decode(text: Column, path: str, pattern: str) -> Column:
     """A struct of the ``ids`` of each text and the bytes they are ``decoded`` to, by one Python process a task."""
 
+    ship()
+
     @F.arrow_udf("struct<ids:array<int>, decoded:binary>")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder, tokens = Encoder(path, pattern), tokens_of(path)

@@ -3,16 +3,37 @@
 from __future__ import annotations
 
 import string
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import muster
 from muster.session import scratch_path
 
 #: Fixed: the white space that words and line keys are cut at, U+0020 and U+0009 to U+000D.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
 
+_shipped: set[str] = set()
+
+
+def ship() -> None:
+    """Give the session's Python workers this package, which need not be installed where they run."""
+    context = SparkSession.active().sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = Path(muster.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="muster-code-")) / "muster.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for module in sorted(package.rglob("*.py")):
+            packed.write(module, f"muster/{module.relative_to(package)}")
+    context.addPyFile(str(archive))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -32,6 +32,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 SAMPLES = 128
 #: Words with counts whose draws a task keeps at a time; beyond that it starts afresh.
 CACHED_DRAWS = 80_000
@@ -126,6 +128,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 def fingerprint_text(text: Column, samples: int = SAMPLES) -> Column:
     """The fingerprint of each text: its samples as 32-bit numbers."""
 
+    ship()
+
     @F.arrow_udf("array<long>")
     def fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         sampler = Sampler(samples)
@@ -181,6 +185,8 @@ def compare_with_edits(
 ) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and how alike it is to that and to its successor."""
 
+    ship()
+
     def compared(batches):
         sampler = Sampler(samples)
         last = None

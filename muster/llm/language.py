@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 UNDETERMINED = "und"
 TRAIN_DOCUMENTS = 6000
 MAX_WORDS = 30_000
@@ -263,6 +265,8 @@ def label_language(text: Column, model: Model) -> Column:
     span = pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("last_word", pa.int32())])
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(span))])
 
+    ship()
+
     @F.arrow_udf(LABEL_TYPE)
     def labelled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         labeller = Labeller(model)

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
 from .training import Adam, chosen, labelled_texts
 
 TRAIN_DOCUMENTS = 4000
@@ -210,6 +211,8 @@ def score_quality(text: Column, model: Model) -> Column:
     """A struct of ``score`` and, by line, the probability of being good."""
     kind = pa.struct([("score", pa.float64()), ("lines", pa.list_(pa.float32()))])
 
+    ship()
+
     @F.arrow_udf(QUALITY_TYPE)
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:

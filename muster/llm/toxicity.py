@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
 from .training import Adam, chosen, labelled_texts
 
 TRAIN_DOCUMENTS = 8000
@@ -187,6 +188,8 @@ def score_toxicity(text: Column, model: Model) -> Column:
     """A struct of the expected ``severity`` and the probabilities of grade 1 or more, 2 or more, and so on."""
     kind = pa.struct([("severity", pa.float64()), ("at_least", pa.list_(pa.float64()))])
 
+    ship()
+
     @F.arrow_udf(TOXICITY_TYPE)
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         features = Features(model.terms)
