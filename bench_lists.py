@@ -70,7 +70,7 @@ def main(rows: int) -> None:
     results.write.parquet(table)
     stored = spark.read.parquet(table)
     rollup = timed(
-        lambda: drain(outcomes.totals_rollup(outcomes.file_totals(stored), outcomes.run_span(stored)))
+        lambda: drain(outcomes.totals_rollup(outcomes.file_totals(stored, ts="ts")))
     )
     print(
         json.dumps(
