@@ -28,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,16 +115,19 @@ def token_pieces(
         words = _word_ids(tokenizer_path)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = words.of_text(text or "") + end
+            # One text at a time becomes a Python string.
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                ids = words.of_text(text.as_py() or "") + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            frame = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield frame.astype({"doc_id": "Int64"})
+            columns = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
+    names = [field.split()[0] for field in PIECE.split(", ")]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
     slim = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return slim.mapInPandas(cut, PIECE)
+    return slim.mapInArrow(cut, PIECE)
 
 
 #: What a sweep leaves of a row: a placed piece, a piece without gap, a gap that was used, a gap that was not.
