@@ -6,7 +6,7 @@ over the words, with a fixed price for changing the language, labels spans; the
 its spans is that of the text. Texts of a batch are labelled side by side, one word of each at a time.
 
 The model is counted by Spark over training documents that are chosen by a hash of their id, about
-``train_documents`` of them whatever the size of the corpus, and keeps at most ``max_words`` words a language.
+``train_documents`` of them whatever the size of the corpus and at least one of each language, and keeps at most ``max_words`` words a language.
 Texts to be labelled are read whole.
 
 Defined results: a null or empty text, or one without a letter, is ``und`` with score 0 and has no spans. The score
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
+from .training import hash_cuts
 
 UNDETERMINED = "und"
 TRAIN_DOCUMENTS = 6000
@@ -146,15 +147,16 @@ def train(
     usable = documents.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(language_column).alias("language")
     ).where("language IS NOT NULL AND text IS NOT NULL")
-    sizes = {row["language"]: row["n"] for row in usable.groupBy("language").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
+    drawn = F.xxhash64(F.lit("language"), "id")
+    found = usable.groupBy("language").agg(F.count(F.lit(1)).alias("n"), F.min(drawn).alias("least")).collect()
+    if not found:
         return Model([])
-    # The same number of documents of each language, so that a rare one is learnt as well.
-    each = train_documents / len(sizes)
+    # The same number of documents of each language, so that a rare one is learnt as well, and at least one of each.
+    sizes = {row["language"]: row["n"] for row in found}
+    cuts = hash_cuts(sizes, train_documents)
     chosen = F.lit(False)
-    for language, n in sorted(sizes.items()):
-        share = min(1.0, each / n)
-        chosen |= (F.col("language") == language) & (F.pmod(F.xxhash64(F.lit("language"), "id"), F.lit(1_000_000)) < round(share * 1_000_000))
+    for language, _, least in sorted(found):
+        chosen |= (F.col("language") == language) & (drawn <= max(cuts[language], least))
     words = F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD_PATTERN})"), 1)
     counts = (
         usable.where(chosen)

@@ -7,10 +7,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def hash_cuts(sizes: dict, most: int) -> dict:
+    """Up to which signed 64-bit hash the rows of each label are drawn, for about as many of each and ``most`` in all."""
+    return {label: min(1 << 64, (int(most) << 64) // (len(sizes) * n)) - (1 << 63) - 1 for label, n in sizes.items()}
+
+
 def chosen(labels: DataFrame, most: int, id_column: str, label_column: str, name: str) -> DataFrame:
     """About ``most`` labelled ids by a hash of the id, as many of each label if there are: ``id``, ``label``, ``weight``.
 
     The weight makes up for that: it is the share of the label among all labelled ids over its share in the sample.
+    The id with the smallest hash of a label is always taken, so that no label goes without.
 
     An id with several labels has the smallest one; labels and ids that are null take no part.
     """
@@ -20,16 +26,17 @@ def chosen(labels: DataFrame, most: int, id_column: str, label_column: str, name
         .groupBy("id")
         .agg(F.min("label").alias("label"))
     )
-    sizes = {row["label"]: row["n"] for row in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    drawn = F.xxhash64(F.lit(name), "id")
+    found = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.min(drawn).alias("least")).collect()
+    sizes = {row["label"]: row["n"] for row in found}
+    cuts = hash_cuts(sizes, most)
     taken: Column = F.lit(False)
     weight: Column = F.lit(1.0)
-    all_taken = sum(min(n, most / len(sizes)) for n in sizes.values())
-    for label, n in sorted(sizes.items()):
-        true_share, sample_share = n / sum(sizes.values()), min(n, most / len(sizes)) / all_taken
+    taken_of = {label: min(n, max(1.0, most / len(sizes))) for label, n in sizes.items()}
+    for label, n, least in sorted(found):
+        true_share, sample_share = n / sum(sizes.values()), taken_of[label] / sum(taken_of.values())
         weight = F.when(F.col("label") == label, true_share / sample_share).otherwise(weight)
-        share = min(1.0, most / len(sizes) / n)
-        drawn = F.pmod(F.xxhash64(F.lit(name), "id"), F.lit(1_000_000)) < round(share * 1_000_000)
-        taken |= (F.col("label") == label) & drawn
+        taken |= (F.col("label") == label) & (drawn <= max(cuts[label], least))
     return known.where(taken).withColumn("weight", weight)
 
 

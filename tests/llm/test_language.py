@@ -78,6 +78,13 @@ def test_training_takes_a_bounded_number(spark):
     assert len(small.words) <= 200 < len(all_.words)
 
 
+def test_training_takes_some_of_every_language(spark):
+    """The frequent language's share of the sample is less than one in two million."""
+    many = spark.range(2_100_000).select(F.col("id").alias("doc_id"), F.lit("haus").alias("text"), F.lit("de").alias("lang"))
+    few = spark.range(3).select(F.col("id").alias("doc_id"), F.lit("house").alias("text"), F.lit("en").alias("lang"))
+    assert language.train(many.union(few), 2).languages == ["de", "en"]
+
+
 def test_held_out_documents(spark):
     truth = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op5_language_id"](spark, SF).join(truth, "doc_id").where("held_out").collect()
