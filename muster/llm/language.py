@@ -229,9 +229,10 @@ def viterbi(scores: list[np.ndarray], price: float) -> list[np.ndarray]:
     running = np.searchsorted(-sizes[order], -np.arange(longest), side="left")
     starts = np.r_[0, np.cumsum(sizes[order])[:-1]]
     flat = np.concatenate([scores[at] for at in order])
-    came_from = np.zeros((len(flat), width), np.int8)
+    kind = np.min_scalar_type(width)
+    came_from = np.zeros((len(flat), width), kind)
     value = flat[starts[: running[0]]].copy()
-    states = np.arange(width, dtype=np.int8)
+    states = np.arange(width, dtype=kind)
     final = np.zeros(len(order), np.int64)
     for word in range(1, longest):
         n = running[word]

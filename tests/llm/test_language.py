@@ -1,3 +1,5 @@
+from itertools import product
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -33,6 +35,12 @@ def test_viterbi_finds_the_best_path():
             assert abs(value - plain_viterbi(row, 3.0)[0]) < 1e-3
 
 
+def test_many_languages():
+    counts = [(f"{first}{second}", f"l{at:03}", 9) for at, (first, second) in enumerate(product("abcdefghijklmnopqrst", "qrstuvwxyz"))]
+    found = labels([" ".join([word] * 6) for word, _, _ in counts], language.Model(counts))
+    assert [lang for lang, _, _ in found] == [lang for _, lang, _ in counts] and len(counts) == 200
+
+
 def labels(texts, model=None):
     return language.Labeller(model or language.Model(COUNTS)).label(texts)
 
