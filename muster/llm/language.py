@@ -25,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship
@@ -164,7 +164,8 @@ def train(
         .groupBy("language", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    kept = counts.orderBy(F.col("n").desc(), "word", "language").limit(max_words * len(sizes)).collect()
+    place = F.row_number().over(Window.partitionBy("language").orderBy(F.col("n").desc(), "word"))
+    kept = counts.withColumn("place", place).where(F.col("place") <= max_words).orderBy(F.col("n").desc(), "word", "language").collect()
     return Model([(row["word"], row["language"], row["n"]) for row in kept])
 
 

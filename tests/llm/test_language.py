@@ -93,6 +93,12 @@ def test_training_takes_some_of_every_language(spark):
     assert language.train(many.union(few), 2).languages == ["de", "en"]
 
 
+def test_words_are_kept_by_language(spark):
+    rows = [(1, "able bake cake dart east", "en"), (2, "zug zwei", "de")]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_words=2)
+    assert sorted(model.words) == ["able", "bake", "zug", "zwei"]
+
+
 def test_held_out_documents(spark):
     truth = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     rows = QUERIES["op5_language_id"](spark, SF).join(truth, "doc_id").where("held_out").collect()
