@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,8 +64,21 @@ SCRIPTS = (
     ("hangul", 0xAC00, 0xD7AF),
 )
 
-_words = re.compile(r"[^\W\d_]+").findall
-WORD_PATTERN = r"[\p{L}\p{M}]+"
+#: A word is a letter and the letters and combining marks that follow it.
+_words = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
+_ascii_words = re.compile(r"[a-z]+").findall
+_marks = regex.compile(r"\p{M}+")
+
+
+def words_of(text: str | None) -> list[str]:
+    """The words that are learnt and looked up."""
+    lowered = (text or "").lower()
+    return _ascii_words(lowered) if lowered.isascii() else _words(lowered)
+
+
+def _letters(word: str) -> str:
+    """The word without combining marks."""
+    return word if word.isalpha() else _marks.sub("", word)
 
 
 @lru_cache(maxsize=10_000)
@@ -74,7 +88,7 @@ def script(letter: str) -> str:
 
 
 def scripts_of(word: str) -> frozenset:
-    return frozenset(map(script, set(word)))
+    return frozenset(map(script, set(_letters(word))))
 
 
 class Model:
@@ -90,7 +104,7 @@ class Model:
         for word, language, n in counts:
             at = place[language]
             words[word][at] += n
-            for letter in word:
+            for letter in _letters(word):
                 letters[at][script(letter)] += n
             # Frequent words would drown what tells the shape of unknown ones.
             for trigram in _trigrams(word):
@@ -157,10 +171,16 @@ def train(
     chosen = F.lit(False)
     for language, _, least in sorted(found):
         chosen |= (F.col("language") == language) & (drawn <= max(cuts[language], least))
-    words = F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD_PATTERN})"), 1)
+    ship()
+
+    # The function that cuts the texts to be labelled, so that the words are the same.
+    @F.arrow_udf("array<string>")
+    def words(texts: pa.Array) -> pa.Array:
+        return pa.array([words_of(text.as_py()) for text in texts], pa.list_(pa.string()))
+
     counts = (
         usable.where(chosen)
-        .select("language", F.explode(words).alias("word"))
+        .select("language", F.explode(words("text")).alias("word"))
         .groupBy("language", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -175,12 +195,15 @@ class WordRows(dict):
     def __init__(self, model: Model):
         self.model = model
         self.scores = np.zeros((CACHED_WORDS + 1, len(model.languages)), np.float32)
+        self.letters = np.zeros(len(self.scores), np.int64)
 
     def __missing__(self, word: str) -> int:
         at = self[word] = len(self)
         if at == len(self.scores):
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
         self.scores[at] = self.model.scores(word)
+        self.letters[at] = len(_letters(word))
         return at
 
 
@@ -198,9 +221,9 @@ class Labeller:
             return [(UNDETERMINED, 0.0, []) for _ in texts]
         if len(self.rows) > CACHED_WORDS:
             self.rows.clear()
-        words = [_words((text or "").lower()) for text in texts]
+        words = [words_of(text) for text in texts]
         rows = [np.fromiter(map(self.rows.__getitem__, found), np.int64, len(found)) for found in words]
-        lengths = [np.fromiter(map(len, found), np.int64, len(found)) for found in words]
+        lengths = [self.rows.letters[row] for row in rows]
         paths = viterbi([self.rows.scores[row] for row in rows], SWITCH_PRICE)
         out = []
         for row, length, path in zip(rows, lengths, paths):

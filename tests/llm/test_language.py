@@ -67,6 +67,19 @@ def test_odd_texts():
     assert labels(["the"], language.Model([]))[0] == ("und", 0.0, [])
 
 
+def test_words_with_combining_marks(spark):
+    hindi, marathi, accented = "नमस्ते दुनिया यह है", "माझे घर आहे मोठे", "e\u0301te\u0301 de\u0301ja\u0300 vu"
+    rows = [(1, hindi, "hi"), (2, marathi, "mr"), (3, accented, "fr")]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(model.words) == {*hindi.split(), *marathi.split(), *accented.split()}
+    found = labels([hindi, marathi, accented], model)
+    assert [(lang, spans) for lang, _, spans in found] == [(lang, [(lang, 0, n)]) for lang, n in (("hi", 3), ("mr", 3), ("fr", 2))]
+
+
+def test_texts_without_a_letter():
+    assert [found[:2] for found in labels(["\u00bd \u00b2", "\u0301\u0301", "1\u0301 _", "\u0664"])] == [("und", 0.0)] * 4
+
+
 def test_rows_and_columns(documents):
     frame = documents([(1, "the house"), (1, "the house"), (None, None), (2, "der und die")])
     model = language.Model(COUNTS)
