@@ -52,9 +52,7 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 #: Marks that may melt into an ASCII letter when texts are normalised.
@@ -66,10 +64,14 @@ class WordIds(dict):
 
     The tokenizer drops white space, never joins across it, and lowers all letters, so a text's ids are those of
     its words, and words that differ in the case of ASCII letters share theirs. Punctuation stands by itself.
+    A special token written out in a text is that token, in its own letter case only.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
+        specials = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        #: How special tokens begin, up to the first letter; a text with that keeps its letter case.
+        self.marker = re.match("[^A-Za-z]*", os.path.commonprefix(specials))[0] if specials else None
         #: The words before these; those that come up again are kept on.
         self.earlier: dict[bytes, bytes] = {}
 
@@ -88,7 +90,7 @@ class WordIds(dict):
             self.earlier = dict(self)
             self.clear()
         raw = text.encode()
-        if not _melting(text):
+        if not _melting(text) and (self.marker is None or self.marker not in text):
             raw = raw.lower()
         return b"".join(map(self.__getitem__, raw.split()))
 

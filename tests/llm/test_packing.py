@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from muster.llm import packing
 from muster.llm.queries import QUERIES, tokenizer_path
@@ -80,6 +81,16 @@ def test_ids_are_the_tokenizers():
         assert words.of_text(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def test_special_tokens_written_out():
+    random.seed(4)
+    plain, words = Tokenizer.from_file(WORDS), packing.WordIds(WORDS)
+    kinds = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>.", "<|", "|>", "aB", "É", "\u0301", " ", "."]
+    for _ in range(3000):
+        text = "".join(random.choice(kinds) for _ in range(random.randint(0, 9)))
+        assert words.of_text(text) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    assert words.of_text("<|endoftext|>") == np.array([49407], "<u4").tobytes()
+
+
 def test_empty_table(documents):
     assert packing.pack_documents(documents([]), WORDS).collect() == []
 
