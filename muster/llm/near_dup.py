@@ -45,6 +45,8 @@ ROWS_PER_BAND = 5
 STAR_ROUNDS = 2
 #: Classes that are compared with each other in a task, at most twice as many.
 BLOCK_CLASSES = 512
+#: Shingles of the classes of a block, about; a class is not cut.
+BLOCK_SHINGLES = 1_000_000
 #: Words whose hashes a task keeps at a time; beyond that it starts afresh.
 CACHED_WORDS = 100_000
 
@@ -283,16 +285,10 @@ def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
 def _block_pairs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """What stars have left: pairs of different components in a bucket whose sets, by 32 bits of each hash, are alike.
 
-    A bucket is cut into blocks of bounded size, and two blocks at a time are compared inside a task; only pairs
+    A bucket is cut into blocks of about as many classes and shingles as a task can hold, and two blocks at a time are compared inside a task; only pairs
     that are alike come out. A pair is compared in the first bucket that it shares.
     """
     ship()
-    sizes = buckets.groupBy("band", "key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).cast("int").alias("blocks"))
-    placed = buckets.select("band", "key", "class", "n", "component").join(sizes, ["band", "key"])
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band", "key", "class", "n", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    )
     small = sets.select(
         "class", *(F.transform(name, lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int")).alias(name) for name in ("bands", "shingles"))
     )
@@ -301,13 +297,24 @@ def _block_pairs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         return pd.DataFrame(_alike(group, percent), columns=["class", "n", "centre", "centre_n"])
 
     return (
-        dealt.join(small, "class")
+        _dealt(buckets).join(small, "class")
         .groupBy("band", "key", "low", "high")
         .applyInPandas(compare, "class binary, n long, centre binary, centre_n long")
         .distinct()
     )
 
 
+def _dealt(buckets: DataFrame) -> DataFrame:
+    """The classes of each bucket, once for every two blocks, ``low`` and ``high``, of which one is theirs."""
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_CLASSES, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = buckets.groupBy("band", "key").agg(blocks.alias("blocks"))
+    placed = buckets.select("band", "key", "class", "n", "component").join(sizes, ["band", "key"])
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "band", "key", "class", "n", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+
+
 def _alike(group: pd.DataFrame, percent: int) -> list[tuple]:
     """Pairs of a block, or between two blocks, that are of different components and alike on their short hashes."""
     band, low, high = (int(group[name].iloc[0]) for name in ("band", "low", "high"))

@@ -112,3 +112,16 @@ def test_query(spark):
     pairs = [(row["doc_id"], row["text"]) for row in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     rows = QUERIES["op3_minhash_near_dedup"](spark, sf).select("doc_id", "n_shingles", "component_id", F.col("kept")).collect()
     assert sorted((tuple(row) for row in rows), key=repr) == plain(pairs, 4)
+
+
+def test_blocks_are_bounded_by_shingles(spark):
+    """300 classes of 100,000 shingles: every two meet, and no task holds more than a few million shingles."""
+    names = F.sha2(F.col("id").cast("string"), 256).cast("binary")
+    buckets = spark.range(300).select(F.lit(1).alias("band"), F.lit(7).alias("key"), names.alias("class"), F.lit(100_000).cast("long").alias("n"), names.alias("component"))
+    groups = {}
+    for row in near_dup._dealt(buckets).collect():
+        groups.setdefault((row["low"], row["high"]), []).append(bytes(row["class"]))
+    assert max(len(set(group)) for group in groups.values()) * 100_000 < 6_000_000
+    assert all(len(set(group)) == len(group) for group in groups.values())
+    met = {frozenset((a, b)) for group in groups.values() for a in group for b in group if a != b}
+    assert len(met) == 300 * 299 // 2
