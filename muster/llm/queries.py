@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, language, line_dedup, near_dup, packing, quality, topk, toxicity, url_filters
+from . import byte_bpe, fingerprints, language, line_dedup, near_dup, packing, piece_bpe, quality, topk, toxicity, url_filters
 from .common import held_out, in_training, read_table
 
 
@@ -102,6 +102,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    coded = piece_bpe.encode_and_decode(F.col("text"), tokenizer_path("piece_bpe_32k.model"))
+    both = documents.select("doc_id", coded.alias("coded")).select("doc_id", "coded.ids", "coded.decoded")
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -115,5 +127,6 @@ QUERIES = {
         op8_fingerprints,
         op9_toxicity,
         op10_quality,
+        op11_piece_bpe,
     )
 }

@@ -1,0 +1,100 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from muster.llm import piece_bpe
+from muster.llm.piece_bpe import Coder, decode_ids, encode_and_decode, encode_text
+from muster.llm.queries import QUERIES, tokenizer_path
+
+PATH = tokenizer_path("piece_bpe_32k.model")
+KINDS = [
+    "ab", "aé", " the rn", " \n\t", "abcdefghijklmnopqrstuvwxyz ", "日本語テキスト", "=-_*#▁ ", "0123 ", "😀🏽‍é́ ", " ",
+    "<s></unk>0x41", "\x00\r a", "ααβγ ш", "ＡＢ漢 字", "▁",
+]
+LONG = ["ab" * 30_000, " " * 30_000, "日" * 20_000, "=-" * 20_000, "word " * 40_000, "ﷺ" * 5_000, "x\n" * 20_000]
+TEXTS = [None, "", " ", "  a  b ", "a", "\n", "▁▁", "<s> <unk> <0x41>", "don't\x85 \x1c\x00"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PATH)
+
+
+def encoded(coder, text):
+    return np.frombuffer(coder.encode(text), np.int32).tolist()
+
+
+def test_same_ids_and_texts_as_the_library(library):
+    draw, coder = random.Random(1), Coder(PATH)
+    texts = ["".join(draw.choices(draw.choice(KINDS), k=draw.randint(0, 60))) for _ in range(5000)]
+    for text in texts + LONG:
+        ids = library.encode(text)
+        assert encoded(coder, text) == ids, text[:80]
+        assert coder.decode(ids) == library.decode(ids), text[:80]
+
+
+def test_backtracking_alone(library):
+    draw, coder = random.Random(2), Coder(PATH)
+    pieces = coder.pieces
+    for _ in range(1000):
+        part = pieces.normalize("".join(draw.choices(draw.choice(KINDS), k=draw.randint(1, 40))))
+        ids = [i for piece in pieces._backtracked(part) for i in pieces._shown(piece)]
+        assert [pieces.names[i] for i in ids] == library.encode(part[1:], out_type=str)
+
+
+def test_any_ids_decode_as_in_the_library(library):
+    draw, coder = random.Random(3), Coder(PATH)
+    for _ in range(5000):
+        among = draw.choice([range(32000), range(300), range(5), [259, 260, 28705, 264, 1, 2, 0, 100, 200], [28705, 1, 264]])
+        ids = draw.choices(among, k=draw.randint(0, 12))
+        assert coder.decode(ids) == library.decode(ids), ids
+    for wrong in ([32000], [-1], [264, -3]):
+        with pytest.raises(IndexError):
+            coder.decode(wrong)
+
+
+def test_same_ids_when_little_is_kept(library, monkeypatch):
+    monkeypatch.setattr(piece_bpe, "CACHED_BYTES", 1000)
+    coder, text = Coder(PATH), "one two three four five six seven " * 20
+    assert encoded(coder, text) == library.encode(text)
+    assert coder.kept_bytes <= 1000
+
+
+def test_long_parts_are_not_kept():
+    coder = Coder(PATH)
+    coder.encode("x" * 5000)
+    assert not coder.kept
+
+
+def test_frames(documents, library):
+    rows = [(i, text) for i, text in enumerate(TEXTS)] + [(None, "x"), (3, "a"), (3, "a")]
+    frame = documents(rows)
+    ids = frame.select("*", encode_text(F.col("text"), PATH).alias("ids"))
+    both = ids.select("*", decode_ids(F.col("ids"), PATH).alias("decoded"), encode_and_decode(F.col("text"), PATH).alias("coded"))
+    found = both.collect()
+    assert len(found) == len(rows)
+    for row in found:
+        assert row["ids"] == row["coded"]["ids"] == library.encode(row["text"] or "")
+        assert row["decoded"] == row["coded"]["decoded"] == library.decode(row["ids"])
+
+
+def test_null_ids_and_empty_table(spark, documents):
+    none = spark.createDataFrame([(None,), ([],), ([264],)], "ids array<int>")
+    assert [row[0] for row in none.select(decode_ids(F.col("ids"), PATH)).collect()] == ["", "", "a"]
+    assert documents([]).select(encode_and_decode(F.col("text"), PATH)).collect() == []
+
+
+def test_query(spark, library):
+    sf = "/root/testdata/sf0.001"
+    texts = {row["doc_id"]: row["text"] for row in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op11_piece_bpe"](spark, sf).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = library.encode(texts[row["doc_id"]] or "")
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
