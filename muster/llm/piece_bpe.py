@@ -39,7 +39,7 @@ from .common import ship
 BLANK, UNKNOWN, REPLACEMENT = "▁", " ⁇ ", "�"
 #: Parts of a text that are kept with their ids: those up to so many characters, and so many bytes of them in all.
 CACHED_CHARACTERS = 48
-CACHED_BYTES = 128 << 20
+CACHED_BYTES = 48 << 20
 #: About what an entry takes besides its characters and ids.
 ENTRY_BYTES = 150
 
