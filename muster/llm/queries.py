@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, language, line_dedup, near_dup, packing, piece_bpe, quality, topk, toxicity, url_filters
+from . import byte_bpe, centroids, fingerprints, language, line_dedup, near_dup, packing, periodic_runs, piece_bpe, quality, topk, toxicity, url_filters
 from .common import held_out, in_training, read_table
 
 
@@ -114,6 +114,29 @@ def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = periodic_runs.planted(read_table(spark, sf_dir, "documents"))
+    found = documents.select("doc_id", periodic_runs.find_runs(F.col("text")).alias("found"))
+    longest = periodic_runs.longest_run(F.col("found.runs"))
+    rows = found.select("doc_id", "found.runs", "found.collapsed", longest.alias("longest"))
+    line = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", centroids.quantised(F.col("embedding")).alias("vector"))
+    return centroids.with_inertia(*centroids.cluster(rows))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -128,5 +151,7 @@ QUERIES = {
         op9_toxicity,
         op10_quality,
         op11_piece_bpe,
+        op12_periodic_runs,
+        op13_centroid_clustering,
     )
 }
