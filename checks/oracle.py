@@ -242,6 +242,18 @@ ORACLE = {
             CAST(sum(sent) AS BIGINT), CAST(sum(failed) AS BIGINT), {_between("min(start_ts)", "max(end_ts)")}
             FROM totals JOIN span USING (file_name))
         SELECT *, {_rate("sent", "duration_x100", HOUR)} AS rate_x100 FROM both_levels""",
+    "run_totals": f"""WITH {_issued(3)}, {LAST}, {SPAN}, totals AS (
+        SELECT run, CAST(CASE file_name WHEN 'traffic_2.csv' THEN 1 ELSE 0 END AS BIGINT) AS batch_id, file_name,
+            CAST(sum(issued) AS BIGINT) AS issued, count(*) AS counted, count(*) FILTER (transport_errno = 0) AS sent,
+            count(*) FILTER (transport_errno <> 0) AS failed
+        FROM last, (SELECT unnest(['first', 'second']) AS run) GROUP BY ALL), all_levels AS (
+        SELECT run, batch_id, file_name, CAST(0 AS BIGINT) AS level, issued, counted, sent, failed, duration_x100
+            FROM totals JOIN span USING (file_name)
+        UNION ALL SELECT run, NULL, NULL, CAST(CASE WHEN run IS NULL THEN 3 ELSE 1 END AS BIGINT), CAST(sum(issued) AS BIGINT),
+            CAST(sum(counted) AS BIGINT), CAST(sum(sent) AS BIGINT), CAST(sum(failed) AS BIGINT),
+            {_between("min(start_ts)", "max(end_ts)")}
+            FROM totals JOIN span USING (file_name) GROUP BY ROLLUP (run))
+        SELECT *, {_rate("sent", "duration_x100", HOUR)} AS rate_x100 FROM all_levels""",
     "voice_totals": f"""WITH {_traffic(3)}, {SPAN}, placed AS (SELECT *,
             (row_number() OVER (PARTITION BY file_name ORDER BY row_key) - 1) // 50 AS batch_no FROM traffic),
         last AS (SELECT file_name, batch_no, msisdn, arg_max(transport_errno, row_key) AS errno, count(*) AS n

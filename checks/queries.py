@@ -37,7 +37,7 @@ from muster.functions import (
 from muster.operators import lookup, outcomes, validate
 from muster.operators.position import number_by_key, number_by_split
 from muster.operators.slicing import slice_list
-from muster.plans import dispatch, load
+from muster.plans import dispatch, load, run_totals
 from muster.session import scratch_path
 from muster.sinks import writers
 from muster.sources import lists
@@ -394,6 +394,21 @@ def totals_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.totals_rollup(outcomes.file_totals(_issued(spark, sf_dir, 3), ts="ts"), HOUR)
 
 
+def run_totals_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of two runs over equal lists, kept up to date as they come; one batch is replayed after half of it was sent."""
+    plan, results, totals = (scratch_path(spark, label) for label in ("issued", "outcomes", "totals"))
+    _issued(spark, sf_dir, 3).write.parquet(plan)
+    issued = spark.read.parquet(plan)
+    early = F.col("file_name") != "traffic_2.csv"
+    run_totals.write_outcomes(issued.filter(early & (F.col("pos") % 2 == 0)), results, "first", 0)
+    run_totals.update_totals(spark, results, totals)
+    for run in ("first", "second"):
+        for batch_id, rows in enumerate((issued.filter(early), issued.filter(~early))):
+            run_totals.write_outcomes(rows, results, run, batch_id)
+        run_totals.update_totals(spark, results, totals)
+    return outcomes.totals_rollup(run_totals.read_totals(spark, totals), HOUR)
+
+
 def voice_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calls per list: processed with repeats, success and failed by last result per batch."""
     calls = dispatch.plan_calls(number_by_key(traffic(spark, sf_dir, 3)))
@@ -475,6 +490,7 @@ QUERIES = {
     "batch_distinct": batch_distinct,
     "batch_last_outcome": batch_last_outcome,
     "totals_rollup": totals_rollup,
+    "run_totals": run_totals_table,
     "voice_totals": voice_totals,
     "run_span": run_span,
     "send_rate": send_rate,

@@ -9,7 +9,7 @@ from zoneinfo import ZoneInfo
 
 from muster.functions.times import ZONE
 from muster.operators import outcomes, slicing
-from muster.plans import dispatch, load
+from muster.plans import dispatch, load, run_totals
 from muster.session import build_session, scratch_scope
 from muster.sinks import writers
 from muster.sources import lists
@@ -91,6 +91,13 @@ def _totals(spark, o):
     return grand.asDict() if grand else {}
 
 
+def _run_totals(spark, o):
+    read = run_totals.update_totals(spark, o.outcomes, o.table)
+    rolled = outcomes.totals_rollup(run_totals.read_totals(spark, o.table))
+    grand = rolled.filter("level > 0").select("run", *outcomes.COUNTS, "duration_x100", "rate_x100").collect()
+    return {"read": len(read), "totals": {row["run"] or "all": {k: v for k, v in row.asDict().items() if k != "run"} for row in grand}}
+
+
 def _slice(spark, o):
     rows = slicing.slice_list(spark, o.lists, o.start, o.limit, o.multi_line)
     return {"written": writers.write_csv(rows.drop("pos"), o.out)}
@@ -152,9 +159,10 @@ def _parser():
     loaded.add_argument("lists", nargs="+")
     job("rejects", _rejects, "out").add_argument("lists", nargs="+")
     job("totals", _totals, "outcomes", "out")
+    job("run-totals", _run_totals, "outcomes", "table")
     job("strip-quotes", _strip_quotes, "out").add_argument("text", nargs="+")
     for name, added in jobs.choices.items():
-        if name not in ("totals", "strip-quotes"):
+        if name not in ("totals", "run-totals", "strip-quotes"):
             added.add_argument("--multi-line", action="store_true", help="quoted cells may hold line ends")
     return parser
 

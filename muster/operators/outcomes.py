@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from muster.functions import duration_hundredths, hms, local_time, rate_hundredths, whole_div
 
-# What tells the lists of a run apart, as far as the outcomes carry it. The base name alone does not: lists of two
-# folders may share it, and one list may be named twice or be in several campaigns.
-IDENTITY = ("campaign", "file_ordinal", "file_path", "file_name")
+# What tells the lists of all runs apart, as far as the outcomes carry it. The base name alone does not: lists of two
+# folders may share it, and one list may be named twice, be in several campaigns or be sent to by several runs.
+RUN = ("run", "batch_id")
+IDENTITY = (*RUN, "campaign", "file_ordinal", "file_path", "file_name")
 BATCH = ("chunk_no", "batch_no")
+COUNTS = ("issued", "counted", "sent", "failed")
 
 
 def identity(outcomes: DataFrame) -> list[str]:
@@ -44,41 +46,73 @@ def batch_last_outcomes(outcomes: DataFrame, batch: Sequence[str] = BATCH, ts: s
     rows are dealt out by batch, groups of a few rows that no file makes hot, so
     what is summed up per batch afterwards needs no second shuffle of them.
     """
+    return _last_outcomes(outcomes, batch, ts).drop("_low", "_high", "_places")
+
+
+def _last_outcomes(outcomes, batch, ts):
     whole = [*identity(outcomes), *batch]
     times = [F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts")] if ts else []
+    places = F.bit_or(F.expr("shiftleft(1L, cast(pmod(pos, 64) as int))"))
     return (
         outcomes.repartition(*whole)
         .groupBy(*whole, "msisdn")
-        .agg(F.max_by("transport_errno", "pos").alias("transport_errno"), F.count("*").alias("issued"), *times)
-    )
-
-
-def batch_distinct(outcomes: DataFrame, batch: Sequence[str] = BATCH) -> DataFrame:
-    """Requests issued and numbers counted per batch."""
-    return (
-        batch_last_outcomes(outcomes, batch)
-        .groupBy(*identity(outcomes), *batch)
-        .agg(F.sum("issued").alias("issued"), F.count("*").alias("counted"))
+        .agg(
+            F.max_by("transport_errno", "pos").alias("transport_errno"),
+            F.count("*").alias("issued"),
+            F.min("pos").alias("_low"),
+            F.max("pos").alias("_high"),
+            places.alias("_places"),
+            *times,
+        )
     )
 
 
-def file_totals(outcomes: DataFrame, batch: Sequence[str] = BATCH, ts: str | None = None) -> DataFrame:
-    """Issued, counted, sent and failed per file; sent and failed by last result per batch.
+def batch_totals(outcomes: DataFrame, batch: Sequence[str] = BATCH, ts: str | None = None) -> DataFrame:
+    """Issued, counted, sent and failed per batch, with ``ts`` also its first and last time.
 
-    With ``ts`` also ``start_ts`` and ``end_ts``, from the same pass over the outcomes.
+    A batch holds each of its positions once. One that has a position twice fails the job: its outcomes come from several
+    runs that nothing tells apart, and to merge them would count too few numbers. (Beyond 64 positions a batch fails
+    if it has more requests than positions.)
     """
     times = [F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts")] if ts else []
-    return (
-        batch_last_outcomes(outcomes, batch, ts)
-        .groupBy(*identity(outcomes))
+    totals = (
+        _last_outcomes(outcomes, batch, ts)
+        .groupBy(*identity(outcomes), *batch)
         .agg(
             F.sum("issued").alias("issued"),
             F.count("*").alias("counted"),
             F.count_if(F.col("transport_errno") == 0).alias("sent"),
             F.count_if(F.col("transport_errno") != 0).alias("failed"),
+            F.min("_low").alias("_low"),
+            F.max("_high").alias("_high"),
+            F.bit_or("_places").alias("_places"),
             *times,
         )
     )
+    span = F.col("_high") - F.col("_low") + 1
+    held = F.when(span <= 64, F.bit_count("_places").cast("long")).otherwise(span)
+    twice = F.raise_error(F.lit("a batch has a position twice: outcomes of several runs need a run column")).cast("long")
+    checked = F.when(F.col("issued") <= held, F.col("issued")).otherwise(twice)
+    return totals.withColumn("issued", checked).drop("_low", "_high", "_places")
+
+
+def batch_distinct(outcomes: DataFrame, batch: Sequence[str] = BATCH) -> DataFrame:
+    """Requests issued and numbers counted per batch."""
+    return batch_totals(outcomes, batch).drop("sent", "failed")
+
+
+def file_totals(outcomes: DataFrame, batch: Sequence[str] = BATCH, ts: str | None = None) -> DataFrame:
+    """Issued, counted, sent and failed per file; sent and failed by last result per batch.
+
+    With ``ts`` also ``start_ts`` and ``end_ts``, from the same pass over the outcomes.
+    """
+    return merged(batch_totals(outcomes, batch, ts), identity(outcomes))
+
+
+def merged(totals: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Totals of parts that share no batch as totals ``by`` fewer columns."""
+    times = [F.min("start_ts").alias("start_ts"), F.max("end_ts").alias("end_ts")] if "start_ts" in totals.columns else []
+    return totals.groupBy(*by).agg(*[F.sum(c).alias(c) for c in COUNTS], *times)
 
 
 def run_span(outcomes: DataFrame, by: Sequence[str] | None = None, ts: str = "ts") -> DataFrame:
@@ -117,17 +151,19 @@ def totals_rollup(totals: DataFrame, unit_seconds: int = 1) -> DataFrame:
     ``totals`` are ``file_totals`` with times. Rolled up from one row per file, so
     the expansion a rollup makes happens after the aggregation and not on the
     outcome rows. The grand duration runs from the first start to the last end.
+    Totals with a ``run`` have the grand total of each run at ``level`` 1 and that of all runs at ``level`` 3.
     """
-    names = identity(totals)
+    names = [name for name in identity(totals) if name != "run"]
+    runs = ["run"] if "run" in totals.columns else []
     rolled = (
         totals.withColumn("_file", F.struct(*names))
-        .rollup("_file")
+        .rollup(*runs, "_file")
         .agg(
-            F.grouping("_file").cast("long").alias("level"),
-            *[F.sum(c).alias(c) for c in ("issued", "counted", "sent", "failed")],
+            F.grouping_id().cast("long").alias("level"),
+            *[F.sum(c).alias(c) for c in COUNTS],
             _between(F.min("start_ts"), F.max("end_ts")).alias("duration_x100"),
         )
-        .select("_file.*", "level", "issued", "counted", "sent", "failed", "duration_x100")
+        .select(*runs, "_file.*", "level", *COUNTS, "duration_x100")
     )
     return add_rate(rolled, unit_seconds=unit_seconds)
 
