@@ -206,6 +206,8 @@ ORACLE = {
     "chunk_sizes": f"WITH {PLAN} SELECT file_name, chunk_no, count(*) AS chunk_rows FROM plan GROUP BY ALL",
     "row_slice": f"""WITH {_issued(1)} SELECT pos, msisdn AS "MSISDN", CAST(transport_errno AS VARCHAR) AS "ERRNO",
         CAST(row_key AS VARCHAR) AS "ROW_KEY" FROM plan WHERE pos >= {SLICE_START} AND pos < {SLICE_START + SLICE_LIMIT}""",
+    "ordered_slice": f"""WITH {_issued(1)} SELECT pos - {SLICE_START} AS list_pos, msisdn AS msisdn_raw,
+        CAST(row_key AS VARCHAR) AS row_key_raw FROM plan WHERE pos >= {SLICE_START} AND pos < {SLICE_START + SLICE_LIMIT}""",
     "stream_folder_plan": f"""WITH {LIST_TABLES}, picked AS (
         SELECT file_name, file_type, {_trim("msisdn_raw")} AS msisdn, CAST(row_number() OVER
             (PARTITION BY file_name ORDER BY row_key) - 1 AS BIGINT) AS pos

@@ -337,6 +337,15 @@ def row_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slice_list(spark, bulk_lists(spark, sf_dir, "traffic"), SLICE_START, SLICE_LIMIT)
 
 
+def ordered_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slice of files larger than a group, written in order; the parts by name are numbered as they stand."""
+    path = scratch_path(spark, "ordered-slice")
+    cut = slice_list(spark, bulk_lists(spark, sf_dir, "traffic"), SLICE_START, SLICE_LIMIT, group_bytes=4_096)
+    writers.write_csv_in_order(cut, path, rows_per_part=1_000)
+    scan = lists.scan_lists(spark, lists.list_csv_files(spark, path), optional=("ROW_KEY",))
+    return number_by_split(scan.rows, scan.files).select("list_pos", "msisdn_raw", "row_key_raw")
+
+
 def stream_folder_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream")
     run = plan_arrivals(
@@ -481,6 +490,7 @@ QUERIES = {
     "final_chunks": final_chunks,
     "chunk_sizes": chunk_sizes,
     "row_slice": row_slice,
+    "ordered_slice": ordered_slice,
     "stream_folder_plan": stream_folder_plan,
     "typed_paths_plan": typed_paths_plan,
     "campaigns_plan": campaigns_plan,

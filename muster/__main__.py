@@ -100,7 +100,7 @@ def _run_totals(spark, o):
 
 def _slice(spark, o):
     rows = slicing.slice_list(spark, o.lists, o.start, o.limit, o.multi_line)
-    return {"written": writers.write_csv(rows.drop("pos"), o.out)}
+    return {"written": writers.write_csv_in_order(rows, o.out)}
 
 
 def _strip_quotes(spark, o):

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -74,6 +76,32 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         del _scratch[first:]
 
 
+def child_session(spark: SparkSession, settings: dict[str, object]) -> SparkSession:
+    """A session beside this one, with its settings but for some."""
+    session = spark.newSession()
+    inherited = {key: value for key, value in spark.conf.getAll.items() if spark.conf.isModifiable(key)}
+    for key, value in {**inherited, **settings}.items():
+        session.conf.set(key, str(value))
+    return session
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, which need not be installed where they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="muster-code-")) / "muster-code.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for module in sorted(package.rglob("*.py")):
+            packed.write(module, f"{package.name}/{module.relative_to(package)}")
+    context.addPyFile(str(archive))
+
+
 def pin_split_size(spark: SparkSession) -> int:
     """Keep the cutting of files into splits the same for every scan of this session.
 

@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from muster.functions import file_type, has_csv_extension, plain_path
 from muster.functions.names import TYPE_MARKERS
 from muster.session import pin_split_size
+from muster.sources import records
 from muster.sources.headers import AGE_COLUMN, KEY_COLUMN, OK, UNSUPPORTED, file_list, probe_files
 from muster.sources.remote import as_literal, decode_listed, home_folder, is_directly_in, qualify
 
@@ -40,10 +41,9 @@ class ListScan:
     files: DataFrame
 
 
-def csv_reader(spark: SparkSession, multi_line: bool = False):
-    """Reader for list files: header skipped, doubled quotes, lines end at ``\\n`` only."""
-    reader = spark.read.option("header", True).option("escape", '"').option("enforceSchema", True)
-    return reader.option("multiLine", True) if multi_line else reader.option("lineSep", "\n")
+def csv_reader(spark: SparkSession):
+    """Reader for list files: header skipped, doubled quotes, lines end at ``\n`` only."""
+    return spark.read.option("header", True).option("escape", '"').option("enforceSchema", True).option("lineSep", "\n")
 
 
 def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
@@ -85,7 +85,7 @@ def probe_lists(
     names = [f"{name.lower()}_index" for name in optional]
     probed = probe_files(spark, paths, key, optional)
     return (
-        probed.select("file_ordinal", "file_path", "file_name", "status", "key_index", *names)
+        probed.select("file_ordinal", "file_path", "file_name", "status", "size_bytes", "key_index", *names)
         .orderBy("file_ordinal")
         .collect()
     )
@@ -126,8 +126,8 @@ def scan_lists(
 
     Files that are missing, unopenable, empty or without the key column are
     passed over. Columns come out as ``<name>_raw`` strings, null when absent.
-    With ``multi_line`` a quoted cell may hold line ends; such a file is read by
-    one task. ``probed`` is an earlier ``probe_lists`` of the same files.
+    With ``multi_line`` a quoted cell may hold line ends; the splits of such files are
+    read twice (see ``records``). ``probed`` is an earlier ``probe_lists`` of the same files.
 
     Files are grouped by the positions of the wanted columns and each group is
     one positional scan, so the number of scans follows the few places a column
@@ -142,8 +142,9 @@ def scan_lists(
     groups: dict[tuple, dict[str, None]] = {}
     for row in good:
         groups.setdefault(tuple(row[c] for c in index_columns), {})[row.file_path] = None
+    quoted = _quoted(spark, good) if multi_line else None
     scans = [
-        _positional_scan(spark, list(group), dict(zip(columns, places)), multi_line)
+        _positional_scan(spark, list(group), dict(zip(columns, places)), quoted)
         for places, group in groups.items()
     ]
     rows = reduce(DataFrame.unionByName, scans) if scans else _no_rows(spark, columns)
@@ -165,8 +166,9 @@ def scan_columns(
         beyond = range(len(places), width)
         groups.setdefault((*places, *beyond), {})[row.file_path] = None
     names = [f"c{i}" for i in range(width)]
+    quoted = _quoted(spark, [row for row, _ in layouts]) if multi_line else None
     scans = [
-        _positional_scan(spark, list(group), dict(zip(names, places)), multi_line, odd="cells")
+        _positional_scan(spark, list(group), dict(zip(names, places)), quoted, odd="cells")
         for places, group in groups.items()
     ]
     rows = reduce(DataFrame.unionByName, scans) if scans else _no_rows(spark, names).withColumn("cells", F.lit(None).cast("int"))
@@ -183,7 +185,26 @@ def scan_first_column(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False, patterns: bool = False
 ) -> DataFrame:
     """Column 0 of every row after the header line, whatever the header says."""
-    return csv_reader(spark, multi_line).schema("cell string").csv(named_paths(paths, patterns))
+    named = named_paths(paths, patterns)
+    if not multi_line:
+        return csv_reader(spark).schema("cell string").csv(named)
+    # Only what the listing tells is used; no file is opened.
+    listed = spark.read.format("binaryFile").load(named).select(plain_path(F.col("path")).alias("path"), "length").collect()
+    session, layout = records.quoted_layout(spark, {row["path"]: row["length"] for row in listed})
+    if not listed:
+        return spark.createDataFrame([], "cell string")
+    rows = records.read_records(records.line_scan(session, [row["path"] for row in listed]), layout)
+    return rows.select(parsed(F.col("line"), 1)["c0"].alias("cell"))
+
+
+def parsed(line: Column, width: int) -> Column:
+    """The first cells of a record as a struct of ``c0``, ``c1`` and so on, as the reader of files would give them."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    return F.from_csv(line, schema, {"escape": '"', "multiLine": "true", "lineSep": "\n"})
+
+
+def _quoted(spark, probed):
+    return records.quoted_layout(spark, {row.file_path: row.size_bytes for row in probed if row.size_bytes})
 
 
 def _no_rows(spark, columns):
@@ -196,23 +217,32 @@ def _file_table(spark, probed):
     return spark.createDataFrame(rows, "file_ordinal long, file_path string, file_name string")
 
 
-def _positional_scan(spark, paths, places, multi_line, odd=None):
+def _positional_scan(spark, paths, places, quoted=None, odd=None):
     width = max(place for place in places.values() if place is not None) + 1
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    reader = csv_reader(spark, multi_line)
-    if odd:
-        schema += f", {RAW} string"
-        # With some columns only, the reader would not see how many cells a row has.
-        reader = reader.option("columnNameOfCorruptRecord", RAW).option("columnPruning", False)
-    table = reader.schema(schema).csv([as_literal(path) for path in paths])
+    if quoted:
+        session, layout = quoted
+        table = records.read_records(records.line_scan(session, paths), layout)
+        table = table.withColumn("_cells", parsed(F.col("line"), width)).select("_cells.*", "cells", *SPLIT_COLUMNS)
+    else:
+        schema = ", ".join(f"c{i} string" for i in range(width))
+        reader = csv_reader(spark)
+        if odd:
+            schema += f", {RAW} string"
+            # With some columns only, the reader would not see how many cells a row has.
+            reader = reader.option("columnNameOfCorruptRecord", RAW).option("columnPruning", False)
+        table = reader.schema(schema).csv([as_literal(path) for path in paths])
     wanted = [
         (F.lit(None).cast("string") if place is None else F.col(f"c{place}")).alias(name)
         for name, place in places.items()
     ]
-    if odd:
+    if odd and quoted:
+        wanted.append(F.col("cells").cast("int").alias(odd))
+    elif odd:
         bare = F.regexp_replace(RAW, '"(?:[^"]|"")*"', "")
         commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
         wanted.append((commas + 1).alias(odd))
+    if quoted:
+        return table.select(*wanted, *SPLIT_COLUMNS)
     return table.select(
         *wanted,
         F.input_file_name().alias("split_path"),

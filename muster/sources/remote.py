@@ -55,6 +55,15 @@ def as_literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
+# Schemes of the stores that ``task_filesystem`` has a client for.
+OPENED = ("file", "s3", "s3a", "s3n", "gs", "gcs", "hdfs", "abfs", "abfss")
+
+
+def can_open(path: str) -> bool:
+    """Whether a task can open a full path by itself; others only Spark's readers reach."""
+    return path.split(":", 1)[0].lower() in OPENED
+
+
 def task_filesystem() -> Callable:
     """A function ``locate(path) -> (filesystem, path in it)`` for use inside tasks.
 

@@ -11,7 +11,7 @@ from muster.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4"}
+        "tests", "local[4]", **{"spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4"}
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
