@@ -39,7 +39,7 @@ from .common import ship
 BLANK, UNKNOWN, REPLACEMENT = "▁", " ⁇ ", "�"
 #: Parts of a text that are kept with their ids: those up to so many characters, and so many bytes of them in all.
 CACHED_CHARACTERS = 48
-CACHED_BYTES = 48 << 20
+CACHED_BYTES = 80 << 20
 #: About what an entry takes besides its characters and ids.
 ENTRY_BYTES = 150
 
@@ -79,6 +79,7 @@ class Pieces:
         self.lengths = [len(name) for name in self.names]
         self.most = max(map(len, self.whole))
         self.shorter = [self._shorter(name) for name in self.names]
+        self.pairs = {pair for name in self.ids for pair in zip(name, name[1:])}
         self.parts = self._parts_pattern().findall
 
     def _parts_pattern(self) -> re.Pattern:
@@ -98,16 +99,30 @@ class Pieces:
 
     def merge(self, text: str) -> list[str]:
         """The pieces that the characters of a text merge to, found step by step."""
-        parts, lowest = list(text), float("-inf")
-        while len(parts) > 1:
-            scores = [self.scores.get(a + b, lowest) for a, b in zip(parts, parts[1:])]
+        score, lowest = self.scores.get, float("-inf")
+        parts = list(text)
+        scores = [score(a + b, lowest) for a, b in zip(parts, parts[1:])]
+        while scores:
             best = max(scores)
             if best == lowest:
                 break
             at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], lowest)
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], lowest)
         return parts
 
+    def cut(self, part: str) -> list[str]:
+        """The part cut between characters that stand side by side in no piece, where no merge can lead across."""
+        if part[1:].isalpha():
+            # Mostly there is no such place inside a word.
+            return [part]
+        cuts = [i for i, pair in enumerate(zip(part, part[1:]), 1) if pair not in self.pairs]
+        return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])] if cuts else [part]
+
     def name(self, piece: int) -> str:
         return self.names[piece] if piece < self.size else chr(piece - self.size)
 
@@ -122,12 +137,13 @@ class Pieces:
             return [whole]
         longest = [piece for _, piece in self.automaton.iter_long(part)]
         lengths = self.lengths
-        if sum([lengths[piece] for piece in longest]) < len(part) or not all(
-            map(self.compatible, longest, longest[1:])
-        ):
-            longest = self._backtracked(part)
-            if max(longest) >= self.size:
-                return [i for piece in longest for i in self._shown(piece)]
+        if sum([lengths[piece] for piece in longest]) < len(part):
+            # Some characters have no piece.
+            longest = self._backtracked(part, [], self._longest(part, 0))
+            return [i for piece in longest for i in self._shown(piece)]
+        for at, fits in enumerate(map(self.compatible, longest, longest[1:]), 1):
+            if not fits:
+                return self._backtracked(part, longest[:at], self.shorter[longest[at]])
         return longest
 
     def _shown(self, piece: int) -> list[int]:
@@ -143,10 +159,11 @@ class Pieces:
                 return piece
         return self.size + ord(rest[0])
 
-    def _backtracked(self, part: str) -> list[int]:
-        size, pieces, failed, at = len(part), [], bytearray(len(part) // 8 + 1), 0
+    def _backtracked(self, part: str, pieces: list[int], piece: int) -> list[int]:
+        """The pieces of a part, given compatible ones that it may start with and what to try next, -1 for nothing."""
+        size, failed = len(part), bytearray(len(part) // 8 + 1)
         names, compatible, shorter = self.size, self.compatible, self.shorter
-        piece = self._longest(part, 0)
+        at = sum([self.lengths[i] for i in pieces])
         while True:
             while piece >= 0:
                 then = at + (self.lengths[piece] if piece < names else 1)
@@ -171,7 +188,9 @@ class Coder:
 
     def __init__(self, path: str):
         self.pieces = Pieces(path)
+        # What was met lately, and what was met before that; the latter makes room when the former is full.
         self.kept: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.kept_bytes = 0
         size, names = self.pieces.size, self.pieces.names
         self.shown = [name.replace(BLANK, " ").encode() for name in names]
@@ -184,11 +203,17 @@ class Coder:
         self.opens = frozenset(i for i in range(size) if names[i].startswith(BLANK))
 
     def _ids(self, part: str) -> bytes:
-        ids = array("i", self.pieces.encode(part)).tobytes()
+        ids = self.before.get(part)
+        if ids is None:
+            cut = self.pieces.cut(part)
+            if len(cut) > 1:
+                ids = b"".join([self.kept.get(piece) or self._ids(piece) for piece in cut])
+            else:
+                ids = array("i", self.pieces.encode(part)).tobytes()
         if len(part) <= CACHED_CHARACTERS:
             self.kept_bytes += ENTRY_BYTES + 4 * len(part) + len(ids)
-            if self.kept_bytes > CACHED_BYTES:
-                self.kept, self.kept_bytes = {}, 0
+            if self.kept_bytes > CACHED_BYTES // 2:
+                self.before, self.kept, self.kept_bytes = self.kept, {}, 0
             self.kept[part] = ids
         return ids
 
