@@ -149,6 +149,12 @@ ORACLE = {
     "csv_sink": """SELECT CAST(event_id AS VARCHAR) AS "ID", props AS "PROPS", ' ' || event_type || ', ' AS "NOTE"
         FROM events""",
     "text_sink": "SELECT replace(unnest(string_split(html, chr(10))), '\"', '') AS line FROM pages",
+    "text_sink_by_file": """WITH lines AS (SELECT page_id, string_split(html, chr(10)) AS lines FROM pages), placed AS (
+        SELECT page_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM lines)
+        SELECT CAST(row_number() OVER (ORDER BY page_id, place) - 1 AS BIGINT) AS line_no, replace(line, '"', '') AS line
+        FROM placed""",
+    "table_load": f"""WITH {SUBS}, loaded AS ({CAMPAIGN_ROWS})
+        SELECT * FROM loaded, (SELECT unnest(['7', '007']) AS load_id)""",
     "table_append": f"WITH {SUBS} {CAMPAIGN_ROWS}",
     "written_count": f"""WITH {SUBS} SELECT row_key % 2 AS part, count(*) AS written FROM subs
         WHERE {_trim("msisdn_raw")} <> '' GROUP BY ALL""",
@@ -214,6 +220,12 @@ ORACLE = {
         FROM list_rows WHERE lower(ext) = 'csv' AND file_type IS NOT NULL AND {_valid("msisdn_raw")}),
         {_batches("picked", CHUNK, BATCH)}
         SELECT file_name, msisdn, pos, chunk_no, batch_no, port, {_message("file_type")} AS message FROM plan""",
+    "stream_rejects": f"""WITH {LIST_TABLES} SELECT file_name, msisdn_raw, 'invalid_msisdn' AS reason FROM list_rows
+        WHERE lower(ext) = 'csv' AND file_type IS NOT NULL AND NOT {_valid("msisdn_raw")}""",
+    "plan_and_rejects": f"""WITH {LIST_TABLES}, counted AS (
+        SELECT file_name, count(*) FILTER ({_valid("msisdn_raw")}) AS planned,
+            count(*) FILTER (NOT {_valid("msisdn_raw")}) AS rejected FROM list_rows GROUP BY file_name)
+        SELECT file_name, planned, planned AS positions, rejected FROM counted""",
     "typed_paths_plan": f"""WITH {LIST_TABLES}, {VALID_LISTS}
         SELECT file_ordinal, file_name, msisdn, pos, chunk_no, batch_no, port, {_message("file_type")} AS message
         FROM plan WHERE file_type IS NOT NULL""",

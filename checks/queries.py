@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ from muster.functions import (
     sms_query,
     strip_quotes,
     voice_query,
+    whole_div,
 )
 from muster.operators import lookup, outcomes, validate
 from muster.operators.position import number_by_key, number_by_split
@@ -41,7 +44,8 @@ from muster.plans import dispatch, load, run_totals
 from muster.session import scratch_path
 from muster.sinks import writers
 from muster.sources import lists
-from muster.sources.headers import MISSING, OK, probe_files
+from muster.sources.headers import MISSING, OK, file_list, probe_files
+from muster.sources.remote import decode_listed
 from muster.sources.text import scan_text
 from muster.streaming.folder import plan_arrivals
 
@@ -49,6 +53,7 @@ CHUNK, BATCH = 70, 11
 HOUR = 3_600
 RUN_TIME = "2024-05-16 08:30:00"
 SLICE_START, SLICE_LIMIT = 1_001, 5_000
+PAGES_PER_FILE = 100
 
 
 def _numbered(spark, sf_dir):
@@ -147,6 +152,40 @@ def text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_text(spark, clean)
 
 
+def text_sink_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in files of a hundred, cleaned file by file, and all lines numbered as the outputs stand."""
+    raw, clean = scratch_path(spark, "raw-files"), scratch_path(spark, "clean-files")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("value"))
+    parts = pages.agg(F.max("page_id")).first()[0] // PAGES_PER_FILE + 1
+    dealt = pages.repartitionById(parts, whole_div(F.col("page_id"), PAGES_PER_FILE).cast("int"))
+    writers.write_text(dealt.sortWithinPartitions("page_id").select("value"), raw)
+    inputs = sorted(spark.read.text(raw).inputFiles())
+    writers.write_files_without_quotes(spark, inputs, clean)
+    outputs = spark.read.parquet(f"{clean}/inputs").orderBy("file_ordinal").collect()
+    written = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{clean}/lines").select("path").collect()
+    by_list: dict[str, list[str]] = {}
+    for row in sorted(written):
+        by_list.setdefault(re.search(r"list_id=(-?\d+)/", row.path)[1], []).append(decode_listed(row.path))
+    paths = [path for row in outputs for path in by_list[str(row.list_id)]]
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("value").alias("line"),
+        F.input_file_name().alias("split_path"),
+        F.input_file_block_start().alias("split_start"),
+        F.input_file_block_length().alias("split_length"),
+    )
+    return number_by_split(lines, file_list(spark, paths)).select(F.col("list_pos").alias("line_no"), "line")
+
+
+def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, of which one was run again after it had been done in part."""
+    path = scratch_path(spark, "loads")
+    rows = load.campaign_rows(subscribers(spark, sf_dir), RUN_TIME, "msisdn_raw")
+    writers.append_load(rows.limit(5), path, "007")
+    for load_id in ("7", "007", "007"):
+        writers.append_load(rows, path, load_id)
+    return writers.read_loads(spark, path)
+
+
 def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, _ = _load_halves(spark, sf_dir)
     return spark.read.parquet(path)
@@ -403,6 +442,24 @@ def totals_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.totals_rollup(outcomes.file_totals(_issued(spark, sf_dir, 3), ts="ts"), HOUR)
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the folder job passes over, kept beside its plan."""
+    out = scratch_path(spark, "stream-rejects")
+    run = plan_arrivals(spark, list_folder(spark, sf_dir)[0], out, f"{out}/checkpoint", MESSAGES, SENDER)
+    run.awaitTermination()
+    return spark.read.parquet(f"{out}/rejects").select("file_name", "msisdn_raw", "reason")
+
+
+def plan_and_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows planned and rejected per list, both from the two passes of one plan."""
+    rejected = []
+    plan = dispatch.plan_lists(spark, list_folder(spark, sf_dir)[1], on_rejects=rejected.append)
+    planned = plan.groupBy("file_name").agg(F.count("*").alias("planned"), (F.max("pos") + 1).alias("positions"))
+    passed_over = rejected[0].groupBy("file_name").agg(F.count("*").alias("rejected"))
+    both = planned.join(passed_over, "file_name", "full")
+    return both.select("file_name", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("planned", "positions", "rejected")])
+
+
 def run_totals_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals of two runs over equal lists, kept up to date as they come; one batch is replayed after half of it was sent."""
     plan, results, totals = (scratch_path(spark, label) for label in ("issued", "outcomes", "totals"))
@@ -456,7 +513,9 @@ QUERIES = {
     "text_scan": text_scan,
     "csv_sink": csv_sink,
     "text_sink": text_sink,
+    "text_sink_by_file": text_sink_by_file,
     "table_append": table_append,
+    "table_load": table_load,
     "written_count": written_count,
     "sms_outbox": sms_outbox,
     "voice_outbox": voice_outbox,
@@ -492,6 +551,8 @@ QUERIES = {
     "row_slice": row_slice,
     "ordered_slice": ordered_slice,
     "stream_folder_plan": stream_folder_plan,
+    "stream_rejects": stream_rejects,
+    "plan_and_rejects": plan_and_rejects,
     "typed_paths_plan": typed_paths_plan,
     "campaigns_plan": campaigns_plan,
     "quoted_lines_plan": quoted_lines_plan,

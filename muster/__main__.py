@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 from datetime import datetime
+from functools import partial
 from zoneinfo import ZoneInfo
 
 from muster.functions.times import ZONE
@@ -35,14 +36,25 @@ def _sizes(o):
     return {"chunk": o.chunk, "batch": o.batch, "multi_line": o.multi_line}
 
 
+def _written(plan, o):
+    """Runs a plan, a function of what to do with its rejects, and writes both where they are wanted."""
+    report = {}
+
+    def keep(rejects):
+        report["rejected"] = writers.write_csv(rejects, o.rejects)
+
+    planned = plan(**({"on_rejects": keep} if o.rejects else {}))
+    return {"planned": writers.write_outbox(planned, o.out), **report}
+
+
 def _campaign(spark, o):
-    plan = dispatch.plan_campaign(spark, o.lists, o.message, o.sender, **_sizes(o))
-    return {"files": _report(spark, o.lists), "planned": writers.write_outbox(plan, o.out)}
+    plan = partial(dispatch.plan_campaign, spark, o.lists, o.message, o.sender, **_sizes(o))
+    return {"files": _report(spark, o.lists), **_written(plan, o)}
 
 
 def _segmented(spark, o):
-    plan = dispatch.plan_segmented(spark, o.lists, o.older, o.younger, o.sender, **_sizes(o))
-    return {"files": _report(spark, o.lists), "planned": writers.write_outbox(plan, o.out)}
+    plan = partial(dispatch.plan_segmented, spark, o.lists, o.older, o.younger, o.sender, **_sizes(o))
+    return {"files": _report(spark, o.lists), **_written(plan, o)}
 
 
 def _calls(spark, o):
@@ -52,22 +64,22 @@ def _calls(spark, o):
 
 def _folder(spark, o):
     messages = json.loads(o.messages)
-    plan = dispatch.plan_folder(spark, o.folder, messages, o.sender, **_sizes(o))
+    plan = partial(dispatch.plan_folder, spark, o.folder, messages, o.sender, **_sizes(o))
     states = _report(spark, lists.list_csv_files(spark, o.folder), list(messages))
-    return {"files": states, "planned": writers.write_outbox(plan, o.out)}
+    return {"files": states, **_written(plan, o)}
 
 
 def _typed(spark, o):
     messages = json.loads(o.messages)
-    plan = dispatch.plan_typed_paths(spark, o.lists, messages, o.sender, **_sizes(o))
-    return {"files": _report(spark, o.lists, list(messages)), "planned": writers.write_outbox(plan, o.out)}
+    plan = partial(dispatch.plan_typed_paths, spark, o.lists, messages, o.sender, **_sizes(o))
+    return {"files": _report(spark, o.lists, list(messages)), **_written(plan, o)}
 
 
 def _campaigns(spark, o):
     layout = "campaign string, file_name string, message string, sender string"
     campaigns = spark.read.option("header", True).schema(layout).csv(o.campaigns)
-    plan = dispatch.plan_campaigns(spark, o.lists, campaigns, **_sizes(o))
-    return {"files": _report(spark, o.lists), "planned": writers.write_outbox(plan, o.out)}
+    plan = partial(dispatch.plan_campaigns, spark, o.lists, campaigns, **_sizes(o))
+    return {"files": _report(spark, o.lists), **_written(plan, o)}
 
 
 def _arrivals(spark, o):
@@ -104,13 +116,16 @@ def _slice(spark, o):
 
 
 def _strip_quotes(spark, o):
+    if o.by_file:
+        return {"written": writers.write_files_without_quotes(spark, o.text, o.out)}
     return {"written": writers.write_without_quotes(scan_text(spark, o.text), o.out)}
 
 
 def _load(spark, o):
     now = datetime.now(ZoneInfo(ZONE)).strftime("%Y-%m-%d %H:%M:%S")
     cells = lists.scan_first_column(spark, o.lists, o.multi_line)
-    report = {"inserted": writers.append_table(load.campaign_rows(cells, now), o.out)}
+    rows = load.campaign_rows(cells, now)
+    report = {"inserted": writers.append_load(rows, o.out, o.load_id) if o.load_id else writers.append_table(rows, o.out)}
     if o.rejects:
         report["rejected"] = writers.append_table(load.rejected_rows(cells, now), o.rejects)
     return report
@@ -141,6 +156,8 @@ def _parser():
         ("campaigns", _campaigns, ("campaigns", "out")),
     ):
         sizes(job(name, run, *names), dispatch.CHUNK, dispatch.BATCH)
+        if name != "arrivals":
+            jobs.choices[name].add_argument("--rejects", help="folder for the cells that the plan passes over")
         if "folder" not in names:
             jobs.choices[name].add_argument("lists", nargs="+")
 
@@ -155,12 +172,15 @@ def _parser():
     cut.add_argument("lists", nargs="+")
 
     loaded = job("load", _load, "out")
+    loaded.add_argument("--load-id", help="name of the load; run again it replaces its earlier try")
     loaded.add_argument("--rejects", help="table of the rows that are not loaded")
     loaded.add_argument("lists", nargs="+")
     job("rejects", _rejects, "out").add_argument("lists", nargs="+")
     job("totals", _totals, "outcomes", "out")
     job("run-totals", _run_totals, "outcomes", "table")
-    job("strip-quotes", _strip_quotes, "out").add_argument("text", nargs="+")
+    stripped = job("strip-quotes", _strip_quotes, "out")
+    stripped.add_argument("--by-file", action="store_true", help="one output per input, lines in order")
+    stripped.add_argument("text", nargs="+")
     for name, added in jobs.choices.items():
         if name not in ("totals", "run-totals", "strip-quotes"):
             added.add_argument("--multi-line", action="store_true", help="quoted cells may hold line ends")

@@ -7,7 +7,6 @@ rows in earlier pieces, which comes from a table with one small row per piece.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,15 +51,18 @@ def number_by_key(
 
 
 def _range_of(bounds: list[int]):
-    """The number of a key's range; a closure, so that workers need numpy but not this package."""
-
-    @F.pandas_udf("int")
-    def place(key: pd.Series) -> pd.Series:
-        import numpy
-        import pandas
-
-        found = pandas.Series(numpy.searchsorted(bounds, key.fillna(0), side="left"), key.index).astype("Int32")
-        return found.mask(key.isna())
+    """The number of a key's range, that is of bounds below the key, by halving steps; null for no key."""
+    if not bounds:
+        return lambda key: F.when(key.isNotNull(), F.lit(0))
+    table = F.array(*[F.lit(bound).cast("long") for bound in bounds])
+    steps = F.array(*[F.lit(1 << i) for i in range(len(bounds).bit_length() - 1, -1, -1)])
+
+    def place(key: Column) -> Column:
+        # Behind the last bound nothing is found, which is not below any key.
+        found = F.aggregate(
+            steps, F.lit(0), lambda at, step: F.when(F.coalesce(F.get(table, at + step - 1) < key, F.lit(False)), at + step).otherwise(at)
+        )
+        return F.when(key.isNotNull(), found)
 
     return place
 
@@ -100,6 +102,36 @@ def count_splits(rows: DataFrame, *extra: Column) -> DataFrame:
     return spark.read.schema(sizes.schema).parquet(path)
 
 
+def count_and_reject(flagged: DataFrame, cell: str = "msisdn_raw") -> tuple[DataFrame, DataFrame]:
+    """First pass over a list scan that also keeps what it rejects: the splits, as ``count_splits`` has them for the valid
+    rows, and the rejected cells as ``split_path`` and the cell.
+
+    ``flagged`` has all rows of the scan with ``is_valid``. Grouped by split and, for a rejected row, by its own number and cell, the
+    valid rows of a split become one row before anything is shuffled, and each rejected row stays one.
+    """
+    spark = flagged.sparkSession
+    pin_split_size(spark)
+    rejected = ~F.col("is_valid")
+    keyed = _tag(flagged).select(
+        "_split",
+        *SPLIT_COLUMNS,
+        "_id",
+        F.when(rejected, F.col("_id")).alias("_reject"),
+        F.when(rejected, F.coalesce(cell, F.lit(""))).alias(cell),
+    )
+    grouped = keyed.groupBy("_split", *SPLIT_COLUMNS, "_reject", cell).agg(F.min("_id").alias("_low"), F.count("*").alias("_rows"))
+    path = scratch_path(spark, "counted")
+    grouped.write.parquet(path)
+    counted = spark.read.schema(grouped.schema).parquet(path)
+    # Row ids count all rows of a task here and only the valid ones in the second pass.
+    task = F.shiftright("_low", 33)
+    order = Window.partitionBy("_task").orderBy("_low").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = counted.filter(F.col("_reject").isNull()).withColumn("_task", task)
+    before = F.coalesce(F.sum("_rows").over(order), F.lit(0))
+    splits = sizes.select("_split", *SPLIT_COLUMNS, (F.shiftleft("_task", 33) + before).alias("_first"), F.col("_rows").alias("_size"))
+    return splits, counted.filter(F.col("_reject").isNotNull()).select("split_path", cell)
+
+
 def file_starts(splits: DataFrame, files: DataFrame) -> DataFrame:
     """Files with their ``file_rows`` and ``file_start``, the rows in files of lower ordinal.
 

@@ -6,7 +6,7 @@ the plan ends in an outbox table.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +15,8 @@ from muster.functions import base_name, file_type, plain_path, sms_query, voice_
 from muster.functions.encoding import DLR_MASK
 from muster.operators.lookup import bind_campaigns, bind_messages, known_types
 from muster.operators.outcomes import identity
-from muster.operators.position import number_by_split
-from muster.operators.validate import rejected_rows, segment_message, valid_rows
+from muster.operators.position import count_and_reject, number_by_split
+from muster.operators.validate import BAD_MSISDN, flag_rows, rejected_rows, segment_message, valid_rows
 from muster.sources.headers import file_list
 from muster.sources.lists import discover_files, probe_lists, scan_lists
 
@@ -113,6 +113,7 @@ def plan_lists(
     message: Column | None = None,
     multi_line: bool = False,
     probed: Sequence[Row] | None = None,
+    on_rejects: Callable[[DataFrame], object] | None = None,
     **sizes,
 ) -> DataFrame:
     """Plan the valid rows of list files, each file numbered by itself in list order.
@@ -120,18 +121,27 @@ def plan_lists(
     ``bound`` adds columns per ``file_ordinal`` (see ``number_by_split``);
     ``message`` is an expression over the row cells ``msisdn_raw`` and
     ``age_raw``. ``multi_line`` and ``probed`` are those of ``scan_lists``; all
-    plans below take ``multi_line`` as well.
+    plans below take ``multi_line`` as well. ``on_rejects`` is given the cells that
+    take no position, as ``list_rejects`` has them; they come from the plan's first
+    pass, so the lists are not read once more. All plans below but that of calls take it.
     """
     scan = scan_lists(spark, paths, multi_line=multi_line, probed=probed)
+    splits = None
+    if on_rejects is not None:
+        splits, rejected = count_and_reject(flag_rows(scan.rows))
+        on_rejects(_reject_lines(rejected.withColumn("reason", F.lit(BAD_MSISDN))))
     valid = valid_rows(scan.rows)
     if message is not None:
         valid = valid.withColumn("message", message)
-    return plan_batches(number_by_split(valid, scan.files, bound=bound), **sizes)
+    return plan_batches(number_by_split(valid, scan.files, splits, bound=bound), **sizes)
 
 
 def list_rejects(spark: SparkSession, paths: Sequence[str], multi_line: bool = False) -> DataFrame:
     """The cells of list files that take no position: ``file_path``, ``file_name``, ``msisdn_raw``, ``reason``."""
-    rejected = rejected_rows(scan_lists(spark, paths, optional=(), multi_line=multi_line).rows)
+    return _reject_lines(rejected_rows(scan_lists(spark, paths, optional=(), multi_line=multi_line).rows))
+
+
+def _reject_lines(rejected):
     path = plain_path(F.col("split_path"))
     return rejected.select(
         path.alias("file_path"),
@@ -148,17 +158,20 @@ def plan_campaign(spark: SparkSession, paths: Sequence[str], message: str, sende
 
 
 def plan_campaigns(
-    spark: SparkSession, paths: Sequence[str], campaigns: DataFrame, multi_line: bool = False, **sizes
+    spark: SparkSession,
+    paths: Sequence[str],
+    campaigns: DataFrame,
+    multi_line: bool = False,
+    on_rejects: Callable[[DataFrame], object] | None = None,
+    **sizes,
 ) -> DataFrame:
     """Outbox of many campaigns: ``campaign``, ``file_name``, ``message``, ``sender`` rows bound to the lists.
 
     The campaigns meet the table of files, not the rows. A list in two campaigns
     is planned for both; a list in none is left out.
     """
-    scan = scan_lists(spark, paths, multi_line=multi_line)
-    bound = bind_campaigns(scan.files, campaigns)
-    plan = plan_batches(number_by_split(valid_rows(scan.rows), scan.files, bound=bound), **sizes)
-    return sms_outbox(plan)
+    bound = bind_campaigns(file_list(spark, paths), campaigns).select("file_ordinal", "campaign", "message", "sender")
+    return sms_outbox(plan_lists(spark, paths, bound, multi_line=multi_line, on_rejects=on_rejects, **sizes))
 
 
 def plan_segmented(

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from muster.functions import strip_quotes, whole_div
+from muster.functions import plain_path, strip_quotes, whole_div
+from muster.sources.headers import file_list
+from muster.sources.lists import named_paths
 
 # Rows of a part where a list is written in order.
 ROWS_PER_PART = 1_000_000
+# Names the folders of an outbox; its columns are all in the files.
+LIST_ID = "list_id"
+LOAD_ID = "load_id"
 
 
 def write_csv(rows: DataFrame, path: str, mode: str = "errorifexists") -> int:
@@ -54,6 +62,42 @@ def write_without_quotes(lines: DataFrame, path: str) -> int:
     return write_text(lines.select(strip_quotes(F.col("line")).alias("line")), path)
 
 
+def write_files_without_quotes(spark: SparkSession, paths: Sequence[str], out: str) -> int:
+    """As ``write_without_quotes``, one output per input: a folder ``out/lines/list_id=N`` for each file.
+
+    The parts of a folder joined by name are the lines in order. Each task writes the splits it reads, which a scan hands out in the
+    order of their file, so nothing is shuffled or looked up: ``list_id`` is a hash of the path. ``out/inputs`` tells the ``list_id`` of
+    each file in list order; a file named twice has one output.
+    """
+    files = file_list(spark, paths)
+    files.withColumn(LIST_ID, F.xxhash64("file_path")).write.parquet(f"{out}/inputs")
+    named = [row.file_path for row in files.select("file_path").distinct().collect()]
+    lines = spark.read.option("lineSep", "\n").text(named_paths(named, False))
+    numbered = lines.select(
+        strip_quotes(F.col("value")).alias("line"),
+        F.xxhash64(plain_path(F.input_file_name())).alias(LIST_ID),
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    placed = numbered.sortWithinPartitions(LIST_ID, "_id").select("line", LIST_ID)
+    return _counted(placed, lambda counted: counted.write.option("lineSep", "\n").partitionBy(LIST_ID).text(f"{out}/lines"))
+
+
+def append_load(rows: DataFrame, path: str, load_id: str) -> int:
+    """Append to a parquet table under the name of the load; the same load again takes the place of its earlier try.
+
+    So a load whose answer was lost can be run again. Other loads are left alone; nothing of a load is seen before all of it is.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
+        raise ValueError(f"a load is named by letters, digits and _.-, not {load_id!r}")
+    return _counted(rows, lambda counted: counted.write.mode("overwrite").parquet(f"{path}/{LOAD_ID}={load_id}"))
+
+
+def read_loads(spark: SparkSession, path: str) -> DataFrame:
+    """A table of named loads with ``load_id``, whose names stay as they are."""
+    inside = spark.read.parquet(path).drop(LOAD_ID).schema
+    return spark.read.schema(inside.add(LOAD_ID, "string")).parquet(path)
+
+
 def append_table(rows: DataFrame, path: str) -> int:
     """Append to a parquet table."""
     return _counted(rows, lambda counted: counted.write.mode("append").parquet(path))
@@ -67,10 +111,6 @@ def append_jdbc(rows: DataFrame, url: str, table: str, **options: str) -> int:
     )
 
 
-# Names the folders of an outbox; its columns are all in the files.
-LIST_ID = "list_id"
-
-
 def write_outbox(outbox: DataFrame, path: str, mode: str = "errorifexists") -> int:
     """Outbox table with one folder per list; chunks and batches are columns.
 

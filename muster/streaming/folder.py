@@ -37,9 +37,9 @@ def plan_arrivals(
 ) -> StreamingQuery:
     """Plan the lists that are new since the last run and stop.
 
-    Each micro-batch writes ``outbox/plan/run=ID/batch_id=N`` and the state of all
-    its files to ``outbox/status/run=ID/batch_id=N``, where ID is that of the
-    checkpoint. Both are overwritten when a batch is replayed after a failure, so a
+    Each micro-batch writes ``outbox/plan/run=ID/batch_id=N``, the cells that it passes over to
+    ``outbox/rejects/run=ID/batch_id=N`` and the state of all its files to ``outbox/status/run=ID/batch_id=N``, where ID is that of the
+    checkpoint. All are overwritten when a batch is replayed after a failure, so a
     replay leaves no second copy; a run with another checkpoint, whose batches
     are numbered from 0 again, leaves what is there alone.
     """
@@ -60,7 +60,11 @@ def plan_arrivals(
         probed = probe_lists(session, paths)
         kept = {row.file_ordinal for row in known.select("file_ordinal").collect()}
         planned = [row for row in probed if row.file_ordinal in kept]
-        plan = plan_typed_files(session, known, messages, sender, probed=planned, **options)
+
+        def keep_rejects(rejects: DataFrame) -> None:
+            rejects.write.mode("overwrite").parquet(f"{outbox}/rejects/{place}")
+
+        plan = plan_typed_files(session, known, messages, sender, probed=planned, on_rejects=keep_rejects, **options)
         write_outbox(plan, f"{outbox}/plan/{place}", mode="overwrite")
         status = file_status(session, paths, by_type=True, types=list(messages), probed=probed)
         status.write.mode("overwrite").parquet(f"{outbox}/status/{place}")

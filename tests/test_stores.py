@@ -1,0 +1,71 @@
+"""Lists in a store that only Spark's own readers can open."""
+
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from muster.operators.slicing import slice_list
+from muster.plans import dispatch
+from muster.sources import headers, lists
+from muster.sources.headers import probe_files
+from muster.streaming.folder import plan_arrivals
+
+A, B = "255700000001", "255700000002"
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    """A path of a mounted store; the files are those of ``tmp_path``. A store is known by its name, so each test has one."""
+    name = f"store{uuid.uuid4().hex}"
+    spark._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{name}.link./in", f"file://{tmp_path}")
+    return f"viewfs://{name}/in"
+
+
+def test_probe(spark, store, put, tmp_path):
+    put("ok_sms.csv", b"\xef\xbb\xbfAGE,MSISDN\r\n" + f"40,{A}\r\n".encode())
+    put("empty.csv", "")
+    put("nokey.csv", "A,B\n1,2\n")
+    os.mkdir(tmp_path / "folder.csv")
+    here = put("here.csv", f"MSISDN\n{B}\n")
+    names = ["gone.csv", "ok_sms.csv", "empty.csv", "nokey.csv", "folder.csv"]
+    probed = probe_files(spark, [*(f"{store}/{name}" for name in names), here]).orderBy("file_ordinal").collect()
+    assert [r.status for r in probed] == ["missing", "ok", "empty", "no_key_column", "unopenable", "ok"]
+    assert (probed[1].header, probed[1].crlf, probed[1].key_index, probed[1].age_index) == (["AGE", "MSISDN"], True, 1, 0)
+    assert probed[1].size_bytes == os.path.getsize(tmp_path / "ok_sms.csv") and probed[2].size_bytes == 0
+    # Both clients see the same.
+    local = probe_files(spark, [*(f"{tmp_path}/{name}" for name in names), here]).orderBy("file_ordinal").collect()
+    same = [name for name in probed[0].__fields__ if name != "file_path"]
+    assert [[r[name] for name in same] for r in probed] == [[r[name] for name in same] for r in local]
+
+
+def test_a_first_line_without_end(spark, store, put, monkeypatch):
+    monkeypatch.setattr(headers, "HEADER_BYTES", 100)
+    put("a.csv", "x" * 500)
+    with pytest.raises(ValueError, match="over 100 bytes"):
+        probe_files(spark, [f"{store}/a.csv"]).collect()
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_plans_reports_and_slices(spark, store, put, split_size, multi_line):
+    split_size(40)
+    note = '"a\nb"' if multi_line else "ab"
+    put("one_sms.csv", "NOTE,MSISDN\n" + f"{note},{A}\n{note},bad\n{note},{B}\n" * 10)
+    path = f"{store}/one_sms.csv"
+    plan = dispatch.plan_folder(spark, store, {"sms": "S"}, "from", multi_line=multi_line).orderBy("pos").collect()
+    assert [(r.pos, r.msisdn, r.file_path) for r in plan] == [(i, (A, B)[i % 2], path) for i in range(20)]
+    assert [r.file_name for r in lists.discover_files(spark, store).collect()] == ["one_sms.csv"]
+    assert lists.file_status(spark, [path, f"{store}/no.csv"]).filter("status = 'ok'").count() == 1
+    assert dispatch.list_rejects(spark, [path], multi_line).count() == 10
+    cut = slice_list(spark, [path], 3, 4, multi_line, group_bytes=1).orderBy("pos").collect()
+    assert [(r.pos, r.NOTE, r.MSISDN) for r in cut] == [(i, note.strip('"'), (A, "bad", B)[i % 3]) for i in range(3, 7)]
+
+
+def test_arrivals(spark, store, put, tmp_path):
+    put("a_sms.csv", f"MSISDN\n{A}\nbad\n")
+    out = str(tmp_path / "out")
+    plan_arrivals(spark, store, out, f"{out}-ck", {"sms": "S"}, "from").awaitTermination()
+    assert [r.msisdn for r in spark.read.parquet(f"{out}/plan").collect()] == [A]
+    assert [tuple(r)[1:4] for r in spark.read.parquet(f"{out}/rejects").collect()] == [("a_sms.csv", "bad", "invalid_msisdn")]
+    assert spark.read.parquet(f"{out}/status").agg(F.max("status")).first()[0] == "ok"
