@@ -51,12 +51,15 @@ def dedup_lines(
         ),
         "lines",
     )
-    shared = (
+    # Written before it meets the lines: a table joined with an aggregate of its own key keeps that key's partitioning, so that
+    # all lines of a hot key would stay on one task. This way they are dealt out anew, and the join is split where it is hot.
+    shared = written(
         hashed.select("id", "key_1", "key_2")
         .distinct()
         .groupBy("key_1", "key_2")
         .agg(F.count(F.lit(1)).alias("documents"))
-        .where(F.col("documents") >= min_documents)
+        .where(F.col("documents") >= min_documents),
+        "shared",
     )
     lost = (
         hashed.join(shared, ["key_1", "key_2"], "left_semi")

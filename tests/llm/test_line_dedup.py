@@ -60,3 +60,28 @@ def test_query_equals_sql(spark):
     want = connect(sf).execute(ORACLE["op6_line_dedup"])
     columns = [d[0] for d in want.description]
     assert normal_rows(frame.columns, frame.collect()) == normal_rows(columns, want.fetchall())
+
+
+def test_a_hot_line_is_split(spark, documents):
+    """A line of all documents is dealt out to several tasks where it meets the list of shared lines."""
+    frame = documents([(i, f"own {i}\ncommon\nown too {i}") for i in range(20_000)], clashing=False)
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in low}
+    for name, value in low.items():
+        spark.conf.set(name, value)
+    try:
+        result = dedup_lines(frame).select("document.doc_id", "kept_text")
+        rows = result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(rows) == [(i, f"own {i}\nown too {i}") for i in range(20_000)]
+    assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
