@@ -4,9 +4,12 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
+from muster.llm import byte_bpe
 from muster.llm.byte_bpe import Encoder, decode_ids, encode_and_decode, encode_text
 from muster.llm.queries import QUERIES, tokenizer_path
 
@@ -62,3 +65,43 @@ def test_query(spark):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+
+
+def test_what_is_kept_is_bounded(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHED_BYTES", 2_000)
+    encoder, want, text = Encoder(PATH, PATTERN), merges(), "one two three four five six seven eight " * 20 + "x" * 500
+    assert np.frombuffer(encoder.encode(text), "<i4").tolist() == want.encode_ordinary(text)
+    assert encoder.kept_bytes <= 1_000 and all(len(piece) <= byte_bpe.CACHED_CHARACTERS for piece in encoder.kept)
+
+
+def test_backtracking_alone():
+    random.seed(2)
+    vocabulary, want = Encoder(PATH, PATTERN).vocabulary, merges()
+    for _ in range(2000):
+        piece = "".join(random.choices(random.choice(["ab", "theirn", "abcdefghij", "=-"]), k=random.randint(2, 40)))
+        assert list(vocabulary._backtracked(piece, [], vocabulary._longest(piece, 0))) == want.encode_ordinary(piece)
+
+
+def test_pretokens_as_the_wide_module_cuts_them():
+    random.seed(3)
+    cut, wide = byte_bpe._pretokens(PATTERN), regex.compile(PATTERN).findall
+    assert byte_bpe._narrow(PATTERN) is not None
+    points = [*range(32, 127), 9, 10, 0x85, 0xA0, 0x1C, 0x1F, 0xB2, 0xBD, 0x660, 0x2028, 0x3000, 0x4E00, 0x301, 0xFFFF, 0x1F600, 0x1D7D8, 0x20000]
+    points += random.sample([c for c in range(0x20000) if not 0xD800 <= c < 0xE000], 300)
+    for _ in range(3000):
+        text = "".join(chr(random.choice(points)) for _ in range(random.randint(0, 30)))
+        assert cut(text) == wide(text), text
+    everything = "".join(chr(c) for c in range(1 << 16) if not 0xD800 <= c < 0xE000)
+    assert cut(everything) == wide(everything)
+    assert byte_bpe._narrow(r"\p{Lu}+|\w") is None
+
+
+def test_ids_that_are_not_in_the_vocabulary():
+    import pyarrow as pa
+
+    decode = byte_bpe.decoder(PATH).decode
+    for wrong in (-1, 50_256, 10**9):
+        with pytest.raises(KeyError):
+            decode(pa.array([[0, wrong]], pa.list_(pa.int32())))
+    assert decode(pa.array([], pa.list_(pa.int32()))).to_pylist() == []
+    assert decode(pa.array([None, [], [0, 1], None, [2]], pa.list_(pa.int32()))).to_pylist() == [b"", b"", b'!"', b"", b"#"]
