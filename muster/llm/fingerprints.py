@@ -35,12 +35,14 @@ from pyspark.sql import functions as F
 from .common import ship
 
 SAMPLES = 128
-#: Words with counts whose draws a task keeps at a time; beyond that it starts afresh.
+#: Words with counts whose draws a worker keeps at a time.
 CACHED_DRAWS = 80_000
 #: Buckets a shuffle partition holds on average: enough to even out their sizes.
 BUCKETS_PER_TASK = 8
 
 _words = re.compile(r"\w+").findall
+#: Fixed: the capital letter whose lower case depends on its surroundings.
+FINAL_SIGMA = "\u03a3"
 
 
 def _gamma_quantiles(bits: int) -> np.ndarray:
@@ -66,10 +68,12 @@ class Sampler:
     """Fingerprints of texts, with a bounded memory of draws."""
 
     def __init__(self, samples: int = SAMPLES, cached: int = CACHED_DRAWS):
-        self.samples, self.cached = samples, cached
+        self.samples, self.half = samples, max(cached // 2, 1)
+        #: Terms by row of their draws: what was met lately, and what was met before that and makes room next.
         self.rows: dict[tuple[str, int], int] = {}
+        self.rows_before: dict[tuple[str, int], int] = {}
         #: By row and sample: the value a word competes with in the upper 32 bits, its grid cell in the lower.
-        self.draws = np.empty((0, samples), np.uint64)
+        self.draws = self.draws_before = np.empty((0, samples), np.uint64)
         self.streams = np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
     def _draw(self, terms: list[tuple[str, int]]) -> np.ndarray:
@@ -94,31 +98,77 @@ class Sampler:
         start = len(self.rows)
         self.rows.update(zip(terms, range(start, start + len(terms))))
         if len(self.rows) > len(self.draws):
-            grown = np.empty((max(4096, 2 * len(self.rows)), self.samples), np.uint64)
+            grown = np.empty((max(self.half, len(self.rows)), self.samples), np.uint64)
             grown[:start] = self.draws[:start]
             self.draws = grown
-        for first in range(0, len(terms), 1024):
-            part = terms[first : first + 1024]
-            self.draws[start + first : start + first + len(part)] = self._draw(part)
-
-    def fingerprint(self, text: str) -> np.ndarray:
-        counts = Counter(_words(text.lower()))
-        if not counts:
-            return np.zeros(self.samples, np.uint32)
-        terms = list(counts.items())
+        before = list(map(self.rows_before.get, terms))
+        known = [(start + i, row) for i, row in enumerate(before) if row is not None]
+        if known:
+            to, row = np.array(known).T
+            self.draws[to] = self.draws_before[row]
+        new = [i for i, row in enumerate(before) if row is None]
+        for first in range(0, len(new), 1024):
+            part = new[first : first + 1024]
+            self.draws[start + np.array(part)] = self._draw([terms[i] for i in part])
+
+    def _rows(self, terms: list[tuple[str, int]]) -> np.ndarray:
         found = list(map(self.rows.get, terms))
         if None in found:
-            new = [term for term, row in zip(terms, found) if row is None]
-            if len(self.rows) + len(new) > self.cached:
-                self.rows.clear()
-                new = terms
-            self._remember(new)
+            new = dict.fromkeys(term for term, row in zip(terms, found) if row is None)
+            if len(self.rows) + len(new) > self.half and self.rows:
+                self.rows_before, self.draws_before = self.rows, self.draws
+                self.rows, self.draws = {}, np.empty((0, self.samples), np.uint64)
+                new = dict.fromkeys(terms)
+            self._remember(list(new))
             found = list(map(self.rows.__getitem__, terms))
-        rows = np.array(found)
+        return np.array(found, np.int64)
+
+    def _smallest(self, rows: np.ndarray) -> np.ndarray:
         smallest = np.full(self.samples, 2**64 - 1, np.uint64)
         for first in range(0, len(rows), 4096):
             np.minimum(smallest, self.draws[rows[first : first + 4096]].min(axis=0), out=smallest)
-        return smallest.astype(np.uint32)
+        return smallest
+
+    def fingerprint(self, text: str) -> np.ndarray:
+        counts = Counter(_words(text.lower()))
+        if not counts:
+            return np.zeros(self.samples, np.uint32)
+        return self._smallest(self._rows(list(counts.items()))).astype(np.uint32)
+
+    def fingerprints(self, begin: str, one: str, other: str) -> tuple[np.ndarray, np.ndarray]:
+        """The fingerprints of two texts that begin alike; what they share is looked at once."""
+        if FINAL_SIGMA in begin or FINAL_SIGMA in one or FINAL_SIGMA in other:
+            # In lower case it depends on what follows, also beyond the end of a word.
+            return self.fingerprint(begin + one), self.fingerprint(begin + other)
+        # The last word of the beginning may go on.
+        last = len(begin)
+        while last and (begin[last - 1].isalnum() or begin[last - 1] == "_"):
+            last -= 1
+        common = Counter(_words(begin[:last].lower()))
+        mine = Counter(_words((begin[last:] + one).lower()))
+        theirs = Counter(_words((begin[last:] + other).lower()))
+        changed = mine.keys() | theirs.keys()
+        parts = (
+            [term for term in common.items() if term[0] not in changed],
+            [(word, common[word] + mine[word]) for word in changed if common[word] or word in mine],
+            [(word, common[word] + theirs[word]) for word in changed if common[word] or word in theirs],
+        )
+        rows = self._rows([term for part in parts for term in part])
+        cuts = np.cumsum([len(part) for part in parts])[:2]
+        same, own, changed_to = np.split(rows, cuts)
+        smallest = self._smallest(same)
+        return tuple(
+            np.minimum(smallest, self._smallest(more)).astype(np.uint32)
+            if len(same) or len(more)
+            else np.zeros(self.samples, np.uint32)
+            for more in (own, changed_to)
+        )
+
+
+@lru_cache(maxsize=2)
+def sampler(samples: int) -> Sampler:
+    """One sampler per worker process, so that later tasks find what earlier ones drew."""
+    return Sampler(samples)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -132,9 +182,9 @@ def fingerprint_text(text: Column, samples: int = SAMPLES) -> Column:
 
     @F.arrow_udf("array<long>")
     def fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        sampler = Sampler(samples)
+        own = sampler(samples)
         for batch in batches:
-            yield pa.array([sampler.fingerprint(text or "").astype(np.int64) for text in batch.to_pylist()], pa.list_(pa.int64()))
+            yield pa.array([own.fingerprint(text or "").astype(np.int64) for text in batch.to_pylist()], pa.list_(pa.int64()))
 
     return fingerprints(text)
 
@@ -188,19 +238,23 @@ def compare_with_edits(
     ship()
 
     def compared(batches):
-        sampler = Sampler(samples)
-        last = None
+        own = sampler(samples)
+        # The last document of the bucket, and the row of the one before it, which waits for its successor's fingerprint.
+        last = waiting = None
         for batch in batches:
             rows = []
             for bucket, guest, doc_id, text in zip(batch["bucket"], batch["guest"], batch["doc_id"], batch["text"]):
                 if last is not None and last[0] == bucket:
-                    if guest and last[4]:
+                    if last[3]:
                         continue
-                    own = sampler.fingerprint(text)
-                    rows.append(_compared(sampler, last, text, own))
-                else:
-                    own = sampler.fingerprint(text)
-                last = (bucket, doc_id, text, own, bool(guest))
+                    mine, row = _compared(own, last, text)
+                    if waiting is not None:
+                        rows.append(_finished(*waiting, mine))
+                    waiting = (mine, row)
+                    if guest:
+                        rows.append(_finished(*waiting, own.fingerprint(text)))
+                        waiting = None
+                last = (bucket, doc_id, text, bool(guest))
             frame = pd.DataFrame(rows, columns=COLUMNS)
             yield frame.astype({"doc_id": "Int64"})
 
@@ -214,16 +268,21 @@ def compare_with_edits(
 COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
 
-def _compared(sampler: Sampler, document: tuple, following: str, next_fingerprint: np.ndarray) -> tuple:
-    _, doc_id, text, own, _ = document
-    changed = edited(text, following)
-    other = sampler.fingerprint(changed)
-    return (
+def _compared(sampler: Sampler, document: tuple, following: str) -> tuple[np.ndarray, tuple]:
+    """A document's fingerprint and its row but for the last column."""
+    _, doc_id, text, _ = document
+    kept = len(text) - len(text) // 4
+    changed = following[: len(text) // 4]
+    own, other = sampler.fingerprints(text[:kept], text[kept:], changed)
+    return own, (
         doc_id,
         len(text),
-        hashlib.sha256(changed.encode()).hexdigest(),
+        hashlib.sha256((text[:kept] + changed).encode()).hexdigest(),
         own.astype("<u4").tobytes().hex(),
         other.astype("<u4").tobytes().hex(),
         likeness(own, other),
-        likeness(own, next_fingerprint),
     )
+
+
+def _finished(own: np.ndarray, row: tuple, following: np.ndarray) -> tuple:
+    return (*row, likeness(own, following))

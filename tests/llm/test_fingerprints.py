@@ -76,3 +76,21 @@ def test_column_and_query_agree(spark):
         assert row["near_next"] == fingerprints.likeness(own, sampler.fingerprint(following))
         changed = sampler.fingerprint(fingerprints.edited(text, following))
         assert row["near_edited"] == fingerprints.likeness(own, changed)
+
+
+def test_two_texts_that_begin_alike():
+    draw = np.random.default_rng(5)
+    kinds = ["ab cd", "a_1 é-", "ΑΣ σ.ς'", "İi ß", " ", "日本 語", "x"]
+    few, many = fingerprints.Sampler(64, cached=8), fingerprints.Sampler(64)
+    for _ in range(1500):
+        begin, one, other = ("".join(draw.choice(list(kinds[draw.integers(len(kinds))]), draw.integers(0, 15))) for _ in range(3))
+        for sampler in (few, many):
+            got = sampler.fingerprints(begin, one, other)
+            assert (got[0] == many.fingerprint(begin + one)).all() and (got[1] == many.fingerprint(begin + other)).all(), (begin, one, other)
+
+
+def test_draws_are_bounded():
+    sampler = fingerprints.Sampler(16, cached=100)
+    for i in range(50):
+        sampler.fingerprint(" ".join(f"w{i * 7 + j} common" for j in range(20)))
+        assert len(sampler.rows) <= 50 and len(sampler.draws) + len(sampler.draws_before) <= 100
