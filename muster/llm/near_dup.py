@@ -12,7 +12,8 @@
    smallest components.
 5. What two stars leave is compared exactly: buckets that still have several components are cut into blocks of
    bounded size, and the classes of two blocks are compared inside a task, each pair in the first bucket it
-   shares. Only pairs that are alike come out. So no link between classes that share a bucket is lost.
+   shares. Only links that join two components come out, a forest at most. So no two classes that share a bucket and are
+   alike end in different components.
 
 With the defaults a pair at the threshold of 0.8 shares a bucket with probability 1 - (1 - 0.8^5)^40 > 0.9999998,
 and 13 buckets on average. No bucket, class or component is capped. Classes, buckets, pairs and components live in
@@ -212,15 +213,20 @@ def _verdict(id_: Column) -> list[Column]:
     return [F.col("n").alias("n_shingles"), F.col("component_id"), kept.alias("kept")]
 
 
+def _aside(aggregate: DataFrame) -> DataFrame:
+    """An aggregate that is to meet the rows it was made from, as a table of its own.
+
+    A table joined with an aggregate of its own key keeps that key's partitioning, so all rows of a hot key would stay on one
+    task. With the aggregate written first they are dealt out anew, and Spark splits the join where it is hot.
+    """
+    return written(aggregate, "aggregate")
+
+
 def _bucket_members(classes: DataFrame, percent: int) -> DataFrame:
     """Band buckets that hold more than one class: ``band``, ``key``, ``class``, ``n``, ``copies``."""
     everyone = classes.select("class", "n", "copies", F.posexplode("bands").alias("band", "key"))
-    shared = (
-        everyone.groupBy("band", "key")
-        .agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.max("n").alias("most"))
-        .where("members > 1")
-        .select("band", "key")
-    )
+    members = everyone.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members"))
+    shared = _aside(members.where("members > 1").select("band", "key"))
     return written(everyone.join(shared, ["band", "key"], "left_semi"), "members")
 
 
@@ -248,7 +254,7 @@ def _with_centres(live: DataFrame, turn: int) -> DataFrame:
         F.min("component").alias("one"),
         F.max("component").alias("other"),
     )
-    return live.join(centres.where("one != other").drop("one", "other"), ["band", "key"])
+    return live.join(_aside(centres.where("one != other").drop("one", "other")), ["band", "key"])
 
 
 def _linked(members: DataFrame, sets: DataFrame, percent: int, star_rounds: int) -> DataFrame:
@@ -283,15 +289,14 @@ def _star_pairs(buckets: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_pairs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """What stars have left: pairs of different components in a bucket whose sets, by 32 bits of each hash, are alike.
+    """What stars have left: links between different components in a bucket whose sets are alike.
 
-    A bucket is cut into blocks of about as many classes and shingles as a task can hold, and two blocks at a time are compared inside a task; only pairs
-    that are alike come out. A pair is compared in the first bucket that it shares.
+    A bucket is cut into blocks of about as many classes and shingles as a task can hold, and two blocks at a time are compared inside a task.
+    What comes out of a task is a forest: a pair that earlier links of the task have joined is not looked at. A pair is compared in the
+    first bucket that it shares.
     """
     ship()
-    small = sets.select(
-        "class", *(F.transform(name, lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int")).alias(name) for name in ("bands", "shingles"))
-    )
+    small = sets.select("class", "bands", "shingles")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_alike(group, percent), columns=["class", "n", "centre", "centre_n"])
@@ -308,7 +313,7 @@ def _dealt(buckets: DataFrame) -> DataFrame:
     """The classes of each bucket, once for every two blocks, ``low`` and ``high``, of which one is theirs."""
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_CLASSES, F.sum("n") / BLOCK_SHINGLES)).cast("int")
     sizes = buckets.groupBy("band", "key").agg(blocks.alias("blocks"))
-    placed = buckets.select("band", "key", "class", "n", "component").join(sizes, ["band", "key"])
+    placed = buckets.select("band", "key", "class", "n", "component").join(_aside(sizes), ["band", "key"])
     placed = placed.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "band", "key", "class", "n", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
@@ -316,7 +321,7 @@ def _dealt(buckets: DataFrame) -> DataFrame:
 
 
 def _alike(group: pd.DataFrame, percent: int) -> list[tuple]:
-    """Pairs of a block, or between two blocks, that are of different components and alike on their short hashes."""
+    """Links of a block, or between two blocks, that join different components whose sets are alike, and no circle of them."""
     band, low, high = (int(group[name].iloc[0]) for name in ("band", "low", "high"))
     sets = [frozenset(found.tolist()) for found in group["shingles"]]
     order = sorted(range(len(sets)), key=lambda row: len(sets[row]))
@@ -333,11 +338,13 @@ def _alike(group: pd.DataFrame, percent: int) -> list[tuple]:
             wanted &= blocks[at + 1 : end] != blocks[at]
         wanted &= ~(keys[at + 1 : end] == keys[at]).any(axis=1)
         for other in np.flatnonzero(wanted) + at + 1:
+            if components[other] == components[at]:
+                continue
             theirs = sets[order[other]]
             common = len(sets[row] & theirs)
-            # Short hashes may fall together; whether a pair is linked is for its full sets to say.
-            if 100 * (common + 1) >= (percent - 1) * (len(sets[row]) + len(theirs) - common):
+            if 100 * common >= percent * (len(sets[row]) + len(theirs) - common):
                 found.append((row, order[other]))
+                components[components == components[other]] = components[at]
     names, n = group["class"].to_numpy(), group["n"].to_numpy()
     return [(names[a], int(n[a]), names[b], int(n[b])) for a, b in found]
 
@@ -350,7 +357,8 @@ def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
     found = components.join(roots, components["component"] == roots["node"], "left").select(
         "class", F.coalesce("root", "component").alias("component")
     )
-    return found.join(found.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "component")
+    found = written(found, "found")
+    return found.join(_aside(found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))), "component")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -390,7 +398,7 @@ def _directed(edges: DataFrame) -> DataFrame:
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
     """Edges of each node's neighbours to the smallest of them and itself; result from larger to smaller."""
     around = edges if larger else _directed(edges)
-    root = around.groupBy("a").agg(F.min("b").alias("root")).withColumn("root", F.least("a", "root"))
+    root = _aside(around.groupBy("a").agg(F.min("b").alias("root")).withColumn("root", F.least("a", "root")))
     met = around.join(root, "a")
     if larger:
         return met.where("b > a").select(F.col("b").alias("a"), F.col("root").alias("b")).where("a != b").distinct()

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from muster.llm import near_dup
@@ -125,3 +126,60 @@ def test_blocks_are_bounded_by_shingles(spark):
     assert all(len(set(group)) == len(group) for group in groups.values())
     met = {frozenset((a, b)) for group in groups.values() for a in group for b in group if a != b}
     assert len(met) == 300 * 299 // 2
+
+
+def block(sets, bands, components=None):
+    """Classes of one block of a bucket of band 1, as a task gets them."""
+    names = [f"c{i:05d}".encode() for i in range(len(sets))]
+    return pd.DataFrame({
+        "band": 1, "low": 0, "high": 0, "block": 0, "class": names, "n": [len(s) for s in sets], "component": components or names,
+        "bands": [np.array(b, np.int64) for b in bands], "shingles": [np.array(sorted(s), np.int64) for s in sets],
+    })
+
+
+def test_keys_that_are_alike_in_their_low_bits_are_other_keys():
+    sets = [set(range(100)), set(range(5, 105))]
+    apart = block(sets, [[7, 1], [7 + (1 << 40), 1]])
+    assert len(near_dup._alike(apart, 80)) == 1
+    # A pair that shares an earlier bucket is left to that one.
+    assert near_dup._alike(block(sets, [[7, 1], [7, 1]]), 80) == []
+    # So are shingles.
+    assert near_dup._alike(block([set(range(100)), {x + (1 << 33) for x in range(100)}], [[1, 1], [2, 1]]), 80) == []
+
+
+def test_links_of_a_block_are_a_forest():
+    n = 600
+    sets = [set(range(1000)) - {i} for i in range(n)]
+    found = near_dup._alike(block(sets, [[i, 1] for i in range(n)]), 80)
+    assert len(found) == n - 1
+    chain = [set(range(i * 10, i * 10 + 100)) for i in range(300)]
+    assert len(near_dup._alike(block(chain, [[i, 1] for i in range(300)]), 80)) == 299
+    joined = [b"x" if i < 150 else b"y" for i in range(300)]
+    assert len(near_dup._alike(block(chain, [[i, 1] for i in range(300)], joined), 80)) == 1
+
+
+def test_hot_buckets_and_roots_are_split(spark):
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in low}
+    for name, value in low.items():
+        spark.conf.set(name, value)
+    try:
+        name = F.sha2(F.col("id").cast("string"), 256)
+        hot = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id"))
+        live = spark.range(20_000).select(
+            F.lit(1).alias("band"), hot.alias("key"), name.alias("class"), F.lit(9).alias("n"), F.lit(1).alias("copies"), name.alias("component"), F.lit(1).alias("size")
+        )
+        edges = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") + 100_000).alias("a"), F.col("id").alias("b"))
+        for frame in (near_dup._with_centres(live, 0), near_dup._star(edges, larger=True), near_dup._dealt(live)):
+            frame.collect()
+            assert "SortMergeJoin(skew=true)" in frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
