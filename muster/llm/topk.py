@@ -7,7 +7,8 @@ stops when no unseen row can reach its k-th score: the bound is the query's prod
 at. Queries of a group walk together, in steps that double. A block returns at most k rows a query, and the
 best k of all blocks are kept.
 
-Vectors are whole numbers, so scores are exact; they are computed as doubles only where those hold them all.
+Vectors are whole numbers and scores are exact: computed as doubles where those hold every score, else as 64-bit whole
+numbers. Vectors whose scores might not fit 64 bits are refused.
 
 Defined results: a null vector, or one with a null or non-finite component, takes no part, neither as query nor as
 candidate. A shorter vector has zeros in the dimensions it lacks. Equal scores are ranked by the smaller id.
@@ -48,8 +49,9 @@ class Block:
         """Query, row and score of the best k rows of each query."""
         n, found = len(self.ids), []
         walking = np.arange(len(queries))
-        # Rows that a query has met have their score; the others count as minus infinity.
-        scores = np.full((len(queries), n), -np.inf)
+        # Rows that a query has met have their score; the others count as less than any.
+        least = -np.inf if queries.dtype == np.float64 else np.iinfo(np.int64).min
+        scores = np.full((len(queries), n), least, queries.dtype)
         depth, step = 0, FIRST_STEP
         down = queries > 0
         while len(walking):
@@ -65,7 +67,7 @@ class Block:
             scores[at] = np.where(meets[:, rows], products, scores[at])
             own = np.searchsorted(self.ids, query_ids[walking])
             hit = (own < n) & (self.ids[np.minimum(own, n - 1)] == query_ids[walking])
-            scores[walking[hit], own[hit]] = -np.inf
+            scores[walking[hit], own[hit]] = least
             depth, step = reach, step * 2
             if depth == n:
                 found.append(walking)
@@ -75,20 +77,21 @@ class Block:
             bound = (np.where(down[walking], at_top, at_bottom) * queries[walking]).sum(axis=1)
             kth = np.partition(scores[walking], max(n - k, 0), axis=1)[:, max(n - k, 0)]
             # A row that equals the k-th score may still have the smaller id.
-            done = (bound < kth) & (kth > -np.inf)
+            done = (bound < kth) & (kth > least)
             found.append(walking[done])
             walking = walking[~done]
         order = np.concatenate(found) if found else walking
-        best = np.argsort(-scores[order], axis=1, kind="stable")[:, :k]
+        # Reversed before and after, so that of equal scores the smaller id, which stands first, stays first.
+        best = scores.shape[1] - 1 - np.argsort(scores[order][:, ::-1], axis=1, kind="stable")[:, ::-1][:, :k]
         query = np.repeat(order, best.shape[1])
         row = best.ravel()
         score = scores[query, row]
-        real = score > -np.inf
+        real = score > least
         return query[real], row[real], score[real]
 
 
-def _matrix(vectors: pd.Series, dimensions: int) -> np.ndarray:
-    out = np.zeros((len(vectors), dimensions))
+def _matrix(vectors: pd.Series, dimensions: int, kind: type) -> np.ndarray:
+    out = np.zeros((len(vectors), dimensions), kind)
     for row, vector in enumerate(vectors):
         out[row, : len(vector)] = vector
     return out
@@ -108,8 +111,9 @@ def top_k(
     asked_size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d"), _largest().alias("most")).first()
     dimensions = max(size["d"] or 0, asked_size["d"] or 0, 1)
     largest = dimensions * int(size["most"] or 0) * int(asked_size["most"] or 0)
-    if largest >= 2**53:
-        raise ValueError("scores of 53 bits or more cannot be held; scale the vectors down")
+    if largest >= 2**63:
+        raise ValueError("scores of 64 bits or more cannot be held; scale the vectors down")
+    kind = np.float64 if largest < 2**53 else np.int64
     blocks, groups = tasks_for(size["n"], block_rows), tasks_for(asked_size["n"], query_rows)
     each = F.sequence(F.lit(0), F.lit(groups - 1)), F.sequence(F.lit(0), F.lit(blocks - 1))
     met = rows.select(
@@ -126,8 +130,8 @@ def top_k(
         mine, theirs = frame[~frame["asks"]], frame[frame["asks"]]
         if not len(mine) or not len(theirs):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        block = Block(mine["id"].to_numpy(np.int64), _matrix(mine["vector"], dimensions))
-        ids, asked_vectors = theirs["id"].to_numpy(np.int64), _matrix(theirs["vector"], dimensions)
+        block = Block(mine["id"].to_numpy(np.int64), _matrix(mine["vector"], dimensions, kind))
+        ids, asked_vectors = theirs["id"].to_numpy(np.int64), _matrix(theirs["vector"], dimensions, kind)
         query, row, score = block.top(ids, asked_vectors, k)
         return pd.DataFrame({"query_id": ids[query], "vec_id": block.ids[row], "score": score.astype(np.int64)})
 

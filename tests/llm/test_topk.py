@@ -56,6 +56,16 @@ def test_scores_too_large_to_hold(spark):
         got(spark, [(0, [1e12]), (1, [1e12])])
 
 
+def test_scores_that_doubles_do_not_hold(spark):
+    """Scores of 54 to 62 bits that differ in their last bits only."""
+    draw = random.Random(8)
+    for size in (2.0**20, 2.0**22):
+        rows = [(i, [draw.choice([size, size - 1, -size]) + draw.randrange(4) / 256 for _ in range(5)]) for i in range(120)]
+        want = plain(rows, 5)
+        assert got(spark, rows) == want and max(abs(row[3]) for row in want) > 2**53
+        assert got(spark, rows, block_rows=16, query_rows=2) == want
+
+
 def test_query_equals_sql(spark):
     sf = "/root/testdata/sf0.01"
     frame = QUERIES["op7_exact_topk"](spark, sf)
