@@ -24,12 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
-from .training import Adam, chosen, labelled_texts
+from .training import Adam, chosen, labelled_texts, portions
 
 TRAIN_DOCUMENTS = 4000
 THRESHOLD = 0.7
 BINS = 8
 STEPS = 200
+#: Characters of the texts that are scored side by side, unless one text has more.
+SCORED_CHARACTERS = 4_000_000
 
 _UPPER = bytes(range(0x41, 0x5B))
 _LOWER = bytes(range(0x61, 0x7B))
@@ -147,11 +149,17 @@ def _gathered(weights: np.ndarray, bins: np.ndarray) -> np.ndarray:
 def fit(
     texts: list[str | None], labels: list[int], weights: list[float] | None = None, steps: int = STEPS
 ) -> Model:
-    """Weights of the most likely chain model, with a prior around zero."""
-    if not texts:
+    """As ``fit_shapes``, for texts."""
+    return fit_shapes([line_shapes(text)[0] for text in texts], labels, weights, steps)
+
+
+def fit_shapes(
+    shapes: list[np.ndarray], labels: list[int], weights: list[float] | None = None, steps: int = STEPS
+) -> Model:
+    """Weights of the most likely chain model for documents given by the measures of their lines, with a prior around zero."""
+    if not shapes:
         flat = [np.zeros(0) for _ in range(FEATURES)]
         return Model(flat, np.zeros((3, FEATURES, BINS + 1)), 0.0, np.zeros((2, 2)))
-    shapes = [line_shapes(text)[0] for text in texts]
     every = np.concatenate(shapes)
     edges = [np.unique(np.quantile(every[:, at], np.linspace(0, 1, BINS + 1)[1:-1])) for at in range(FEATURES)]
     chains = Chains(np.array([len(shape) for shape in shapes]))
@@ -198,10 +206,22 @@ def train(
     text_column: str = "text",
     label_column: str = "quality",
 ) -> Model:
-    """Fit on about ``train_documents`` of the documents that ``labels`` marks."""
+    """Fit on about ``train_documents`` of the documents that ``labels`` marks.
+
+    Their lines are measured in the tasks; the driver gets these measures and no text.
+    """
     sample = chosen(labels, train_documents, id_column, label_column, "quality")
-    rows = labelled_texts(documents, sample, id_column, text_column).orderBy("id").collect()
-    return fit([row["text"] for row in rows], [row["label"] for row in rows], [row["weight"] for row in rows])
+    ship()
+
+    @F.arrow_udf("array<float>")
+    def measured(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array([line_shapes(text.as_py())[0].ravel() for text in batch], pa.list_(pa.float32()))
+
+    found = labelled_texts(documents, sample, id_column, text_column)
+    rows = found.select("id", "label", "weight", measured("text").alias("shapes")).orderBy("id").collect()
+    shapes = [np.array(row["shapes"], np.float32).reshape(-1, FEATURES) for row in rows]
+    return fit_shapes(shapes, [row["label"] for row in rows], [row["weight"] for row in rows])
 
 
 QUALITY_TYPE = "struct<score:double, lines:array<float>>"
@@ -216,9 +236,7 @@ def score_quality(text: Column, model: Model) -> Column:
     @F.arrow_udf(QUALITY_TYPE)
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = []
-            for first in range(0, len(batch), 1000):
-                out += model.score(batch[first : first + 1000].to_pylist())
+            out = [found for part in portions(batch, SCORED_CHARACTERS) for found in model.score(part)]
             yield pa.StructArray.from_arrays(
                 [
                     pa.array([score for score, _ in out], pa.float64()),

@@ -8,9 +8,10 @@ Labels only say whether a document is toxic. Grade 0 is a document that is not;
 if it holds more words with terms that tell toxic documents from others than the median of them.
 
 A word has as terms itself and its beginnings, so that inflected forms share weights. The model is fitted on about
-``train_documents`` labelled documents, chosen by a hash of their id, as many toxic as others. Terms whose share in
-the two kinds of documents differs significantly become features, at most ``max_terms``. Documents are
-weighted as the two kinds are among all labels. Every document is scored by all its words.
+``train_documents`` labelled documents, chosen by a hash of their id, as many toxic as others. All terms whose share in
+the two kinds of documents differs significantly become features; Spark counts them, and the driver gets these terms and the
+features of the documents, but no text. Documents are weighted as the two kinds are among all labels. Every document is
+scored by all its words.
 
 Defined results: a null or empty text has the severity of a text without any such word. Without training
 documents, or with one label only, no word counts. Rows given twice are scored alike; further columns are not touched.
@@ -28,11 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, written
 from .training import Adam, chosen, labelled_texts
 
 TRAIN_DOCUMENTS = 8000
-MAX_TERMS = 6000
 #: Lengths of the beginnings of words that are terms.
 BEGINNINGS = (3, 4, 5, 6)
 #: Words whose features a task keeps at a time; beyond that it starts afresh.
@@ -100,24 +100,35 @@ def fit(
     document_weights: list[float] | None = None,
     steps: int = STEPS,
 ) -> Model:
-    """The most likely weights and thresholds, with a prior of weights around zero."""
+    """As ``fit_features``, for texts."""
     features = Features(terms)
-    found = [features.of(text) for text in texts]
+    return fit_features(terms, [features.of(text) for text in texts], grades, grade_count, document_weights, steps)
+
+
+def fit_features(
+    terms: list[str],
+    found: list[tuple[np.ndarray, np.ndarray]],
+    grades: np.ndarray,
+    grade_count: int = GRADES,
+    document_weights: list[float] | None = None,
+    steps: int = STEPS,
+) -> Model:
+    """The most likely weights and thresholds for documents given by places and values of their features, with a prior around zero."""
     row = np.repeat(np.arange(len(found)), [len(places) for places, _ in found])
     column = np.concatenate([places for places, _ in found]) if found else np.zeros(0, np.int64)
     value = np.concatenate([values for _, values in found]) if found else np.zeros(0)
     weights, first, gaps = np.zeros(len(terms)), 0.0, np.zeros(max(grade_count - 2, 0))
     point, adam = np.r_[weights, first, gaps], Adam(0.05)
-    shares = np.ones(len(texts)) if document_weights is None else np.array(document_weights)
+    shares = np.ones(len(found)) if document_weights is None else np.array(document_weights)
     shares = shares / max(shares.sum(), 1e-9)
-    for _ in range(steps if len(texts) else 0):
+    for _ in range(steps if len(found) else 0):
         weights, thresholds = point[: len(terms)], _thresholds(point[len(terms) :])
-        score = np.bincount(row, weights[column] * value, len(texts))
+        score = np.bincount(row, weights[column] * value, len(found))
         at_least = _logistic(score[:, None] - thresholds[None])
         # P(grade) is the difference of two neighbouring probabilities; the outer ones are 1 and 0.
-        framed = np.concatenate([np.ones((len(texts), 1)), at_least, np.zeros((len(texts), 1))], axis=1)
+        framed = np.concatenate([np.ones((len(found), 1)), at_least, np.zeros((len(found), 1))], axis=1)
         slopes = framed * (1 - framed)
-        pick = np.arange(len(texts))
+        pick = np.arange(len(found))
         probability = np.maximum(framed[pick, grades] - framed[pick, grades + 1], 1e-9)
         lower, upper = slopes[pick, grades] / probability, slopes[pick, grades + 1] / probability
         by_score = -(lower - upper) * shares
@@ -145,40 +156,69 @@ def train(
     documents: DataFrame,
     labels: DataFrame,
     train_documents: int = TRAIN_DOCUMENTS,
-    max_terms: int = MAX_TERMS,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
 ) -> Model:
     """Fit on about ``train_documents`` of the documents that ``labels`` marks."""
     sample = chosen(labels, train_documents, id_column, label_column, "toxic")
-    rows = labelled_texts(documents, sample, id_column, text_column).orderBy("id").collect()
-    toxic = np.array([row["label"] for row in rows], np.int64)
-    texts = [row["text"] for row in rows]
-    telling = telling_terms(texts, toxic, max_terms)
-    marked = Features([term for term, deviation in telling if deviation > 0])
-    found = np.array([sum(bool(marked[word]) for word in words_of(text)) for text in texts])
-    grades = np.where(toxic > 0, 1, 0)
+    texts = written(labelled_texts(documents, sample, id_column, text_column), "sample")
+    telling = telling_terms(texts)
+    terms, marked = [term for term, _ in telling], {term for term, deviation in telling if deviation > 0}
+    ship()
+
+    @F.arrow_udf("struct<places:array<int>, values:array<double>, marked:int>")
+    def featured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        every, toxic = Features(terms), Features(sorted(marked))
+        for batch in batches:
+            found, words = [], []
+            for value in batch:
+                found.append(every.of(value.as_py()))
+                words.append(sum(bool(toxic[word]) for word in words_of(value.as_py())))
+            columns = [
+                pa.array([places for places, _ in found], pa.list_(pa.int32())),
+                pa.array([values for _, values in found], pa.list_(pa.float64())),
+                pa.array(words, pa.int32()),
+            ]
+            yield pa.StructArray.from_arrays(columns, ["places", "values", "marked"])
+
+    rows = texts.select("id", "label", "weight", featured("text").alias("f")).orderBy("id").collect()
+    kind = np.array([row["label"] for row in rows], np.int64)
+    marked_words = np.array([row["f"]["marked"] for row in rows])
+    grades = np.where(kind > 0, 1, 0)
     if grades.any():
-        grades[(toxic > 0) & (found > np.median(found[toxic > 0]))] = 2
-    return fit([term for term, _ in telling], texts, grades, GRADES, [row["weight"] for row in rows])
-
-
-def telling_terms(texts: list[str | None], toxic: np.ndarray, most: int) -> list[tuple[str, float]]:
-    """Terms whose share of documents differs between the two kinds, with the difference in standard deviations."""
-    having = [Counter(), Counter()]
-    for text, kind in zip(texts, toxic):
-        having[int(kind > 0)].update(set(chain.from_iterable(map(terms_of, set(words_of(text))))))
-    sizes = [max(int((toxic <= 0).sum()), 1), max(int((toxic > 0).sum()), 1)]
-    found = []
-    for term in having[0].keys() | having[1].keys():
-        clean, bad = having[0][term], having[1][term]
-        if clean + bad >= LEAST_DOCUMENTS:
-            share = (clean + bad + 1) / (sum(sizes) + 2)
-            deviation = (bad / sizes[1] - clean / sizes[0]) / np.sqrt(share * (1 - share) * (1 / sizes[0] + 1 / sizes[1]))
-            if abs(deviation) >= LEAST_DEVIATIONS:
-                found.append((term, float(deviation)))
-    return sorted(found, key=lambda item: (-abs(item[1]), item[0]))[:most]
+        grades[(kind > 0) & (marked_words > np.median(marked_words[kind > 0]))] = 2
+    found = [(np.array(row["f"]["places"], np.int64), np.array(row["f"]["values"], np.float64)) for row in rows]
+    return fit_features(terms, found, grades, GRADES, [row["weight"] for row in rows])
+
+
+def telling_terms(texts: DataFrame) -> list[tuple[str, float]]:
+    """Terms whose share of documents differs between the two kinds, with the difference in standard deviations.
+
+    ``texts`` has ``text`` and ``label``. Spark counts the documents of each kind that have a term.
+    """
+    ship()
+
+    @F.arrow_udf("array<string>")
+    def terms(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            sets = [set(chain.from_iterable(map(terms_of, set(words_of(value.as_py()))))) for value in batch]
+            yield pa.array([sorted(found) for found in sets], pa.list_(pa.string()))
+
+    toxic = F.col("label") > 0
+    sizes = texts.agg(F.count_if(~toxic).alias("clean"), F.count_if(toxic).alias("bad")).first()
+    clean_size, bad_size = max(sizes["clean"], 1), max(sizes["bad"], 1)
+    counts = (
+        texts.select("label", F.explode(terms("text")).alias("term"))
+        .groupBy("term")
+        .agg(F.count_if(~toxic).alias("clean"), F.count_if(toxic).alias("bad"))
+        .where(F.col("clean") + F.col("bad") >= LEAST_DOCUMENTS)
+    )
+    share = (F.col("clean") + F.col("bad") + 1) / (clean_size + bad_size + 2)
+    spread = F.sqrt(share * (1 - share) * (1 / clean_size + 1 / bad_size))
+    deviation = (F.col("bad") / bad_size - F.col("clean") / clean_size) / spread
+    found = counts.select("term", deviation.alias("deviation")).where(F.abs("deviation") >= LEAST_DEVIATIONS).collect()
+    return sorted(((row["term"], row["deviation"]) for row in found), key=lambda item: (-abs(item[1]), item[0]))
 
 
 TOXICITY_TYPE = "struct<severity:double, at_least:array<double>>"

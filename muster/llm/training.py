@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +49,21 @@ def labelled_texts(documents: DataFrame, sample: DataFrame, id_column: str, text
     return texts.join(F.broadcast(sample), "id").dropDuplicates(["id"])
 
 
+def portions(texts: pa.Array, characters: int, most: int = 1000) -> Iterator[list[str | None]]:
+    """The texts of a batch in portions of bounded length, at least one text each."""
+    part, size = [], 0
+    for value in texts:
+        text = value.as_py()
+        length = len(text or "")
+        if part and (size + length > characters or len(part) == most):
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += length
+    if part:
+        yield part
+
+
 class Adam:
     """Step sizes by running means of the gradient and its square."""
 
