@@ -1,5 +1,4 @@
 import pyarrow as pa
-
 from pyspark.sql import functions as F
 
 from muster.llm import training
@@ -20,8 +19,8 @@ def test_shares_are_not_rounded():
 
 def test_portions_are_bounded_by_length():
     texts = ["a" * 5, None, "b" * 20, "", "c" * 3, "d" * 3, "e" * 30]
-    parts = list(portions(pa.array(texts, pa.string()), 10))
+    parts = list(training.portions(pa.array(texts, pa.string()), 10))
     assert [text for part in parts for text in part] == texts
     assert all(len(part) == 1 or sum(len(text or "") for text in part) <= 10 for part in parts)
-    assert [len(part) for part in portions(pa.array(["x"] * 7), 100, most=3)] == [3, 3, 1]
-    assert list(portions(pa.array([], pa.string()), 10)) == []
+    assert [len(part) for part in training.portions(pa.array(["x"] * 7), 100, most=3)] == [3, 3, 1]
+    assert list(training.portions(pa.array([], pa.string()), 10)) == []
