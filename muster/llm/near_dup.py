@@ -191,7 +191,7 @@ def near_duplicates(
         .join(components, "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
     )
-    smallest = firsts.where("first_id IS NOT NULL").groupBy("component").agg(F.min("first_id").alias("component_id"))
+    smallest = _aside(firsts.where("first_id IS NOT NULL").groupBy("component").agg(F.min("first_id").alias("component_id")))
     by_class = firsts.select("class", "component").join(smallest, "component", "left").select("class", "component_id")
     judged = sketches.select("id", "row", "n", "class").join(by_class, "class", "left")
     judged = judged.select(
