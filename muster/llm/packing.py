@@ -57,6 +57,25 @@ def _tokenizer(path: str):
 
 #: Marks that may melt into an ASCII letter when texts are normalised.
 _melting = re.compile("[\u0300-\u036f]").search
+#: A word of letters that normalising only lowers, one for one, and the ASCII punctuation after it.
+_plain = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)").fullmatch
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable, else one from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(byte if byte in printable else next(others)) for byte in range(256)]
+
+
+#: For ``str.translate`` of bytes read as Latin-1.
+_BYTE_LETTERS = _byte_letters()
+#: The normaliser and the way to cut texts with which a run of such letters is lowered, stays whole and goes to the model as bytes.
+_STEPS = (
+    r'Sequence(normalizers=[NFC(), Replace(pattern=Regex("\s+"), content=" "), Lowercase()])',
+    r'''Sequence(pretokenizers=[Split(pattern=Regex("'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), '''
+    "behavior=Removed, invert=True), ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])",
+)
 
 
 class WordIds(dict):
@@ -65,6 +84,9 @@ class WordIds(dict):
     The tokenizer drops white space, never joins across it, and lowers all letters, so a text's ids are those of
     its words, and words that differ in the case of ASCII letters share theirs. Punctuation stands by itself.
     A special token written out in a text is that token, in its own letter case only.
+
+    Words of Latin letters need none of the tokenizer's steps but its model, which gets them straight: most words that
+    are met for the first time are such.
     """
 
     def __init__(self, path: str):
@@ -74,10 +96,20 @@ class WordIds(dict):
         self.marker = re.match("[^A-Za-z]*", os.path.commonprefix(specials))[0] if specials else None
         #: The words before these; those that come up again are kept on.
         self.earlier: dict[bytes, bytes] = {}
+        steps = (repr(self.tokenizer.normalizer), repr(self.tokenizer.pre_tokenizer))
+        #: The model's own cut of a run of letters, if the tokenizer hands them over as they are.
+        self.cut = self.tokenizer.model.tokenize if steps == _STEPS and not self.tokenizer.model.dropout else None
 
     def __missing__(self, word: bytes) -> bytes:
         if (ids := self.earlier.get(word)) is not None:
             pass
+        elif self.cut and (plain := _plain(text := word.decode())):
+            if plain[2]:
+                split = len(word) - len(plain[2])
+                ids = self[word[:split]] + self[word[split:]]
+            else:
+                letters = text.lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+                ids = array("I", [token.id for token in self.cut(letters)]).tobytes()
         elif word[-1:] in _PUNCTUATION and word[:-1].isalpha():
             ids = self[word[:-1]] + self[word[-1:]]
         else:

@@ -91,6 +91,23 @@ def test_special_tokens_written_out():
     assert words.of_text("<|endoftext|>") == np.array([49407], "<u4").tobytes()
 
 
+def test_plain_words_go_straight_to_the_model(monkeypatch):
+    plain, words = Tokenizer.from_file(WORDS), packing.WordIds(WORDS)
+    texts = ["Inonedtien geschachsch hantheeao", "ßÀÖØöøÿß él$$$ rouge'; ÉQUEÊ.\u00a0Çà (ü]^`{~", "K\u0130 ªº ×a÷ a\u0301 \u0178 \u212a don't l'eau x's' 7a <|endoftext|>a"]
+    for text in texts:
+        assert words.of_text(text) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    met = []
+
+    class Counted:
+        def encode(self, text, **how):
+            met.append(text)
+            return plain.encode(text, **how)
+
+    monkeypatch.setattr(words, "tokenizer", Counted())
+    words.of_text("unbekanntes ßÀÖØöøÿ gehörtes, nirgends")
+    assert met in ([], [","])
+
+
 def test_empty_table(documents):
     assert packing.pack_documents(documents([]), WORDS).collect() == []
 
