@@ -24,6 +24,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -58,10 +59,14 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    """64 well mixed bits for each number, by the finaliser of splitmix64."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    """64 well mixed bits for each number, in its place, by the finaliser of splitmix64."""
+    shifted = x >> np.uint64(30)
+    x ^= shifted
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= np.right_shift(x, np.uint64(27), out=shifted)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= np.right_shift(x, np.uint64(31), out=shifted)
+    return x
 
 
 class Sampler:
@@ -76,52 +81,67 @@ class Sampler:
         self.draws = self.draws_before = np.empty((0, samples), np.uint64)
         self.streams = np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
-    def _draw(self, terms: list[tuple[str, int]]) -> np.ndarray:
+    def _draw(self, once: list[tuple[str, int]], often: list[tuple[str, int]], draws: np.ndarray) -> None:
+        """Fill a row for each term; those that occur once have weight 1, so that their grid cell is always 0."""
         gamma, log_gamma = _tables()
-        words = np.array([xxhash.xxh3_64_intdigest(word) for word, _ in terms], np.uint64)[:, None]
-        log_weight = np.log(np.array([count for _, count in terms], np.float64)).astype(np.float32)[:, None]
-        halves = _mixed(words + self.streams).view("<u4").reshape(len(terms), self.samples, 2)
-        low, high = halves[:, :, 0], halves[:, :, 1]
-        r = gamma.take(high >> np.uint32(16))
-        offset = (high & np.uint32(0xFFFF)).astype(np.float32) * np.float32(2.0**-16)
-        step = np.floor(log_weight / r + offset)
-        value = log_gamma.take(low >> np.uint32(12)) - r * (step - offset + np.float32(1))
+        words = np.array([xxhash.xxh3_64_intdigest(word) for word, _ in once + often], np.uint64)[:, None]
+        mixed = _mixed(words + self.streams)
+        halves = mixed.view("<u4").reshape(len(words), self.samples, 2)
+        drawn = draws.view("<u4").reshape(len(words), self.samples, 2)
+        drawn[:, :, 0] = halves[:, :, 0]
+        offset = mixed.view("<u2").reshape(len(words), self.samples, 4)[:, :, 2].astype(np.float32)
+        offset *= np.float32(2.0**-16)
+        r = gamma.take((mixed >> np.uint64(48)).view(np.int64))
+        below = np.float32(1) - offset
+        if often:
+            first = len(once)
+            log_weight = np.log(np.array([count for _, count in often], np.float64)).astype(np.float32)[:, None]
+            step = np.floor(log_weight / r[first:] + offset[first:])
+            below[first:] = step - offset[first:] + np.float32(1)
+            drawn[first:, :, 0] ^= step.astype(np.int32).view(np.uint32) * np.uint32(0x9E3779B1)
+        mixed >>= np.uint64(12)
+        mixed &= np.uint64(0xFFFFF)
+        value = log_gamma.take(mixed.view(np.int64))
+        r *= below
+        value -= r
         # As whole numbers, floats sort alike once the negative ones are turned round.
         order = value.view(np.int32)
-        order = (order ^ ((order >> 31) & 0x7FFFFFFF)).view(np.uint32) ^ np.uint32(0x80000000)
-        draws = np.empty((len(terms), self.samples, 2), "<u4")
-        draws[:, :, 1] = order
-        draws[:, :, 0] = low ^ (step.astype(np.int32).view(np.uint32) * np.uint32(0x9E3779B1))
-        return draws.view("<u8")[:, :, 0]
+        turned = order >> 31
+        turned &= 0x7FFFFFFF
+        order ^= turned
+        np.bitwise_xor(order.view(np.uint32), np.uint32(0x80000000), out=drawn[:, :, 1])
 
     def _remember(self, terms: list[tuple[str, int]]) -> None:
-        start = len(self.rows)
-        self.rows.update(zip(terms, range(start, start + len(terms))))
+        start, before = len(self.rows), list(map(self.rows_before.get, terms))
+        known = [term for term, row in zip(terms, before) if row is not None]
+        once = [term for term, row in zip(terms, before) if row is None and term[1] == 1]
+        often = [term for term, row in zip(terms, before) if row is None and term[1] != 1]
+        self.rows.update(zip(known + once + often, range(start, start + len(terms))))
         if len(self.rows) > len(self.draws):
             grown = np.empty((max(self.half, len(self.rows)), self.samples), np.uint64)
             grown[:start] = self.draws[:start]
             self.draws = grown
-        before = list(map(self.rows_before.get, terms))
-        known = [(start + i, row) for i, row in enumerate(before) if row is not None]
         if known:
-            to, row = np.array(known).T
-            self.draws[to] = self.draws_before[row]
-        new = [i for i, row in enumerate(before) if row is None]
-        for first in range(0, len(new), 1024):
-            part = new[first : first + 1024]
-            self.draws[start + np.array(part)] = self._draw([terms[i] for i in part])
+            self.draws[start : start + len(known)] = self.draws_before[[row for row in before if row is not None]]
+        at, new = start + len(known), len(once) + len(often)
+        for first in range(0, new, 256):
+            last, rest = first + 256, max(first - len(once), 0)
+            some = often[rest : max(last - len(once), 0)]
+            self._draw(once[first:last], some, self.draws[at + first : at + min(last, new)])
 
     def _rows(self, terms: list[tuple[str, int]]) -> np.ndarray:
-        found = list(map(self.rows.get, terms))
-        if None in found:
-            new = dict.fromkeys(term for term, row in zip(terms, found) if row is None)
+        found = np.fromiter(map(self.rows.get, terms, repeat(-1)), np.int64, len(terms))
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            new = dict.fromkeys([terms[at] for at in missing])
             if len(self.rows) + len(new) > self.half and self.rows:
                 self.rows_before, self.draws_before = self.rows, self.draws
                 self.rows, self.draws = {}, np.empty((0, self.samples), np.uint64)
-                new = dict.fromkeys(terms)
+                self._remember(list(dict.fromkeys(terms)))
+                return np.fromiter(map(self.rows.__getitem__, terms), np.int64, len(terms))
             self._remember(list(new))
-            found = list(map(self.rows.__getitem__, terms))
-        return np.array(found, np.int64)
+            found[missing] = [self.rows[terms[at]] for at in missing]
+        return found
 
     def _smallest(self, rows: np.ndarray) -> np.ndarray:
         smallest = np.full(self.samples, 2**64 - 1, np.uint64)
@@ -148,10 +168,15 @@ class Sampler:
         mine = Counter(_words((begin[last:] + one).lower()))
         theirs = Counter(_words((begin[last:] + other).lower()))
         changed = mine.keys() | theirs.keys()
+        # Asked for what it lacks, a Counter takes ten times as long as its get.
+        before = common.get
         parts = (
             [term for term in common.items() if term[0] not in changed],
-            [(word, common[word] + mine[word]) for word in changed if common[word] or word in mine],
-            [(word, common[word] + theirs[word]) for word in changed if common[word] or word in theirs],
+            *(
+                [(word, before(word, 0) + count) for word, count in own.items()]
+                + [(word, common[word]) for word in other if word in common and word not in own]
+                for own, other in ((mine, theirs), (theirs, mine))
+            ),
         )
         rows = self._rows([term for part in parts for term in part])
         cuts = np.cumsum([len(part) for part in parts])[:2]

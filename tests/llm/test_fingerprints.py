@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from muster.llm import fingerprints
@@ -94,3 +95,37 @@ def test_draws_are_bounded():
     for i in range(50):
         sampler.fingerprint(" ".join(f"w{i * 7 + j} common" for j in range(20)))
         assert len(sampler.rows) <= 50 and len(sampler.draws) + len(sampler.draws_before) <= 100
+
+
+def plain_draws(sampler, word, count):
+    """The draws of one term, number by number."""
+    gamma, log_gamma = fingerprints._tables()
+    rows = []
+    for stream in sampler.streams.tolist():
+        x = (xxhash.xxh3_64_intdigest(word) + stream) % 2**64
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+        x ^= x >> 31
+        high, low = x >> 32, x % 2**32
+        r, offset = gamma[high >> 16], np.float32(high % 2**16) * np.float32(2.0**-16)
+        step = np.floor(np.float32(np.log(np.float64(count))) / r + offset)
+        value = log_gamma[low >> 12] - r * (step - offset + np.float32(1))
+        order = int(value.view(np.uint32))
+        order = order ^ 0xFFFFFFFF if order >> 31 else order ^ 0x80000000
+        rows.append(order << 32 | low ^ int(step) * 0x9E3779B1 % 2**32)
+    return rows
+
+
+def test_draws_equal_plain_ones_and_no_lookup_misses(monkeypatch):
+    class Strict(fingerprints.Counter):
+        def __missing__(self, word):
+            raise AssertionError(word)
+
+    monkeypatch.setattr(fingerprints, "Counter", Strict)
+    for cached in (6, 1000):
+        sampler, terms = fingerprints.Sampler(16, cached), [("a", 1), ("b", 3), ("c", 1), ("d", 700), ("b", 1), ("a", 2)]
+        for some in (terms, terms[::-1], terms[2:4], [(f"w{i}", 1 + i % 3 // 2) for i in range(600)], terms):
+            rows = sampler._rows(some + some[:1])
+            assert rows[0] == rows[-1]
+            assert sampler.draws[rows[:-1]].tolist() == [plain_draws(sampler, *term) for term in some]
+        sampler.fingerprints("one two two ", "three two", "four one")
