@@ -48,22 +48,12 @@ STAR_ROUNDS = 2
 BLOCK_CLASSES = 512
 #: Shingles of the classes of a block, about; a class is not cut.
 BLOCK_SHINGLES = 1_000_000
-#: Words whose hashes a task keeps at a time; beyond that it starts afresh.
-CACHED_WORDS = 100_000
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
 
 class Shingler:
     """Sets of shingle hashes of texts."""
 
     def __init__(self, words: int):
         self.words = words
-        self.hashes = _WordHashes()
 
     def shingles(self, text: str | None) -> np.ndarray:
         """The distinct shingles' hashes in ascending order."""
@@ -71,17 +61,19 @@ class Shingler:
         found = (text or "").encode().lower().split()
         if not found:
             return np.zeros(0, np.uint64)
-        if len(self.hashes) > CACHED_WORDS:
-            self.hashes.clear()
         if len(found) < self.words:
             return np.array([xxhash.xxh3_64_intdigest(b" ".join(found), seed=len(found))], np.uint64)
-        words = np.fromiter(map(self.hashes.__getitem__, found), np.uint64, len(found))
+        # To look up a word's hash takes as long as to hash it.
+        words = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
         n = len(words) - self.words + 1
         value = np.zeros(n, np.uint64)
         for at in range(self.words):
             value = (value ^ words[at : at + n]) * np.uint64(0x9E3779B97F4A7C15)
             value ^= value >> np.uint64(32)
-        return np.unique(value)
+        value.sort()
+        first = np.ones(n, bool)
+        np.not_equal(value[1:], value[:-1], out=first[1:])
+        return value[first]
 
 
 class Signer:
@@ -293,22 +285,55 @@ def _block_pairs(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
     A bucket is cut into blocks of about as many classes and shingles as a task can hold, and two blocks at a time are compared inside a task.
     What comes out of a task is a forest: a pair that earlier links of the task have joined is not looked at. A pair is compared in the
-    first bucket that it shares.
+    first bucket that it shares. Most of these groups are of a few classes, so a task reads them one after another from sorted rows.
     """
     ship()
     small = sets.select("class", "bands", "shingles")
+    kind = pa.schema([("class", pa.binary()), ("n", pa.int64()), ("centre", pa.binary()), ("centre_n", pa.int64())])
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_alike(group, percent), columns=["class", "n", "centre", "centre_n"])
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            if links := _alike(group, percent):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*links), kind.types)], schema=kind)
 
     return (
         _dealt(buckets).join(small, "class")
-        .groupBy("band", "key", "low", "high")
-        .applyInPandas(compare, "class binary, n long, centre binary, centre_n long")
+        .select(*GROUP, "class", "n", "component", "block", "bands", "shingles")
+        .repartition(*GROUP)
+        .sortWithinPartitions(*GROUP)
+        .mapInArrow(compare, "class binary, n long, centre binary, centre_n long")
         .distinct()
     )
 
 
+#: What the rows that a task compares with each other have in common.
+GROUP = ["band", "key", "low", "high"]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+    """The columns of one group of sorted rows after another; a group may go on in the next batch."""
+    name, group = None, {}
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at = np.stack([batch[column].to_numpy().astype(np.int64) for column in GROUP])
+        starts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        columns = {column: batch[column].to_pylist() for column in (*GROUP, "class", "n", "component", "block")}
+        for column in ("bands", "shingles"):
+            ends, values = batch[column].offsets.to_numpy(), batch[column].values.to_numpy()
+            columns[column] = [values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        for first, last in zip(starts[:-1], starts[1:]):
+            part = {column: values[first:last] for column, values in columns.items()}
+            if (here := tuple(at[:, first].tolist())) == name:
+                group = {column: group[column] + part[column] for column in part}
+                continue
+            if group:
+                yield group
+            name, group = here, part
+    if group:
+        yield group
+
+
 def _dealt(buckets: DataFrame) -> DataFrame:
     """The classes of each bucket, once for every two blocks, ``low`` and ``high``, of which one is theirs."""
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_CLASSES, F.sum("n") / BLOCK_SHINGLES)).cast("int")
@@ -320,32 +345,45 @@ def _dealt(buckets: DataFrame) -> DataFrame:
     )
 
 
-def _alike(group: pd.DataFrame, percent: int) -> list[tuple]:
+def _alike(group: pd.DataFrame | dict[str, list], percent: int) -> list[tuple]:
     """Links of a block, or between two blocks, that join different components whose sets are alike, and no circle of them."""
-    band, low, high = (int(group[name].iloc[0]) for name in ("band", "low", "high"))
-    sets = [frozenset(found.tolist()) for found in group["shingles"]]
-    order = sorted(range(len(sets)), key=lambda row: len(sets[row]))
-    keys = np.stack([group["bands"].iloc[row] for row in order])[:, :band]
-    sizes = np.array([len(sets[row]) for row in order])
-    blocks = group["block"].to_numpy()[order]
-    components = np.unique(group["component"].to_numpy()[order], return_inverse=True)[1]
+    band, low, high = (int(list(group[name])[0]) for name in ("band", "low", "high"))
+    rows, bands = list(group["shingles"]), list(group["bands"])
+    order = sorted(range(len(rows)), key=lambda row: len(rows[row]))
+    keys = np.stack([bands[row] for row in order])[:, :band]
+    sizes = np.array([len(rows[row]) for row in order])
+    blocks = np.array(list(group["block"]))[order]
+    numbers: dict[bytes, int] = {}
+    components = np.array([numbers.setdefault(component, len(numbers)) for component in group["component"]])[order]
+    # Of most classes no pair is left to compare, so a set is made when it is met.
+    sets: list[frozenset | None] = [None] * len(rows)
+
+    def set_of(row: int) -> frozenset:
+        if (made := sets[row]) is None:
+            made = sets[row] = frozenset(rows[row].tolist())
+        return made
+
+    # Sorted by size, so those that may be alike follow up to a size.
+    ends = np.searchsorted(sizes, 100 * sizes / percent + 1, side="right").tolist()
     found = []
-    for at, row in enumerate(order):
-        # Sorted by size, so those that may be alike follow up to a size.
-        end = np.searchsorted(sizes, 100 * sizes[at] / percent + 1, side="right")
+    for at, (row, end) in enumerate(zip(order, ends)):
+        if end == at + 1:
+            continue
         wanted = components[at + 1 : end] != components[at]
         if low != high:
             wanted &= blocks[at + 1 : end] != blocks[at]
+        if not wanted.any():
+            continue
         wanted &= ~(keys[at + 1 : end] == keys[at]).any(axis=1)
         for other in np.flatnonzero(wanted) + at + 1:
             if components[other] == components[at]:
                 continue
-            theirs = sets[order[other]]
-            common = len(sets[row] & theirs)
-            if 100 * common >= percent * (len(sets[row]) + len(theirs) - common):
+            mine, theirs = set_of(row), set_of(order[other])
+            common = len(mine & theirs)
+            if 100 * common >= percent * (len(mine) + len(theirs) - common):
                 found.append((row, order[other]))
                 components[components == components[other]] = components[at]
-    names, n = group["class"].to_numpy(), group["n"].to_numpy()
+    names, n = list(group["class"]), list(group["n"])
     return [(names[a], int(n[a]), names[b], int(n[b])) for a, b in found]
 
 

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from muster.llm import near_dup
@@ -158,6 +159,42 @@ def test_links_of_a_block_are_a_forest():
     assert len(near_dup._alike(block(chain, [[i, 1] for i in range(300)], joined), 80)) == 1
 
 
+def test_groups_are_read_one_after_another_from_batches():
+    """Groups of sorted rows come out whole wherever batches are cut, empty batches among them."""
+    rows = pa.table({
+        "band": pa.array([0, 0, 0, 0, 1, 1, 1], pa.int32()), "key": [5, 5, 5, -6, -6, -6, 1 << 60],
+        "low": pa.array([0, 0, 0, 0, 0, 0, 0], pa.int32()), "high": pa.array([0, 0, 1, 1, 1, 1, 1], pa.int32()),
+        "class": pa.array([b"a", b"b", b"c", b"d", b"e", b"f", b"g"]), "n": [1, 2, 0, 3, 1, 1, 2],
+        "component": pa.array([b"a", b"b", b"c", b"d", b"e", b"f", b"g"]), "block": pa.array([0] * 7, pa.int32()),
+        "bands": [[i, i + 1] for i in range(7)], "shingles": [[1], [1, 2], [], [4, 5, 6], [7], [8], [9, 10]],
+    })
+    for size in (1, 2, 3, 4, 7):
+        batches = rows.to_batches(max_chunksize=size)
+        found = list(near_dup._groups(iter([batches[0].slice(0, 0), *batches, batches[0].slice(0, 0)])))
+        assert [group["class"] for group in found] == [[b"a", b"b"], [b"c"], [b"d"], [b"e", b"f"], [b"g"]], size
+        assert [x.tolist() for group in found for x in group["shingles"]] == rows["shingles"].to_pylist()
+        assert [x.tolist() for group in found for x in group["bands"]] == rows["bands"].to_pylist()
+    assert list(near_dup._groups(iter([]))) == []
+
+
+def test_blocks_are_compared_as_streams(spark):
+    """One Python call a batch and not one a bucket: what stars leave are mostly buckets of a few classes."""
+    same = [[i * 1000 + x for x in range(100)] for i in range(40)]
+    sets, buckets = [], []
+    for i, one in enumerate(same):
+        for copy in range(3):
+            name = f"{i:03d}{copy}".encode()
+            sets.append((name, [i, copy], one[copy:] if copy < 2 else [x + 500 for x in one]))
+            buckets.append((0, i, name, len(sets[-1][2]), 1, name))
+    small = spark.createDataFrame(sets, "class binary, bands array<long>, shingles array<long>")
+    live = spark.createDataFrame(buckets, "band int, key long, class binary, n long, copies long, component binary")
+    found = near_dup._block_pairs(live, small, 80)
+    assert "FlatMapGroupsInPandas" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {frozenset((bytes(r["class"]), bytes(r["centre"]))) for r in found.collect()} == {
+        frozenset((f"{i:03d}0".encode(), f"{i:03d}1".encode())) for i in range(40)
+    }
+
+
 def test_hot_buckets_and_roots_are_split(spark):
     low = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
